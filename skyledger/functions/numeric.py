@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import operator
-from collections.abc import Iterable
-
 from pyspark.sql import Column, functions as F
 
 from skyledger.functions.text import as_column
@@ -25,14 +21,6 @@ def unit_bin(c: Column | str, width: float = 1.0) -> Column:
     return F.floor(as_column(c) / F.lit(float(width)))
 
 
-def all_of(conditions: Iterable[Column]) -> Column:
-    return functools.reduce(operator.and_, conditions)
-
-
-def any_of(conditions: Iterable[Column]) -> Column:
-    return functools.reduce(operator.or_, conditions)
-
-
 def key_hash(*keys: Column | str, salt: str = "", digits: int = 8) -> Column:
     """Non-negative BIGINT from the leading hex digits of the MD5 of the key.
 

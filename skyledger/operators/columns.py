@@ -14,7 +14,7 @@ from pyspark.sql.types import NumericType
 
 from skyledger import schema as S
 from skyledger.functions.calendar import calendar_parts, parse_timestamp
-from skyledger.functions.text import tokens, try_number
+from skyledger.functions.text import try_number
 
 
 def split_packed(
@@ -28,29 +28,31 @@ def split_packed(
     time per row. Leave it off where only some of the token columns will be read.
     """
     layouts = S.PACKED_LAYOUTS if layouts is None else layouts
-    packed = [c for c in df.columns if c in layouts]
-    names, source = df.columns, {c: tokens(c) for c in packed}
+    names = df.columns
+    packed = [c for c in names if c in layouts]
+    split = {c: f"split(cast(`{c}` AS string), ',')" for c in packed}
     if once and packed:
-        others = [F.col(c) for c in names if c not in source]
-        arrays = F.struct(*[source[c].alias(c) for c in packed])
-        df = df.select(*others, F.inline(F.array(arrays)))
-        source = {c: F.col(c) for c in packed}
-    out: list[Column] = []
+        others = [c for c in names if c not in split]
+        arrays = ", ".join(f"{split[c]} AS `{c}`" for c in packed)
+        df = df.select(*others, F.expr(f"inline(array(struct({arrays})))"))
+        split = {c: f"`{c}`" for c in packed}
+    out: list[Column | str] = []
     for name in names:
-        if name in source:
-            parts = source[name]
-            out += [F.get(parts, F.lit(i)).alias(t) for i, t in enumerate(layouts[name])]
+        if name in split:
+            out += [
+                F.expr(f"get({split[name]}, {i}) AS `{t}`") for i, t in enumerate(layouts[name])
+            ]
         else:
-            out.append(F.col(name))
+            out.append(name)
     return df.select(*out)
 
 
 def place_after(df: DataFrame, anchor: str, new: Mapping[str, Column]) -> DataFrame:
     """Add columns right after ``anchor``; same-named old columns are replaced."""
-    out: list[Column] = []
+    out: list[Column | str] = []
     for name in df.columns:
         if name not in new:
-            out.append(F.col(name))
+            out.append(name)
         if name == anchor:
             out += [c.alias(n) for n, c in new.items()]
     return df.select(*out)
@@ -58,7 +60,8 @@ def place_after(df: DataFrame, anchor: str, new: Mapping[str, Column]) -> DataFr
 
 def replace_in_place(df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
     """Swap expressions into existing columns without moving them."""
-    return df.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])
+    have = set(df.columns)
+    return df.withColumns({c: e for c, e in new.items() if c in have})
 
 
 def add_calendar(df: DataFrame, column: str = "DATE") -> DataFrame:
@@ -78,13 +81,11 @@ def rename_units(df: DataFrame, names: Mapping[str, str] | None = None) -> DataF
 def scale_units(df: DataFrame, divisors: Mapping[str, float] | None = None) -> DataFrame:
     """Cast raw tokens to DOUBLE and divide them into their unit."""
     divisors = S.UNIT_DIVISORS if divisors is None else divisors
-    return replace_in_place(
-        df,
-        {
-            c: try_number(c) if d == 1.0 else try_number(c) / F.lit(float(d))
-            for c, d in divisors.items()
-        },
-    )
+    new = {
+        c: F.expr(f"try_cast(`{c}` AS double)" + ("" if d == 1.0 else f" / {float(d)}D"))
+        for c, d in divisors.items()
+    }
+    return replace_in_place(df, new)
 
 
 def cast_geo(df: DataFrame, station_as_int: bool = False) -> DataFrame:
@@ -92,10 +93,10 @@ def cast_geo(df: DataFrame, station_as_int: bool = False) -> DataFrame:
 
     Eleven-digit and alphanumeric ids do not fit an INT and would become NULL.
     """
-    new = {c: try_number(c) for c in S.GEO_COLUMNS}
+    types = dict.fromkeys(S.GEO_COLUMNS, "double")
     if station_as_int:
-        new["STATION"] = try_number("STATION", "int")
-    return replace_in_place(df, new)
+        types["STATION"] = "int"
+    return replace_in_place(df, {c: try_number(c, t) for c, t in types.items()})
 
 
 def present(df: DataFrame, wanted: Sequence[str]) -> list[str]:

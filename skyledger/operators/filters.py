@@ -7,30 +7,37 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyledger import schema as S
-from skyledger.functions.numeric import all_of, any_of
 
 
-def missing_rules(codes: Mapping[str, Sequence[str]] | None = None) -> dict[str, Column]:
-    """One boolean per rule over the split, still textual tokens."""
+def _one_of(column: str, values: Sequence[str]) -> str:
+    return f"`{column}` IN (" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+def _missing_rules(codes: Mapping[str, Sequence[str]] | None) -> dict[str, str]:
     codes = S.MISSING_CODES if codes is None else codes
     rules = {
-        "wind_direction": (F.col("WND_DIR_DEG") == S.WIND_DIRECTION_MISSING)
-        & (F.col("WND_TYPE") != S.WIND_TYPE_VARIABLE),
-        "wind_type": (F.col("WND_TYPE") == S.WIND_TYPE_MISSING)
-        & (F.col("WND_SPD_RAW") != S.WIND_SPEED_CALM),
+        "wind_direction": f"WND_DIR_DEG = '{S.WIND_DIRECTION_MISSING}'"
+        f" AND WND_TYPE <> '{S.WIND_TYPE_VARIABLE}'",
+        "wind_type": f"WND_TYPE = '{S.WIND_TYPE_MISSING}'"
+        f" AND WND_SPD_RAW <> '{S.WIND_SPEED_CALM}'",
     }
-    return rules | {c: F.col(c).isin(list(v)) for c, v in codes.items()}
+    return rules | {c: _one_of(c, v) for c, v in codes.items()}
+
+
+def missing_rules(codes: Mapping[str, Sequence[str]] | None = None) -> dict[str, Column]:
+    """One boolean per rule over the split, still textual tokens."""
+    return {n: F.expr(r) for n, r in _missing_rules(codes).items()}
 
 
 def is_missing(codes: Mapping[str, Sequence[str]] | None = None) -> Column:
     """TRUE if any rule hits; NULL if none hits and a token is absent."""
-    return any_of(missing_rules(codes).values())
+    return F.expr(" OR ".join(f"({r})" for r in _missing_rules(codes).values()))
 
 
 def is_accepted(accepted: Mapping[str, Sequence[str]] | None = None) -> Column:
     """TRUE if every quality code is an accepted one; NULL codes never are."""
     accepted = S.ACCEPTED_QC if accepted is None else accepted
-    return all_of(F.col(c).isin(list(v)) for c, v in accepted.items())
+    return F.expr(" AND ".join(_one_of(c, v) for c, v in accepted.items()))
 
 
 def drop_missing(df: DataFrame, codes: Mapping[str, Sequence[str]] | None = None) -> DataFrame:

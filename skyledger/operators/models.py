@@ -19,8 +19,10 @@ from skyledger import schema as S
 from skyledger.functions.numeric import rmse
 from skyledger.operators import features as X
 from skyledger.operators.columns import model_columns
-from skyledger.operators.sampling import assign_folds, sample_n, subset_sizes, validation_flag
-from skyledger.session import persisted, shared_folder
+from skyledger.operators.sampling import (
+    assign_folds, nested_samples, subset_sizes, validation_flag,
+)
+from skyledger.session import held_for_training, persisted, shared_folder
 
 # --- fixed values: penalty grids, tried for each mixing weight ---------------
 RIDGE_GRID = [1e-6, 1e-5, 1e-4, 1e-3, 3e-3, 1e-2, 3e-2, 1e-1, 3e-1, 1.0]
@@ -171,7 +173,7 @@ def fit_forest(
         subsamplingRate=subsample, featureSubsetStrategy="sqrt", seed=seed,
     )
     vectors = assemble.transform(impute.transform(table)).select(label, "features")
-    with persisted(vectors) as held:
+    with held_for_training(vectors) as held:
         return PipelineModel([impute, assemble, forest.fit(held)])
 
 
@@ -225,7 +227,7 @@ def fit_boosted(
     if validation:
         extra = {"validationIndicatorCol": validation, "validationTol": tolerance}
     columns = [label, "features", *([validation] if validation else [])]
-    with persisted(vectors.select(*columns)) as held:
+    with held_for_training(vectors.select(*columns)) as held:
         return boosted({**BOOSTED_DEFAULTS, **(params or {})}, label, seed, **extra).fit(held)
 
 
@@ -258,7 +260,7 @@ def search_boosted(
     shared_folder(spark)
     draws = draw_params(seed=seed) if draws is None else [dict(d) for d in draws]
     stop = {"validationIndicatorCol": validation, "validationTol": tolerance}
-    with persisted(vectors.select(label, "features", validation)) as held:
+    with held_for_training(vectors.select(label, "features", validation)) as held:
         marked = held.filter(F.col(validation))
 
         def attempt(draw):
@@ -318,9 +320,9 @@ def learning_curve(
     if validation:
         table = validation_flag(table, keys, 15, validation, salt=f"validation{seed}")
     error = F.pow(F.col(label) - F.col("prediction"), F.lit(2))
-    with persisted(table) as held:
-        for n in subset_sizes(held.count(), steps):
-            subset = sample_n(held, n, keys, seed)
+    with held_for_training(table) as held:
+        sizes = subset_sizes(held.count(), steps)
+        for n, subset in zip(sizes, nested_samples(held, sizes, keys, seed)):
             scores = []
             for k in range(folds):
                 inside = F.col("__fold") != k

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from skyledger.functions.numeric import key_bucket, key_hash
 from skyledger.operators.ranks import order_statistics
 
+_HASH = "__key_hash"
 _HASH_DIGITS = 13  # 52 bits: exact as DOUBLE
 _HASH_RANGE = 16**_HASH_DIGITS
 
@@ -24,29 +25,37 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame
     return df.sample(False, fraction, seed)
 
 
-def sample_n(
-    df: DataFrame, n: int, keys: Sequence[str], seed: int = 42, hash_column: str | None = None
-) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows: those with the least key hashes.
+def nested_samples(
+    df: DataFrame, sizes: Sequence[int], keys: Sequence[str], seed: int = 42
+) -> list[DataFrame]:
+    """Samples of exactly ``min(n, rows)`` rows each: those with the least key hashes.
 
-    The n-th least hash is found by rank, so the sample is a plain filter of the
-    table however large n is; only rows that tie on that one hash are ordered.
+    A smaller sample lies within a larger one. The n-th least hash is found by rank
+    (one search for all sizes), so a sample is a plain filter of the table however
+    large n is; only rows that tie on that one hash are ordered.
     """
-    if n <= 0:
-        return df.limit(0)
-    h = hash_column or "__h"
-    hashed = df.withColumn(h, key_hash(*keys, salt=str(seed), digits=_HASH_DIGITS))
+    hashed = df.withColumn(_HASH, key_hash(*keys, salt=str(seed), digits=_HASH_DIGITS))
     # Hashes are uniform, so even cut points need no look at the data.
     cuts = [_HASH_RANGE * i / 256 for i in range(1, 256)]
-    found = order_statistics(hashed.select(h), {h: [n]}, cuts={h: cuts})[h]
-    if n not in found:
-        picked = hashed
-    else:
-        last, below = found[n]
-        last = int(last)
-        ties = hashed.filter(F.col(h) == last).orderBy(*keys).limit(n - below)
-        picked = hashed.filter(F.col(h) < last).unionByName(ties)
-    return picked if hash_column else picked.drop(h)
+    wanted = sorted({n for n in sizes if n > 0})
+    found = order_statistics(hashed.select(_HASH), {_HASH: wanted}, {_HASH: cuts})[_HASH]
+    return [_least_hashes(hashed, n, keys, found).drop(_HASH) for n in sizes]
+
+
+def _least_hashes(hashed: DataFrame, n: int, keys: Sequence[str], found: dict) -> DataFrame:
+    if n <= 0:
+        return hashed.limit(0)
+    if n not in found:  # more than there are rows
+        return hashed
+    last, below = found[n]
+    last, h = int(last), F.col(_HASH)
+    ties = hashed.filter(h == last).orderBy(*keys).limit(n - below)
+    return hashed.filter(h < last).unionByName(ties)
+
+
+def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
+    """Exactly ``min(n, rows)`` rows, picked by key hash."""
+    return nested_samples(df, [n], keys, seed)[0]
 
 
 def random_split(

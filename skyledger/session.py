@@ -68,3 +68,20 @@ def persisted(*tables: DataFrame, level: StorageLevel = SERIALIZED):
     finally:
         for t in held:
             t.unpersist()
+
+
+@contextlib.contextmanager
+def held_for_training(df: DataFrame):
+    """Persist a table that an iterative fit will read many times.
+
+    A table in fewer partitions than the cluster has cores (few or unsplittable
+    files) is spread over all of them first; a larger one stays where it is, without
+    a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    with persisted(df) as held:
+        if held.rdd.getNumPartitions() >= cores:
+            yield held
+        else:
+            with persisted(held.repartition(cores)) as wide:
+                yield wide
