@@ -121,14 +121,24 @@ def standardizer(column: str = "features", out: str = "scaledFeatures") -> Stand
 
 
 def preparation(
-    df: DataFrame, exclude: Sequence[str], relative_error: float = 0.001
+    df: DataFrame,
+    exclude: Sequence[str],
+    relative_error: float = 0.001,
+    max_categories: int = 100_000,
 ) -> tuple[Pipeline, list[str]]:
     """Median-imputed numbers and one-hot categories as one ``features`` vector.
 
     Column kinds are read off the schema. Gives the pipeline, whose category fill is
-    already taken from ``df``, and the names of the numeric columns.
+    already taken from ``df``, and the names of the numeric columns. Category lists
+    become part of the model, so a column with clearly more than ``max_categories``
+    values (a row id, free text) is refused rather than cut.
     """
     numeric, categorical = column_kinds(df, exclude)
+    if categorical:
+        sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
+        too_many = [c for c in categorical if sizes[c] > 1.2 * max_categories]
+        if too_many:
+            raise ValueError(f"too many categories to encode in {too_many}: exclude them")
     stages = []
     if numeric:
         stages.append(median_imputer(numeric, relative_error))

@@ -93,5 +93,6 @@ def subset_sizes(
     rows: int, steps: int = 6, least: float = 0.1, floor: int = 50
 ) -> list[int]:
     """Evenly spaced subset sizes from ``least`` of the rows to all of them."""
-    shares = [least + (1.0 - least) * i / (steps - 1) for i in range(steps)]
-    return [min(rows, max(floor, int(rows * s))) for s in shares]
+    gap = (1.0 - least) / max(1, steps - 1)
+    shares = [least + gap * i for i in range(steps)] if steps > 1 else [1.0]
+    return [min(rows, max(floor, int(rows * s + 1e-9))) for s in shares]

@@ -10,8 +10,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from skyledger import schema as S
+from skyledger.functions.numeric import key_hash
 from skyledger.operators import evaluate as E, models as M
 from skyledger.operators.profile import axis_limits, histogram
+from skyledger.operators.sampling import validation_flag
 from skyledger.session import persisted
 from skyledger.sources.checks import require_columns
 from skyledger.sources.tables import write_results, write_table
@@ -142,31 +144,43 @@ def boosting(
     label: str = S.LABEL,
     base: Mapping | None = None,
     draws: Sequence[Mapping] | None = None,
+    curve: Mapping | None = None,
     seed: int = 42,
 ) -> DataFrame:
     """Base and searched boosted trees, written below a folder; their comparison.
 
-    The keys tell validation rows apart; they are held beside the vectors.
+    The keys tell rows apart for the validation set and for the learning curve of
+    the best draw, which is made if ``curve`` is given (``steps`` and ``folds``).
     """
     spark = train.sparkSession
     require_columns(test, [label, *keys], "test table")
-    train = M.validation_flag(train, keys, 15, "is_validation")
+    marked = validation_flag(train, keys, 15, "is_validation").withColumn(
+        "row_key", key_hash(*keys, digits=13)
+    )
     fitted, vectors, names = M.prepare_boosting(
-        train, label, exclude=("DATE",), keep=("is_validation",)
+        marked, label, exclude=("DATE",), keep=("is_validation", "row_key")
     )
-    models = {"base": M.fit_boosted(vectors, base, label, seed)}
     found = M.search_boosted(vectors, "is_validation", draws, label, seed)
-    models["optimised"] = found.model.stages[-1]
+    models = {
+        "base": M.fit_boosted(vectors, base, label, seed),
+        "optimised": found.model.stages[-1],
+    }
     rows = []
     for name, trees in models.items():
         model = PipelineModel([*fitted.stages, trees])
-        predictions = M.score(model, test, [label])
-        importance = E.feature_importance(spark, trees, names)
-        metrics = E.regression_metrics(predictions, label)
-        tables = {"metrics": metrics, "importance": E.top_importance(importance, 20)}
-        Report(model, predictions, tables).write(f"{folder}/{name}")
+        with persisted(M.score(model, test, [label])) as predictions:
+            importance = E.feature_importance(spark, trees, names)
+            metrics = E.regression_metrics(predictions, label)
+            tables = {"metrics": metrics, "importance": E.top_importance(importance, 20)}
+            Report(model, predictions, tables).write(f"{folder}/{name}")
         rows.append(E.metrics_row(metrics, name))
-    write_results(
-        {"trials": found.trials, "best_params": E.params_row(spark, found.best)}, folder
-    )
+    tables = {"trials": found.trials, "best_params": E.params_row(spark, found.best)}
+    if curve is not None:
+        early = M.boosted(
+            found.best, label, seed, validationIndicatorCol="is_early", validationTol=0.01
+        )
+        tables["learning_curve"] = M.learning_curve(
+            vectors, ["row_key"], early, label, seed=seed, validation="is_early", **curve
+        )
+    write_results(tables, folder)
     return E.model_comparison(rows, ["model", "rmse", "mae", "r2"])
