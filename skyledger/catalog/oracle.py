@@ -263,6 +263,7 @@ ORACLES["random_split"] = (
     "true AS share_ok FROM clean"
 )
 ORACLES["keyed_split"] = f"WITH {PARTS} SELECT event_id, part, TMP_C FROM parts"
+ORACLES["split_tables"] = ORACLES["keyed_split"]
 ORACLES["keyed_split_lineitem"] = f"""SELECT part, count(*) AS n, sum(l_quantity) AS quantity FROM (
   SELECT l_quantity, CASE WHEN {_hash(_LINE_ID)} % 100 < 70 THEN 'train' ELSE 'test' END AS part
   FROM lineitem) GROUP BY part"""

@@ -23,6 +23,7 @@ from skyledger.operators import (
 )
 from skyledger.plans.cleanse import cleanse
 from skyledger.plans.feed import raw_feed
+from skyledger.plans.ingest import write_split
 from skyledger.plans.typed import TYPED_SOURCE_COLUMNS, typed_humidity
 from skyledger.session import scratch_path
 from skyledger.sources import csv as SRC, tables as TAB
@@ -361,6 +362,12 @@ def keyed_split(spark, d):
     return _labelled(*parts(spark, d)).select("event_id", "part", "TMP_C")
 
 
+@query
+def split_tables(spark, d):
+    path = scratch_path(spark, "split")
+    return _labelled(*write_split(clean(spark, d), path, KEY)).select("event_id", "part", "TMP_C")
+
+
 @query
 def keyed_split_lineitem(spark, d):
     table = lineitem(spark, d).select("l_orderkey", "l_linenumber", "l_quantity")

@@ -156,7 +156,10 @@ def model_comparison(
 ) -> DataFrame:
     """Report rows of several models under each other; absent values are NULL."""
     table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
-    return table.select(*columns)
+    have = set(table.columns)
+    return table.select(
+        *[c if c in have else F.lit(None).cast("double").alias(c) for c in columns]
+    )
 
 
 def params_row(spark: SparkSession, params: dict) -> DataFrame:

@@ -21,6 +21,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
+from skyledger.session import persisted
+
 _SKETCH_GROUPS = 64
 
 
@@ -63,15 +65,19 @@ def order_statistics(
     the number of present values are left out.
     """
     columns = list(wanted)
-    cuts = cut_points(df, columns, buckets) if cuts is None else cuts
-    sized = bucket_sizes(df, columns, cuts)
-    return _refine(df, wanted, cuts, sized)
+    with persisted(_numbers(df, columns)) as x:
+        cuts = cut_points(x, columns, buckets) if cuts is None else cuts
+        return _refine(x, wanted, cuts, bucket_sizes(x, columns, cuts))
+
+
+def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Only the columns in question; the passes read these again and again."""
+    return df.select(*[F.col(c).cast("double").alias(c) for c in columns])
 
 
 def _bucketed(df: DataFrame, columns: Sequence[str], cuts: Mapping[str, Sequence[float]]):
     """(column, x, bucket) rows; a value on a cut point opens its bucket."""
     inf = float("inf")
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     splits, names = [], []
     for i, c in enumerate(columns):
         points = [p for p in cuts.get(c, []) if -inf < p < inf]
@@ -79,7 +85,7 @@ def _bucketed(df: DataFrame, columns: Sequence[str], cuts: Mapping[str, Sequence
         names.append(f"__b{i}")
     kept = Bucketizer(
         splitsArray=splits, inputCols=list(columns), outputCols=names, handleInvalid="keep"
-    ).transform(numbers)
+    ).transform(_numbers(df, columns))
     cells = [
         F.struct(
             F.lit(c).alias("column"),
@@ -158,23 +164,29 @@ def exact_quantiles(
     reaches the probability; with it, the usual linear blend of two neighbours.
     """
     columns = list(probabilities)
-    cuts = cut_points(df, columns, 256)
-    sizes = bucket_sizes(df, columns, cuts)
-    plan: dict[str, list[tuple[int, int, float]]] = {}
-    for c in columns:
-        n = sum(sizes[c].values())
-        plan[c] = [_positions(p, n, interpolate) for p in probabilities[c]] if n else []
-    wanted = {c: [r for lo, hi, _ in plan[c] for r in (lo, hi)] for c in columns}
-    found = _refine(df, wanted, cuts, sizes)
+    with persisted(_numbers(df, columns)) as x:
+        cuts = cut_points(x, columns, 256)
+        sizes = bucket_sizes(x, columns, cuts)
+        plan = {
+            c: [_positions(p, n, interpolate) for p in probabilities[c]]
+            for c in columns
+            for n in [sum(sizes[c].values())]
+            if n
+        }
+        wanted = {c: [r for lo, hi, _ in plan.get(c, []) for r in (lo, hi)] for c in columns}
+        found = _refine(x, wanted, cuts, sizes)
     out: dict[str, list[float | None]] = {}
     for c in columns:
         out[c] = [
-            found[c][lo][0] + (found[c][hi][0] - found[c][lo][0]) * share
-            for lo, hi, share in plan[c]
+            _blend(found[c][lo][0], found[c][hi][0], share) for lo, hi, share in plan.get(c, [])
         ] or [None] * len(probabilities[c])
     return out
 
 
+def _blend(low: float, high: float, share: float) -> float:
+    return low if share == 0.0 or low == high else low + (high - low) * share
+
+
 def _positions(p: float, n: int, interpolate: bool) -> tuple[int, int, float]:
     if interpolate:
         place = p * (n - 1)

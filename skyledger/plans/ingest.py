@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Sequence
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from skyledger.functions.numeric import key_bucket
 from skyledger.plans.cleanse import cleanse
 from skyledger.plans.typed import TYPED_SOURCE_COLUMNS, typed_humidity
 from skyledger.sources.csv import read_raw
-from skyledger.sources.tables import write_counted, write_partitioned, write_table
+from skyledger.sources.tables import (
+    read_table, write_counted, write_partitioned, write_table,
+)
 
 
 def ingest_raw(spark: SparkSession, source: str, target: str, pattern: str | None = None) -> int:
@@ -24,6 +29,22 @@ def ingest_clean(
     return write_counted(clean, lambda df: write_table(df, target))
 
 
+def write_split(
+    df: DataFrame, target: str, keys: Sequence[str] = ("STATION", "DATE"), train_percent: int = 70
+) -> tuple[DataFrame, DataFrame]:
+    """Store a table with its train and test parts side by side, in one job.
+
+    The parts are partitions of one folder: the whole table is written once, and each
+    part is read back alone. Gives the stored train and test tables.
+    """
+    bucket = key_bucket(*keys)
+    part = F.when(bucket < train_percent, "train").otherwise("test")
+    df.withColumn("part", part).write.mode("overwrite").partitionBy("part").parquet(target)
+    stored = read_table(df.sparkSession, target)
+    train, test = (stored.filter(F.col("part") == p).drop("part") for p in ("train", "test"))
+    return train, test
+
+
 def ingest_typed(
     spark: SparkSession,
     source: str,

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from skyledger import schema as S
 from skyledger.functions.text import empty_to_null
+from skyledger.session import persisted
 from skyledger.sources.checks import list_files
 
 def _header_places(wanted: Sequence[str]):
@@ -104,15 +105,15 @@ def read_raw(
     file listing itself; with a single group not even the names.
     """
     columns = list(columns)
-    found = header_groups(spark, path, columns, pattern)
-    kinds = [r["places"] for r in found.select("places").distinct().collect()]
-    if not kinds:
-        raise FileNotFoundError(f"no file with a header matches {path}")
-    if len(kinds) == 1:
-        return _read_group(spark, path, kinds[0], columns, pattern, options)
-    groups: dict[str, list[str]] = defaultdict(list)
-    for r in found.toLocalIterator():
-        groups[r["places"]].append(r["path"])
+    with persisted(header_groups(spark, path, columns, pattern)) as found:
+        kinds = [r["places"] for r in found.select("places").distinct().collect()]
+        if not kinds:
+            raise FileNotFoundError(f"no file with a header matches {path}")
+        if len(kinds) == 1:
+            return _read_group(spark, path, kinds[0], columns, pattern, options)
+        groups: dict[str, list[str]] = defaultdict(list)
+        for r in found.toLocalIterator():
+            groups[r["places"]].append(r["path"])
     parts = [
         _read_group(spark, groups[k], k, columns, None, options) for k in sorted(groups)
     ]
