@@ -384,12 +384,15 @@ ORACLES["ols_fit_lineitem"] = f"WITH {_solved('lineitem', _LINE_X, 'l_extendedpr
 )
 
 
-def _ridge(lam: float) -> tuple[str, list[str]]:
+def _ridge_penalty(lam: float) -> str:
     # Features have sample deviation 1, so population variance (n - 1) / n; the
     # penalty is divided by the population deviation of the label.
-    penalty = f"{lam} / stddev_pop(TMP_C) * count(*) / (count(*) - 1)"
+    return f"{lam} / stddev_pop(TMP_C) * count(*) / (count(*) - 1)"
+
+
+def _ridge(lam: float) -> tuple[str, list[str]]:
     values = [f"(w_{i} * sy * t_{i} / s_{i})" for i in range(1, _P + 1)]
-    return _solved("train", LINEAR_FEATURES, "TMP_C", penalty), values
+    return _solved("train", LINEAR_FEATURES, "TMP_C", _ridge_penalty(lam)), values
 
 
 _RIDGE_SQL, _RIDGE_VALUES = _ridge(0.3)
@@ -409,6 +412,84 @@ fit AS (SELECT greatest(covar_pop(x, y) - {lam * alpha}, 0.0)
 ORACLES["lasso_fit"] = _shrunk(0.1, 1.0)
 ORACLES["enet_fit"] = _shrunk(0.1, 0.5)
 
+def _path() -> str:
+    chains, scores = [], []
+    rmse = "sqrt(avg(power(TMP_C - ({p}), 2)))"
+    for i, lam in enumerate((0.003, 0.3, 3.0)):
+        chains.append(
+            _solved("fitted", LINEAR_FEATURES, "TMP_C", _ridge_penalty(lam), f"r{i}")
+        )
+        score = rmse.format(p=_prediction(LINEAR_FEATURES))
+        scores.append(f"SELECT 0.0 AS alpha, {lam} AS reg_param, {score} AS e FROM held, fitr{i}")
+    for alpha in (0.5, 1.0):
+        for lam in (0.003, 0.3):
+            slope = (
+                f"(greatest(cxy / sx - {lam * alpha}, 0.0)"
+                f" / (vx / (sx * sx) + {lam * (1 - alpha)} / sy))"
+            )
+            score = rmse.format(p=f"my + {slope} * (DEW_C - mx) / sx")
+            scores.append(f"SELECT {alpha}, {lam}, {score} FROM held, one")
+    return f"""WITH {PARTS},
+flagged AS (SELECT *, {_hash("'validation' || " + _ID)} % 100 < 20 AS v FROM train),
+fitted AS (SELECT * FROM flagged WHERE NOT v), held AS (SELECT * FROM flagged WHERE v),
+one AS (SELECT avg(DEW_C) AS mx, stddev_samp(DEW_C) AS sx, avg(TMP_C) AS my,
+  stddev_pop(TMP_C) AS sy, covar_pop(DEW_C, TMP_C) AS cxy, var_pop(DEW_C) AS vx FROM fitted),
+{', '.join(chains)}, scores AS ({' UNION ALL '.join(scores)})
+SELECT cast(alpha AS DOUBLE) AS alpha, cast(reg_param AS DOUBLE) AS reg_param,
+  round(e, 6) AS rmse, e = min(e) OVER (PARTITION BY alpha) AS is_best FROM scores"""
+
+
+ORACLES["regularization_path"] = _path()
+
+
+def _curve() -> str:
+    chains, means = [], []
+    for i, share in enumerate((0.1, 0.55, 1.0)):
+        rows = f"greatest(50, cast(floor(n_all * {share} + 1e-9) AS BIGINT))"
+        chains.append(f"sub{i} AS (SELECT * FROM ranked WHERE rn <= {rows})")
+        parts = []
+        for k in (0, 1):
+            tag = f"c{i}{k}"
+            chains.append(
+                f"t{tag} AS (SELECT * FROM sub{i} WHERE fold <> {k}), "
+                + _solved(f"t{tag}", LINEAR_FEATURES, "TMP_C", tag=tag)
+            )
+            error = f"power(TMP_C - ({_prediction(LINEAR_FEATURES)}), 2)"
+            parts.append(
+                f"SELECT sqrt(avg({error}) FILTER (fold <> {k})) AS tr, "
+                f"sqrt(avg({error}) FILTER (fold = {k})) AS va, count(*) AS n FROM sub{i}, fit{tag}"
+            )
+        means.append(
+            "SELECT max(n) AS size, round(avg(tr), 6) AS train_rmse, round(avg(va), 6) AS val_rmse"
+            f" FROM ({' UNION ALL '.join(parts)})"
+        )
+    return f"""WITH {PARTS}, ranked AS (SELECT *, {_hash("'fold42' || " + _ID)} % 2 AS fold,
+  row_number() OVER (ORDER BY {_hash("'42' || " + _ID, 13)}, event_id) AS rn,
+  count(*) OVER () AS n_all FROM train), {', '.join(chains)} {' UNION ALL '.join(means)}"""
+
+
+ORACLES["learning_curve"] = _curve()
+
+
+def _stump(table: str, y: str, tag: str) -> str:
+    """The split of the hour that lowers the variance most, and its two means."""
+    return f"""g{tag} AS (SELECT "hour" AS h, count(*) AS n, sum({y}) AS s FROM {table} GROUP BY "hour"),
+c{tag} AS (SELECT a.h + 0.5 * (lead(a.h) OVER (ORDER BY a.h) - a.h) AS cut,
+    sum(n) OVER w AS ln, sum(s) OVER w AS ls, sum(n) OVER () AS an, sum(s) OVER () AS s_all
+  FROM g{tag} a WINDOW w AS (ORDER BY h)),
+k{tag} AS (SELECT cut AS cut{tag}, ls / ln AS lo{tag}, (s_all - ls) / (an - ln) AS hi{tag}
+  FROM c{tag} WHERE cut IS NOT NULL
+  ORDER BY ls * ls / ln + (s_all - ls) * (s_all - ls) / (an - ln) DESC LIMIT 1)"""
+
+
+# The second tree is grown on the gradient of the squared error, twice the residual.
+ORACLES["gbt_stumps"] = f"""WITH {PARTS}, {_stump('train', 'TMP_C', '1')},
+second AS (SELECT "hour",
+  2 * (TMP_C - CASE WHEN "hour" <= cut1 THEN lo1 ELSE hi1 END) AS r FROM train, k1),
+{_stump('second', 'r', '2')}
+SELECT event_id, "hour", round(CASE WHEN "hour" <= cut1 THEN lo1 ELSE hi1 END
+  + 0.3 * CASE WHEN "hour" <= cut2 THEN lo2 ELSE hi2 END, 6) AS prediction FROM test, k1, k2"""
+
 SCORED = f"""{PARTS}, {_OLS}, scored AS (
   SELECT event_id, "DATE", TMP_C, {_prediction(LINEAR_FEATURES)} AS prediction FROM test, fit),
 res AS (SELECT *, TMP_C - prediction AS residual FROM scored)"""

@@ -487,10 +487,20 @@ def enet_fit(spark, d):
 
 @query
 def regularization_path(spark, d):
-    train = parts(spark, d)[0]
-    ridge = M.search_penalty(train, 0.0, [0.003, 0.3]).trials
-    lasso = M.search_penalty(train, 1.0, [0.003, 0.1]).trials
-    return ridge.withColumn("alpha", F.lit(0.0)).unionByName(lasso.withColumn("alpha", F.lit(1.0)))
+    train = D.validation_flag(parts(spark, d)[0], KEY, 20)
+    searches = {
+        0.0: M.search_penalty(train, 0.0, [0.003, 0.3, 3.0], validation="is_validation"),
+        0.5: M.search_penalty(train, 0.5, [0.003, 0.3], ["DEW_C"], validation="is_validation"),
+        1.0: M.search_penalty(train, 1.0, [0.003, 0.3], ["DEW_C"], validation="is_validation"),
+    }
+    rows = [
+        s.trials.select(
+            F.lit(a).alias("alpha"), "reg_param", "rmse",
+            (F.col("reg_param") == s.best["best_regParam"]).alias("is_best"),
+        )
+        for a, s in searches.items()
+    ]
+    return rounded(rows[0].unionByName(rows[1]).unionByName(rows[2]))
 
 
 def _ols_scored(spark, d) -> DataFrame:
@@ -545,6 +555,19 @@ def gbt_fit(spark, d):
     return _scores(spark, d, PipelineModel([*fitted.stages, model]))
 
 
+@query
+def gbt_stumps(spark, d):
+    """Two rounds of one-split trees on the hour, small enough to state in SQL."""
+    train, test = parts(spark, d)
+    assemble = X.assembler(["hour"])
+    params = {
+        "n_estimators": 2, "max_depth": 1, "learning_rate": 0.3,
+        "subsample": 1.0, "colsample_bytree": 1.0,
+    }
+    model = M.fit_boosted(assemble.transform(train), params)
+    return rounded(M.score(PipelineModel([assemble, model]), test, ["event_id", "hour"]))
+
+
 @query
 def gbt_early_stop(spark, d):
     fitted, vectors, _ = _boost_inputs(spark, d)
@@ -570,11 +593,10 @@ def gbt_importance(spark, d):
 
 @query
 def learning_curve(spark, d):
-    train = parts(spark, d)[0]
-    vectors = X.assembler(S.LINEAR_FEATURES).transform(train)
+    vectors = X.assembler(S.LINEAR_FEATURES).transform(parts(spark, d)[0])
     vectors = vectors.select("event_id", "TMP_C", "features")
     linear = LinearRegression(featuresCol="features", labelCol="TMP_C")
-    return rounded(M.learning_curve(vectors, KEY, linear, steps=3, folds=2), 4)
+    return rounded(M.learning_curve(vectors, KEY, linear, steps=3, folds=2))
 
 
 @query

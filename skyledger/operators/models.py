@@ -119,16 +119,19 @@ def search_penalty(
     seed: int = 42,
     parallelism: int = 4,
     handle_invalid: str = "error",
+    validation: str | None = None,
 ) -> Search:
     """Pick the penalty with the least validation RMSE, then refit on all rows.
 
-    Features are assembled and standardised once for the whole grid, candidates are
+    Validation rows are a seeded random share, or those a boolean ``validation``
+    column marks. Features are assembled and standardised once for the whole grid, candidates are
     fitted side by side, and one pass scores them all. Trials: (reg_param, rmse).
     """
     grid = list(default_grid(alpha) if grid is None else grid)
     assemble = X.assembler(features, handle_invalid)
-    vectors = assemble.transform(model_columns(train, label, features)).select(label, "features")
-    with persisted(vectors.withColumn("__part", F.rand(seed) < train_ratio)) as held:
+    part_of = ~F.col(validation) if validation else F.rand(seed) < train_ratio
+    vectors = assemble.transform(train).select(label, "features", part_of.alias("__part"))
+    with persisted(vectors) as held:
         scale = X.standardizer().fit(held.filter("__part"))
         part = scale.transform(held.filter("__part")).select(label, "scaledFeatures")
         with ThreadPool(max(1, min(parallelism, len(grid)))) as pool:

@@ -18,6 +18,7 @@ from skyledger.operators.ranks import order_statistics
 _HASH = "__key_hash"
 _HASH_DIGITS = 13  # 52 bits: exact as DOUBLE
 _HASH_RANGE = 16**_HASH_DIGITS
+_ORDERED_TIES = 100_000
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -32,7 +33,7 @@ def nested_samples(
 
     A smaller sample lies within a larger one. The n-th least hash is found by rank
     (one search for all sizes), so a sample is a plain filter of the table however
-    large n is; only rows that tie on that one hash are ordered.
+    large n is. Only where keys repeat can rows tie on that one hash.
     """
     hashed = df.withColumn(_HASH, key_hash(*keys, salt=str(seed), digits=_HASH_DIGITS))
     # Hashes are uniform, so even cut points need no look at the data.
@@ -47,10 +48,14 @@ def _least_hashes(hashed: DataFrame, n: int, keys: Sequence[str], found: dict) -
         return hashed.limit(0)
     if n not in found:  # more than there are rows
         return hashed
-    last, below = found[n]
-    last, h = int(last), F.col(_HASH)
-    ties = hashed.filter(h == last).orderBy(*keys).limit(n - below)
-    return hashed.filter(h < last).unionByName(ties)
+    last, h, missing = int(found[n].value), F.col(_HASH), n - found[n].below
+    if missing == found[n].equal:
+        return hashed.filter(h <= last)
+    # Keys that repeat: the rows of one hash are more than are still missing.
+    ties = hashed.filter(h == last)
+    if missing <= _ORDERED_TIES:
+        ties = ties.orderBy(*keys)
+    return hashed.filter(h < last).unionByName(ties.limit(missing))
 
 
 def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:

@@ -19,6 +19,8 @@ def test_quantiles_are_exact(spark):
     df = spark.createDataFrame(rows, "x double, y double, z int").repartition(6)
     probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
     got = R.exact_quantiles(df, {"x": probs, "y": probs, "z": probs})
+    # Few coarse buckets and a low limit force cutting again and again.
+    assert got == R.exact_quantiles(df, {c: probs for c in "xyz"}, buckets=3, limit=20)
     z = [r[2] for r in rows if r[2] is not None]
     assert got["x"] == [disc(x, p) for p in probs]
     assert got["y"] == [disc(y, p) for p in probs]
@@ -46,7 +48,17 @@ def test_any_cut_points_give_the_same_ranks(spark, cuts):
     df = spark.range(100).select((F.col("id") % 40).cast("double").alias("x"))
     got = R.order_statistics(df, {"x": [1, 50, 100, 101]}, {"x": cuts})["x"]
     values = sorted(i % 40 for i in range(100))
-    assert got == {r: (values[r - 1], values.index(values[r - 1])) for r in (1, 50, 100)}
+    assert got == {
+        r: (v, values.index(v), values.count(v)) for r in (1, 50, 100) for v in [values[r - 1]]
+    }
+
+
+def test_value_that_hides_its_neighbours(spark):
+    # All but a few rows hold one value, so no quantile of the bucket shows the rest.
+    x = F.when(F.col("id") < 9000, 0.0).otherwise(F.col("id").cast("double"))
+    df = spark.range(9050).select(x.alias("x"))
+    got = R.order_statistics(df, {"x": [5000, 9001, 9050]}, {"x": []}, buckets=4, limit=10)["x"]
+    assert got == {5000: (0.0, 0, 9000), 9001: (9000.0, 9000, 1), 9050: (9049.0, 9049, 1)}
 
 
 def test_sample_n_is_exact_and_nested(spark):
