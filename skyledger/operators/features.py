@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -45,12 +46,21 @@ def impute_exact_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
-    """Most frequent present value of each column, the least one on ties.
+class Category(NamedTuple):
+    """The most frequent value of a column and its number of distinct values."""
+
+    mode: str | None
+    distinct: int
+
+
+def categories(df: DataFrame, columns: Sequence[str]) -> dict[str, Category]:
+    """Profile categorical columns in one job; ties go to the least value.
 
     Values are counted first, so a hot value is one row per task in the shuffle and
     no task holds more than its share of distinct values.
     """
+    if not columns:
+        return {}
     text = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     counted = (
         text.unpivot([], list(columns), "column", "value")
@@ -59,22 +69,23 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
         .count()
     )
     best = counted.groupBy("column").agg(
-        F.min_by("value", F.struct(-F.col("count"), F.col("value"))).alias("value")
+        F.min_by("value", F.struct(-F.col("count"), F.col("value"))).alias("mode"),
+        F.count(F.lit(1)).alias("distinct"),
     )
-    found = {r["column"]: r["value"] for r in best.collect()}
-    return {c: found.get(c) for c in columns}
+    found = {r["column"]: Category(r["mode"], r["distinct"]) for r in best.collect()}
+    return {c: found.get(c, Category(None, 0)) for c in columns}
 
 
 def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fill missing categorical values with the most frequent one, in place."""
-    fill = {c: v for c, v in modes(df, columns).items() if v is not None}
+    fill = {c: v.mode for c, v in categories(df, columns).items() if v.mode is not None}
     return df.fillna(fill) if fill else df
 
 
-def mode_imputer(df: DataFrame, columns: Sequence[str]) -> SQLTransformer:
-    """Stage that writes ``<column>_fill`` with missing values set to this table's mode."""
+def fill_stage(modes: Mapping[str, str | None]) -> SQLTransformer:
+    """Stage that writes ``<column>_fill`` with missing values set to the given ones."""
     filled = []
-    for c, v in modes(df, columns).items():
+    for c, v in modes.items():
         literal = (v or "").replace("\\", "\\\\").replace("'", "\\'")
         filled.append(f"coalesce(cast(`{c}` AS string), '{literal}') AS `{c}{FILLED}`")
     return SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__")
@@ -130,20 +141,19 @@ def preparation(
 
     Column kinds are read off the schema. Gives the pipeline, whose category fill is
     already taken from ``df``, and the names of the numeric columns. Category lists
-    become part of the model, so a column with clearly more than ``max_categories``
+    become part of the model, so a column with more than ``max_categories``
     values (a row id, free text) is refused rather than cut.
     """
     numeric, categorical = column_kinds(df, exclude)
-    if categorical:
-        sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-        too_many = [c for c in categorical if sizes[c] > 1.2 * max_categories]
-        if too_many:
-            raise ValueError(f"too many categories to encode in {too_many}: exclude them")
+    profile = categories(df, categorical)
+    too_many = [c for c, p in profile.items() if p.distinct > max_categories]
+    if too_many:
+        raise ValueError(f"too many categories to encode in {too_many}: exclude them")
     stages = []
     if numeric:
         stages.append(median_imputer(numeric, relative_error))
     if categorical:
-        stages.append(mode_imputer(df, categorical))
+        stages.append(fill_stage({c: p.mode for c, p in profile.items()}))
         stages += one_hot_stages([c + FILLED for c in categorical])
     inputs = [c + IMPUTED for c in numeric] + [c + FILLED + "_vec" for c in categorical]
     stages.append(assembler(inputs))

@@ -206,8 +206,9 @@ def prepare_boosting(
     kept columns) and the names of the vector's slots.
     """
     left_out = [label, *exclude, *keep]
-    stages, numeric = X.preparation(train, left_out)
-    fitted = stages.fit(train)
+    with persisted(train.drop(*exclude)) as held:
+        stages, numeric = X.preparation(held, left_out)
+        fitted = stages.fit(held)
     vectors = fitted.transform(train).select(*dict.fromkeys([label, "features", *keep]))
     return fitted, vectors, X.encoded_names(fitted, numeric)
 

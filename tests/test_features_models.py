@@ -36,9 +36,9 @@ def test_mode_takes_the_least_on_ties(spark):
     df = spark.createDataFrame(
         [("b", None), ("a", None), (None, None), ("b", None), ("a", "it's")], "x string, y string"
     )
-    assert X.modes(df, ["x", "y"]) == {"x": "a", "y": "it's"}
+    assert X.categories(df, ["x", "y"]) == {"x": ("a", 2), "y": ("it's", 1)}
     assert X.impute_mode(df, ["x"]).filter("x = 'a'").count() == 3
-    assert X.mode_imputer(df, ["x", "y"]).transform(df).filter("y_fill = \"it's\"").count() == 5
+    assert X.fill_stage({"x": "a", "y": "it's"}).transform(df).filter("y_fill = \"it's\"").count() == 5
 
 
 def test_one_hot_unknown_is_all_zero(spark):
