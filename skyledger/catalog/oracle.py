@@ -494,8 +494,8 @@ SCORED = f"""{PARTS}, {_OLS}, scored AS (
   SELECT event_id, "DATE", TMP_C, {_prediction(LINEAR_FEATURES)} AS prediction FROM test, fit),
 res AS (SELECT *, TMP_C - prediction AS residual FROM scored)"""
 ORACLES["ols_predict"] = (
-    f'WITH {SCORED} SELECT event_id, "DATE", round(TMP_C, 6) AS TMP_C, '
-    "round(prediction, 6) AS prediction FROM scored"
+    f'WITH {SCORED} SELECT event_id, "DATE", round(TMP_C, 4) AS TMP_C, '
+    "round(prediction, 4) AS prediction FROM scored"
 )
 ORACLES["model_roundtrip"] = f"WITH {PARTS} SELECT count(*) AS n, count(*) AS n_same FROM test"
 
@@ -517,8 +517,8 @@ FROM res GROUP BY {_part}("DATE")"""
 ORACLES["calibration"] = f"""WITH {SCORED}
 SELECT cast(floor(prediction) AS BIGINT) AS "bin", round(avg(TMP_C), 6) AS avg_true,
   round(avg(prediction), 6) AS avg_pred, count(*) AS n FROM res GROUP BY floor(prediction)"""
-ORACLES["residuals"] = f"""WITH {SCORED} SELECT event_id, round(TMP_C, 6) AS TMP_C,
-  round(prediction, 6) AS prediction, round(residual, 6) + 0.0 AS residual FROM res"""
+ORACLES["residuals"] = f"""WITH {SCORED} SELECT event_id, round(TMP_C, 4) AS TMP_C,
+  round(prediction, 4) AS prediction, round(residual, 4) + 0.0 AS residual FROM res"""
 ORACLES["residual_histogram"] = f"WITH {SCORED} {_histogram('res', ['residual'], 50)}"
 _GRID = normal_quantiles(99)
 _QQ = f"""{SCORED}, q AS (

@@ -1,7 +1,7 @@
 """One query per operator, over the whole derived feed or a whole given table.
 
 Floating results are rounded to six places so that engines which add in another
-order agree.
+order agree, and rows of predictions to four.
 """
 
 from __future__ import annotations
@@ -510,7 +510,7 @@ def _ols_scored(spark, d) -> DataFrame:
 
 @query
 def ols_predict(spark, d):
-    return rounded(_ols_scored(spark, d))
+    return rounded(_ols_scored(spark, d), 4)
 
 
 @query
@@ -643,7 +643,7 @@ def calibration(spark, d):
 
 @query
 def residuals(spark, d):
-    return rounded(E.residual_rows(_ols_scored(spark, d), keep=["event_id"]))
+    return rounded(E.residual_rows(_ols_scored(spark, d), keep=["event_id"]), 4)
 
 
 @query

@@ -75,4 +75,4 @@ def cleanse_funnel(df: DataFrame) -> DataFrame:
 
 
 def drop_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(columns))
+    return df.dropna(subset=list(columns)) if columns else df

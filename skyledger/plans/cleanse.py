@@ -20,7 +20,11 @@ def cleanse(
     """
     if variable_wind_dir not in ("keep", "null"):
         raise ValueError("variable_wind_dir is 'keep' or 'null'")
-    kept = L.keep_accepted(L.drop_missing(C.split_packed(df, once=True)))
+    # A row without one of the packed fields cannot pass; said on the raw columns, this
+    # reaches the scan.
+    packed = C.present(df, list(S.PACKED_LAYOUTS))
+    whole = df.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in packed) or "true")
+    kept = L.keep_accepted(L.drop_missing(C.split_packed(whole, once=True)))
     scaled = C.rename_units(C.scale_units(C.add_calendar(C.drop_columns(kept))))
     if variable_wind_dir == "null":
         code = F.lit(float(S.WIND_DIRECTION_MISSING))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 
 from skyledger import schema as S
 from skyledger.functions.numeric import key_hash
+from skyledger.functions.text import alpha_label
 from skyledger.operators import evaluate as E, models as M
 from skyledger.operators.profile import axis_limits, histogram
 from skyledger.operators.sampling import validation_flag
@@ -76,8 +77,12 @@ def regularized_family(
     features: Sequence[str] = tuple(S.LINEAR_FEATURES),
     label: str = S.LABEL,
     handle_invalid: str = "error",
+    folder: str | None = None,
 ) -> tuple[dict[float, Report], DataFrame]:
-    """Ridge, elastic net and lasso: a report per mixing weight, and the comparison."""
+    """Ridge, elastic net and lasso: a report per mixing weight, and the comparison.
+
+    With a folder, reports are written below it as ``ridge_a0``, ``enet_a0p25`` and so on.
+    """
     names = {0.0: "Ridge", 1.0: "Lasso"}
     reports = {}
     for alpha in alphas:
@@ -90,7 +95,14 @@ def regularized_family(
         report = _linear_report(found.model, test, features, label, name, extra)
         report.tables["trials"] = found.trials
         reports[alpha] = report
-    return reports, E.model_comparison([r.tables["metrics"] for r in reports.values()])
+    summary = E.model_comparison([r.tables["metrics"] for r in reports.values()])
+    if folder:
+        weights = train.sparkSession.createDataFrame([(float(a),) for a in reports], "a double")
+        for r in weights.select("a", alpha_label("a").alias("label")).collect():
+            name = names.get(r["a"], "Enet").lower()
+            reports[r["a"]].write(f"{folder}/{name}_{r['label']}")
+        write_results({"regularized_summary": summary}, folder)
+    return reports, summary
 
 
 def _diagnostics(predictions: DataFrame, label: str) -> dict[str, DataFrame]:

@@ -94,6 +94,15 @@ def test_each_field_is_split_once(feed):
     assert plan.count("split(WND") == 1
 
 
+def test_plan_is_one_narrow_stage_over_a_pruned_scan(spark, feed, tmp_path):
+    feed.drop("event_id").write.parquet(f"{tmp_path}/raw")
+    table = cleanse(spark.read.parquet(f"{tmp_path}/raw")).select("hour", "TMP_C")
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+    assert "IsNotNull(WND)" in plan and "IsNotNull(SLP)" in plan
+    assert "STATION" not in plan and "LATITUDE" not in plan
+
+
 def test_column_order(spark):
     out = C.add_calendar(raw(spark, {}).withColumnRenamed("WND", "hour"))
     assert out.columns[:6] == ["STATION", "DATE", "year", "month", "day", "hour"]

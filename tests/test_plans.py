@@ -30,7 +30,10 @@ def test_linear_family(split, tmp_path):
     assert base.tables["coefficients"].count() == 8
     base.write(f"{tmp_path}/base")
     grids = {0.0: [0.003, 0.1], 1.0: [0.003]}
-    reports, summary = J.regularized_family(*split, alphas=[0.0, 1.0], grids=grids)
+    reports, summary = J.regularized_family(
+        *split, alphas=[0.0, 1.0], grids=grids, folder=f"{tmp_path}/l"
+    )
+    assert sorted(os.listdir(f"{tmp_path}/l")) == ["lasso_a1", "regularized_summary", "ridge_a0"]
     assert [r["model"] for r in summary.collect()] == ["Ridge (alpha=0.0)", "Lasso (alpha=1.0)"]
     assert reports[0.0].tables["coefficient_diagnostics"].first()["nonzero"] == 8
 
