@@ -8,7 +8,7 @@ are all that is shuffled.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -63,17 +63,16 @@ def correlation_matrix(
     The upper triangle is computed and mirrored: (x, y, corr).
     """
     columns = present(df, columns)
-    pairs = list(combinations_with_replacement(columns, 2))
-    one_row = df.agg(*[F.corr(x, y).alias(f"p{i}") for i, (x, y) in enumerate(pairs)])
-    cells = []
+    pairs = list(combinations(columns, 2))
+    one_row = df.agg(
+        *[F.corr(x, y).alias(f"p{i}") for i, (x, y) in enumerate(pairs)],
+        *[F.when(F.stddev_pop(c) > 0, 1.0).alias(f"d{i}") for i, c in enumerate(columns)],
+    )
+    cells = [(c, c, f"d{i}") for i, c in enumerate(columns)]
     for i, (x, y) in enumerate(pairs):
-        for a, b in {(x, y), (y, x)}:
-            cells.append(
-                F.struct(
-                    F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"p{i}").alias("corr")
-                )
-            )
-    return one_row.select(F.inline(F.array(*cells)))
+        cells += [(x, y, f"p{i}"), (y, x, f"p{i}")]
+    rows = ", ".join(f"struct('{x}' AS x, '{y}' AS y, {v} AS corr)" for x, y, v in cells)
+    return one_row.select(F.expr(f"inline(array({rows}))"))
 
 
 def value_limits(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:

@@ -20,6 +20,11 @@ from skyledger.sources.checks import require_columns
 from skyledger.sources.tables import write_results, write_table
 
 
+# --- fixed values: model names in reports ------------------------------------
+BASELINE = "Baseline Linear Regression"
+FAMILY = {0.0: "Ridge", 1.0: "Lasso"}  # any other mixing weight is "Enet"
+
+
 @dataclass
 class Report:
     """A fitted model, its scored test rows (lazy) and its small result tables."""
@@ -65,8 +70,8 @@ def linear_baseline(
     """Ordinary least squares on the training rows, scored on the test rows."""
     require_columns(test, [label, *features], "test table")
     model = M.fit_ols(train, features, label, handle_invalid)
-    name = "Baseline Linear Regression"
-    return _linear_report(model, test, features, label, name, {"intercept": _intercept(model)})
+    extra = {"intercept": _intercept(model)}
+    return _linear_report(model, test, features, label, BASELINE, extra)
 
 
 def regularized_family(
@@ -83,7 +88,6 @@ def regularized_family(
 
     With a folder, reports are written below it as ``ridge_a0``, ``enet_a0p25`` and so on.
     """
-    names = {0.0: "Ridge", 1.0: "Lasso"}
     reports = {}
     for alpha in alphas:
         grid = (grids or {}).get(alpha)
@@ -91,7 +95,7 @@ def regularized_family(
             train, alpha, grid, features, label, handle_invalid=handle_invalid
         )
         extra = {**found.best, "intercept": _intercept(found.model)}
-        name = f"{names.get(alpha, 'Enet')} (alpha={alpha})"
+        name = f"{FAMILY.get(alpha, 'Enet')} (alpha={alpha})"
         report = _linear_report(found.model, test, features, label, name, extra)
         report.tables["trials"] = found.trials
         reports[alpha] = report
@@ -99,7 +103,7 @@ def regularized_family(
     if folder:
         weights = train.sparkSession.createDataFrame([(float(a),) for a in reports], "a double")
         for r in weights.select("a", alpha_label("a").alias("label")).collect():
-            name = names.get(r["a"], "Enet").lower()
+            name = FAMILY.get(r["a"], "Enet").lower()
             reports[r["a"]].write(f"{folder}/{name}_{r['label']}")
         write_results({"regularized_summary": summary}, folder)
     return reports, summary

@@ -36,15 +36,17 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only where the session names none (a local test) is one made and set.
     """
+    context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    base = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    spark.sparkContext.setCheckpointDir(base)
-    return base
+    if not base:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="run-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    if context.getCheckpointDir() is None:
+        # Boosting cuts its lineage there every few rounds.
+        context.setCheckpointDir(base)
+    return base.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -10,6 +10,7 @@ small for feeds whose files carry many optional fields.
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from urllib.parse import quote
@@ -113,7 +114,7 @@ def read_raw(
             return _read_group(spark, path, kinds[0], columns, pattern, options)
         groups: dict[str, list[str]] = defaultdict(list)
         for r in found.toLocalIterator():
-            groups[r["places"]].append(r["path"])
+            groups[r["places"]].append(re.sub(r"([\\*?\[\]{}])", r"\\\1", r["path"]))
     parts = [
         _read_group(spark, groups[k], k, columns, None, options) for k in sorted(groups)
     ]

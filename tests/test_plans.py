@@ -17,7 +17,7 @@ def split(clean):
 
 def test_explore(clean, tmp_path):
     tables = X.explore(clean)
-    T.write_results(tables, str(tmp_path))
+    assert sorted(X.write_explored(clean, str(tmp_path))) == sorted(tables)
     assert sorted(os.listdir(tmp_path)) == sorted(tables)
     assert tables["avg_tmp_by_hour"].count() == 24
     assert tables["correlation"].count() == 36 and tables["histogram"].count() == 180

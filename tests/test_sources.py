@@ -21,6 +21,7 @@ def files(tmp_path):
     put(tmp_path, "d.csv", "STATION,DATE,TMP\n")
     put(tmp_path, "e.csv", "")
     put(tmp_path, "f.csv", "station,DATE,TMP\r\n6,d6,z\r\n", "utf-8-sig")
+    put(tmp_path, "g [1]{x}#%20.csv", "TMP,STATION\nw,7\n")
     put(tmp_path, "note.txt", "not a table")
     return tmp_path
 
@@ -31,6 +32,7 @@ def test_read_raw_binds_by_name(spark, files):
     assert sorted(map(tuple, out.collect())) == [
         ("1", "d1", "+0010,1", None), ("2", "d2", None, None), ("3", "d3", "-0020,1", "55"),
         ("4", "d4", None, None), ("5", "d5", 'say "hi", you', None), ("6", "d6", "z", None),
+        ("7", None, "w", None),
     ]
 
 
@@ -39,6 +41,7 @@ def test_unwanted_columns_do_not_make_groups(spark, files):
     places = {os.path.basename(r["path"]): r["places"] for r in groups.collect()}
     assert places == {
         "a.csv": "0,1,2", "c.csv": "0,1,2", "d.csv": "0,1,2", "f.csv": "0,1,2", "b.csv": "3,2,1",
+        "g [1]{x}#%20.csv": "1,-1,0",
     }
 
 
@@ -98,6 +101,23 @@ def test_partitioned_write_has_few_files_and_prunes(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in plan
 
 
+def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    month = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 12 + 1)
+    df = spark.range(0, 400_000, 1, 8).select(
+        "id", F.md5(F.col("id").cast("string")).alias("text"),
+        F.lit(2024).alias("year"), month.cast("int").alias("month"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1MB")
+    try:
+        path = T.write_partitioned(df, f"{tmp_path}/hot")
+    finally:
+        spark.conf.set(key, before)
+    assert len(parquet_files(f"{path}/year=2024/month=1")) > 2
+    assert T.read_table(spark, path).count() == 400_000
+
+
 def test_null_partition_key_comes_back(spark, tmp_path):
     df = months(spark, 4).withColumn("month", F.when(F.col("id") > 1, F.col("month")))
     back = T.read_table(spark, T.write_partitioned(df, f"{tmp_path}/n"))
