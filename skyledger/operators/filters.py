@@ -10,7 +10,8 @@ from skyledger import schema as S
 
 
 def _one_of(column: str, values: Sequence[str]) -> str:
-    return f"`{column}` IN (" + ", ".join(f"'{v}'" for v in values) + ")"
+    quoted = [v.replace("\\", "\\\\").replace("'", "\\'") for v in values]
+    return f"`{column}` IN (" + ", ".join(f"'{v}'" for v in quoted) + ")"
 
 
 def _missing_rules(codes: Mapping[str, Sequence[str]] | None) -> dict[str, str]:

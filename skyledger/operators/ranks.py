@@ -80,35 +80,31 @@ def cut_points(df: DataFrame, columns: Sequence[str], buckets: int = _BUCKETS) -
     return {c: sorted(set(row[f"q{i}"] or [])) for i, c in enumerate(columns)}
 
 
-def _bucketed(df: DataFrame, cuts: Cuts) -> DataFrame:
-    """(column, x, bucket) rows of present numbers; a cut point opens its bucket."""
+def _bucketed(df: DataFrame, cuts: Cuts, cells: Iterable[Cell] | None = None) -> DataFrame:
+    """(column, x, bucket) rows of present numbers; a cut point opens its bucket.
+
+    With ``cells`` given, only the numbers in those (column, bucket) pairs.
+    """
     inf = float("inf")
-    columns = list(cuts)
+    chosen = defaultdict(list)
+    for c, b in cells or ():
+        chosen[c].append(b)
+    columns = list(cuts) if cells is None else list(chosen)
     names = [f"__b{i}" for i in range(len(columns))]
     splits = [[-inf, *([p for p in cuts[c] if -inf < p < inf] or [0.0]), inf] for c in columns]
     kept = Bucketizer(
         splitsArray=splits, inputCols=columns, outputCols=names, handleInvalid="keep"
     ).transform(df)
-    cells = [
-        F.struct(
-            F.lit(c).alias("column"), F.col(c).alias("x"), F.col(b).cast("int").alias("bucket")
-        )
-        for c, b in zip(columns, names)
-    ]
-    long = kept.select(F.inline(F.array(*cells)))
+    out = []
+    for c, b in zip(columns, names):
+        x, bucket = F.col(c), F.col(b).cast("int")
+        if cells is not None:
+            x = F.when(bucket.isin(chosen[c]), x)
+        out.append(F.struct(F.lit(c).alias("column"), x.alias("x"), bucket.alias("bucket")))
+    long = kept.select(F.inline(F.array(*out)))
     return long.filter(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
-def _inside(cells: Iterable[Cell]) -> Column:
-    by_column = defaultdict(list)
-    for c, b in cells:
-        by_column[c].append(b)
-    out = F.lit(False)
-    for c, buckets in by_column.items():
-        out = out | ((F.col("column") == c) & F.col("bucket").isin(buckets))
-    return out
-
-
 def _bucket_sizes(df: DataFrame, cuts: Cuts) -> dict[str, dict[int, int]]:
     """Rows per bucket: a few hundred numbers per column (one pass)."""
     sizes: dict[str, dict[int, int]] = {c: {} for c in cuts}
@@ -135,9 +131,9 @@ def _finer(df: DataFrame, cuts: Cuts, cells: Iterable[Cell], buckets: int) -> di
     Each new point is cut off on both sides: a value that fills its bucket gets one
     of its own, and what lies beside it can be cut further.
     """
-    inside = _bucketed(df, cuts).filter(_inside(cells))
     sketches = (
-        inside.groupBy("column", "bucket", _sketch_group().alias("g"))
+        _bucketed(df, cuts, cells)
+        .groupBy("column", "bucket", _sketch_group().alias("g"))
         .agg(F.kll_sketch_agg_double("x").alias("s"))
         .groupBy("column", "bucket")
         .agg(F.kll_merge_agg_double("s").alias("s"))
@@ -170,8 +166,7 @@ def _refine(df: DataFrame, cuts: Cuts, targets) -> dict[str, dict[int, Ranked]]:
     in_order = Window.partitionBy("column", "bucket").orderBy("x")
     upto = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
     counted = (
-        _bucketed(df, cuts)
-        .filter(_inside({(c, b) for c, b, _, _ in targets}))
+        _bucketed(df, cuts, {(c, b) for c, b, _, _ in targets})
         .groupBy("column", "bucket", "x")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", upto)

@@ -102,6 +102,13 @@ def test_plan_is_one_narrow_stage_over_a_pruned_scan(spark, feed, tmp_path):
     assert "STATION" not in plan and "LATITUDE" not in plan
 
 
+def test_own_codes(spark):
+    df = raw(spark, {}, {"TMP": "it's,1"}, {"TMP": "\\N,1"})
+    tokens = C.split_packed(df)
+    assert L.drop_missing(tokens, {"TMP_RAW": ["it's", "\\N"]}).count() == 1
+    assert L.keep_accepted(tokens, {"CIG_DET_CODE": ["8"]}).count() == 0
+
+
 def test_column_order(spark):
     out = C.add_calendar(raw(spark, {}).withColumnRenamed("WND", "hour"))
     assert out.columns[:6] == ["STATION", "DATE", "year", "month", "day", "hour"]

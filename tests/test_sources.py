@@ -36,6 +36,12 @@ def test_read_raw_binds_by_name(spark, files):
     ]
 
 
+def test_read_raw_scans_only_what_is_used(spark, files):
+    out = SRC.read_raw(spark, str(files), ["STATION", "DATE", "TMP"], pattern="*.csv")
+    plan = out.select("TMP")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<TMP:string>" in plan and "DATE" not in plan
+
+
 def test_unwanted_columns_do_not_make_groups(spark, files):
     groups = SRC.header_groups(spark, str(files), ["STATION", "DATE", "TMP"], "*.csv")
     places = {os.path.basename(r["path"]): r["places"] for r in groups.collect()}
