@@ -71,7 +71,7 @@ def annotate(
             for first, count in slices(values):
                 part = batch.slice(first, count)
                 made = score(Texts(values.slice(first, count)))
-                columns = [pa.array(m, t) for m, t in zip(made, arrow)]
+                columns = [m if isinstance(m, pa.Array) else pa.array(m, t) for m, t in zip(made, arrow)]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, *columns], names=schema.names
                 )
@@ -91,7 +91,7 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
 _KINDS = {
     "double": T.DoubleType(), "long": T.LongType(), "int": T.IntegerType(),
     "string": T.StringType(), "boolean": T.BooleanType(),
-    "array<int>": T.ArrayType(T.IntegerType()),
+    "array<int>": T.ArrayType(T.IntegerType()), "array<long>": T.ArrayType(T.LongType()),
 }
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import bpe_tree, langid, packing, quality_embed, quality_rules, secrets
+from skyledger.llm import bpe_tree, jaccard, langid, line_runs, packing, quality_embed, quality_rules, secrets
 from skyledger.llm.batches import held_out, stored
 from skyledger.llm.tables import table
 
@@ -74,6 +74,30 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op8_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and group of near copies of every document."""
+    return jaccard.join_groups(table(spark, folder, "documents"))
+
+
+ORACLES["op8_jaccard"] = jaccard.oracle()
+
+
+@query
+def op9_line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines, deleted lines and the digest of the remaining text of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_runs.mark_lines(docs).select(
+        "doc_id",
+        F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("__deleted"), F.lit(0)).cast("long").alias("n_deleted"),
+        F.sha2(F.coalesce(line_runs.remaining(), F.lit("")), 256).alias("left_sha256"),
+    )
+
+
+ORACLES["op9_line_runs"] = line_runs.oracle()
+
+
 @query
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids of every document and of the bytes they decode to."""
