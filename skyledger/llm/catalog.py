@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import bpe_tree, jaccard, langid, line_runs, packing, quality_embed, quality_rules, secrets
+from skyledger.llm import bpe_tree, jaccard, langid, line_runs, packing, pivots, quality_embed, quality_rules, secrets
 from skyledger.llm.batches import held_out, stored
 from skyledger.llm.tables import table
 
@@ -64,6 +64,15 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(sized)
 
 
+@query
+def op6_pivots(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and group of near-duplicate vectors of every embedding."""
+    return pivots.near_duplicates(table(spark, folder, "embeddings"))
+
+
+ORACLES["op6_pivots"] = pivots.oracle()
+
+
 @query
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secret spans of every document."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from skyledger.llm.batches import stored
@@ -51,3 +52,14 @@ def components(edges: DataFrame, name: str = "components", most_rounds: int = 60
         raise RuntimeError(f"no fixed point after {most_rounds} rounds")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def least_reached(ids: np.ndarray, links: np.ndarray) -> np.ndarray:
+    """Least id that each row reaches through a symmetric link matrix."""
+    label = ids.copy()
+    a, b = np.nonzero(links)
+    while True:
+        before = label.copy()
+        np.minimum.at(label, a, label[b])
+        if (label == before).all():
+            return label

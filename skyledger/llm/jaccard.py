@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from skyledger.llm.batches import Texts, annotate, fields, stored
-from skyledger.llm.components import components
+from skyledger.llm.components import components, least_reached
 from skyledger.llm.textgrams import Words, mix
 
 WORDS, THRESHOLD = 5, 0.8
@@ -183,17 +183,6 @@ def linked(left: list, right: list, alive: np.ndarray, threshold: float = THRESH
     return alive & (common >= threshold * (sizes - common) - 1e-9)
 
 
-def _least_joined(ids: np.ndarray, links: np.ndarray) -> np.ndarray:
-    """Least id that each row reaches through a symmetric link matrix."""
-    label = ids.copy()
-    a, b = np.nonzero(links)
-    while True:
-        before = label.copy()
-        np.minimum.at(label, a, label[b])
-        if (label == before).all():
-            return label
-
-
 def _verify(threshold: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -214,7 +203,7 @@ def _verify(threshold: float):
             links[np.ix_(first, second)] = found
             links |= links.T
             out.append(pd.DataFrame({
-                "node": ids, "links": links @ weight, "least": _least_joined(ids, links),
+                "node": ids, "links": links @ weight, "least": least_reached(ids, links),
             }))
         return pd.concat(out)[lambda d: d["links"] > 0]
 
