@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import bpe_tree, jaccard, langid, line_runs, packing, pivots, quality_embed, quality_rules, secrets
+from skyledger.llm import bpe_tree, jaccard, langid, line_runs, packing, pii, pivots, quality_embed, quality_rules, secrets
 from skyledger.llm.batches import held_out, stored
 from skyledger.llm.tables import table
 
@@ -34,6 +34,16 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pii.find(docs).select(
+        "doc_id", *[f"n_{kind}" for kind in pii.KINDS],
+        F.sha2("base_spans", 256).alias("base_sha256"), "spans",
+    )
+
+
 @query
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document."""
