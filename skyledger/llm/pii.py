@@ -128,7 +128,7 @@ def _votes(kind: str, form: str, hit: Column, before: Column, after: Column) ->
     yes = lambda c: F.when(c, 1).otherwise(0)
     digits = _digits(hit)
     shape = {
-        "email": hit.rlike(r"\.[A-Za-z]{2,10}$"),
+        "email": hit.rlike(r"(?i)(?:\.|dot\x20?[\])])\x20?[A-Za-z]{2,10}$"),
         "ip": hit.rlike(r"^(?:(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}|[0-9A-Fa-f:]+)$"),
         "card": hit.rlike(r"^(?:[0-9]{13,19}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5})$"),
         "phone": F.length(digits).between(10, 13),
@@ -289,10 +289,8 @@ def find(docs: DataFrame, text: str = "text", accept: float = ACCEPT) -> DataFra
         # A near miss beside a word against it, or inside a longer word, is never added.
         clear = lambda s: s["votes"][LABELERS.index("against")] >= 0
         more = F.filter("spans", lambda s: ~s["strict"] & clear(s) & (score(s) >= accept) & free(s))
-    counts = {
-        f"n_{kind}": F.size(F.filter("base", lambda s, i=i: s["kind"] == F.lit(i))).cast("long")
-        for i, kind in enumerate(KINDS)
-    }
+    of_kind = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long")
+    counts = {f"n_{kind}": of_kind(i) for i, kind in enumerate(KINDS)}
     return (
         found.withColumn("base", base).withColumn("more", more).withColumns(counts)
         .select(
