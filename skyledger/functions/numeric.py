@@ -6,6 +6,8 @@ from pyspark.sql import Column, functions as F
 
 from skyledger.functions.text import as_column
 
+NULL_KEY = "<null>"  # stands for a NULL in the text that is hashed
+
 
 def residual(label: Column | str, prediction: Column | str) -> Column:
     return as_column(label) - as_column(prediction)
@@ -25,9 +27,10 @@ def key_hash(*keys: Column | str, salt: str = "", digits: int = 8) -> Column:
     """Non-negative BIGINT from the leading hex digits of the MD5 of the key.
 
     It depends on the row alone, so the same rows are picked however the table is
-    partitioned, in whatever engine. Up to 15 digits fit a BIGINT.
+    partitioned, in whatever engine. Up to 15 digits fit a BIGINT. A NULL key part is a
+    value of its own, in its own place, so no row is without a hash.
     """
-    parts = [as_column(k).cast("string") for k in keys]
+    parts = [F.coalesce(as_column(k).cast("string"), F.lit(NULL_KEY)) for k in keys]
     text = parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
     if salt:
         text = F.concat(F.lit(salt), text)

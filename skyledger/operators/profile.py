@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyledger import schema as S
 from skyledger.operators.columns import column_kinds, present
+from skyledger.session import persisted
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -75,11 +76,29 @@ def correlation_matrix(
     return one_row.select(F.expr(f"inline(array({rows}))"))
 
 
+def _finite(c: str) -> Column:
+    """The value as a number; NULL if it is NaN or infinite."""
+    x = F.col(c).cast("double")
+    return F.when(F.abs(x) < F.lit(float("inf")), x)
+
+
+def non_finite_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """NaN and infinite values, which histograms and limits leave out: (column, n_nan, n_inf)."""
+    cells = []
+    for c in columns:
+        x = F.col(c).cast("double")
+        inf = F.count_if(F.abs(x) == F.lit(float("inf")))
+        cells.append(F.struct(F.lit(c).alias("column"), F.count_if(F.isnan(x)).alias("n_nan"), inf.alias("n_inf")))
+    return df.agg(*[s.alias(f"c{i}") for i, s in enumerate(cells)]).select(
+        F.inline(F.array(*[F.col(f"c{i}") for i in range(len(cells))]))
+    )
+
+
 def value_limits(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """Least and greatest value of each column, as numbers (runs one aggregation)."""
+    """Least and greatest finite value of each column (runs one aggregation)."""
     row = df.agg(
-        *[F.min(F.col(c).cast("double")).alias(f"lo_{i}") for i, c in enumerate(columns)],
-        *[F.max(F.col(c).cast("double")).alias(f"hi_{i}") for i, c in enumerate(columns)],
+        *[F.min(_finite(c)).alias(f"lo_{i}") for i, c in enumerate(columns)],
+        *[F.max(_finite(c)).alias(f"hi_{i}") for i, c in enumerate(columns)],
     ).first()
     return {
         c: (row[f"lo_{i}"], row[f"hi_{i}"])
@@ -97,10 +116,15 @@ def histogram(
     """Equal-width histograms over the full table, empty bins included.
 
     Gives (column, bin, lo, hi, n). The last bin is closed. With ``limits`` known
-    the table is read once, else once more to find them. Values outside given
-    limits are not counted.
+    the table is read once, else the columns are held and limits taken first. Values
+    outside given limits, NaN and infinities are not counted (``non_finite_counts``).
     """
-    limits = value_limits(df, columns) if limits is None else dict(limits)
+    if limits is None:
+        with persisted(df.select(*dict.fromkeys(columns))) as held:
+            found = histogram(held, columns, bins, value_limits(held, columns))
+            # A few rows per bin: safe to bring over before the columns are let go.
+            return df.sparkSession.createDataFrame(found.collect(), found.schema)
+    limits = dict(limits)
     for c, (lo, hi) in limits.items():
         if lo == hi:
             limits[c] = (lo - 0.5, hi + 0.5)
@@ -112,7 +136,7 @@ def histogram(
 
     def bin_of(c: str) -> Column:
         lo, hi = limits[c]
-        x = F.col(c).cast("double")
+        x = _finite(c)
         raw = F.floor((x - F.lit(lo)) / F.lit((hi - lo) / bins)).cast("int")
         return F.when(x.between(lo, hi), F.least(raw, F.lit(bins - 1)))
 
@@ -138,9 +162,9 @@ def histogram(
 
 
 def axis_limits(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row with the least and greatest value over all the columns: (lo, hi)."""
-    lows = [F.min(F.col(c).cast("double")) for c in columns]
-    highs = [F.max(F.col(c).cast("double")) for c in columns]
+    """One row with the least and greatest finite value over all the columns: (lo, hi)."""
+    lows = [F.min(_finite(c)) for c in columns]
+    highs = [F.max(_finite(c)) for c in columns]
     return df.agg(
         (F.least(*lows) if len(lows) > 1 else lows[0]).alias("lo"),
         (F.greatest(*highs) if len(highs) > 1 else highs[0]).alias("hi"),

@@ -15,10 +15,9 @@ from pyspark.sql import DataFrame, functions as F
 from skyledger.functions.numeric import key_bucket, key_hash
 from skyledger.operators.ranks import order_statistics
 
-_HASH = "__key_hash"
+_HASH, _TIE = "__key_hash", "__row_hash"
 _HASH_DIGITS = 13  # 52 bits: exact as DOUBLE
 _HASH_RANGE = 16**_HASH_DIGITS
-_ORDERED_TIES = 100_000
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -33,13 +32,12 @@ def nested_samples(
 
     A smaller sample lies within a larger one. The n-th least hash is found by rank
     (one search for all sizes), so a sample is a plain filter of the table however
-    large n is. Only where keys repeat can rows tie on that one hash.
+    large n is. Where keys repeat, rows that tie on that one hash are ranked by a second
+    hash, of the whole row, in the same way; rows that tie on both are equal rows.
     """
     hashed = df.withColumn(_HASH, key_hash(*keys, salt=str(seed), digits=_HASH_DIGITS))
-    # Hashes are uniform, so even cut points need no look at the data.
-    cuts = [_HASH_RANGE * i / 256 for i in range(1, 256)]
     wanted = sorted({n for n in sizes if n > 0})
-    found = order_statistics(hashed.select(_HASH), {_HASH: wanted}, {_HASH: cuts})[_HASH]
+    found = order_statistics(hashed.select(_HASH), {_HASH: wanted}, {_HASH: _even_cuts()})[_HASH]
     return [_least_hashes(hashed, n, keys, found).drop(_HASH) for n in sizes]
 
 
@@ -52,10 +50,21 @@ def _least_hashes(hashed: DataFrame, n: int, keys: Sequence[str], found: dict) -
     if missing == found[n].equal:
         return hashed.filter(h <= last)
     # Keys that repeat: the rows of one hash are more than are still missing.
-    ties = hashed.filter(h == last)
-    if missing <= _ORDERED_TIES:
-        ties = ties.orderBy(*keys)
-    return hashed.filter(h < last).unionByName(ties.limit(missing))
+    row = [c for c in hashed.columns if c != _HASH]
+    ties = hashed.filter(h == last).withColumn(_TIE, key_hash(*row, salt="row", digits=_HASH_DIGITS))
+    at = order_statistics(ties.select(_TIE), {_TIE: [missing]}, {_TIE: _even_cuts()})[_TIE][missing]
+    t, equal = F.col(_TIE), missing - at.below
+    some = ties.filter(t < int(at.value))
+    # Equal rows: one of them, as often as rows are missing.
+    copies = ties.filter(t == int(at.value)).limit(1).withColumn(
+        "__copy", F.explode(F.sequence(F.lit(1), F.lit(equal)))
+    )
+    return hashed.filter(h < last).unionByName(some.drop(_TIE)).unionByName(copies.drop(_TIE, "__copy"))
+
+
+def _even_cuts() -> list[float]:
+    """Cut points of a uniform hash: no look at the data is needed."""
+    return [_HASH_RANGE * i / 256 for i in range(1, 256)]
 
 
 def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
@@ -74,7 +83,7 @@ def random_split(
 def keyed_split(
     df: DataFrame, keys: Sequence[str], train_percent: int = 70, salt: str = ""
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and test tables by hash bucket of the key."""
+    """Train and test tables by hash bucket of the key; every row is in one of them."""
     in_train = key_bucket(*keys, salt=salt) < train_percent
     return df.filter(in_train), df.filter(~in_train)
 

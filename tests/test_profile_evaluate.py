@@ -118,3 +118,13 @@ def test_reports(spark, numbers):
     assert [(r["model"], r["intercept"], r["best_regParam"]) for r in table] == [
         ("x", 1.0, None), ("y", None, 0.1),
     ]
+
+
+def test_non_finite_values_are_counted_apart(spark):
+    rows = [(1.0,), (2.0,), (5.0,), (float("nan"),), (float("inf"),), (float("-inf"),), (None,)]
+    df = spark.createDataFrame(rows, "x double")
+    bins = {r["bin"]: (r["lo"], r["hi"], r["n"]) for r in P.histogram(df, ["x"], 4).collect()}
+    assert bins == {0: (1.0, 2.0, 1), 1: (2.0, 3.0, 1), 2: (3.0, 4.0, 0), 3: (4.0, 5.0, 1)}
+    assert tuple(P.axis_limits(df, ["x"]).first()) == (1.0, 5.0)
+    assert tuple(P.non_finite_counts(df, ["x"]).first()) == ("x", 1, 2)
+    assert P.histogram(df.filter("isnan(x)"), ["x"], 4).count() == 0

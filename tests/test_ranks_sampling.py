@@ -80,6 +80,31 @@ def test_sample_n_breaks_ties(spark):
         assert D.sample_n(df, n, ["k"]).count() == n
 
 
+def test_ties_do_not_depend_on_partitions(spark):
+    df = spark.range(600).select((F.col("id") % 4).alias("k"), F.col("id").alias("v"))
+    for n in (1, 77, 599):
+        sets = [
+            sorted(tuple(r) for r in D.sample_n(rows, n, ["k"]).collect())
+            for rows in (df.coalesce(1), df.repartition(7), df.repartition(3, "v"))
+        ]
+        assert sets[0] == sets[1] == sets[2] and len(sets[0]) == n
+    same = spark.range(50).select(F.lit("a").alias("k"), F.lit(None).cast("int").alias("v"))
+    assert D.sample_n(same, 20, ["k"]).count() == 20
+
+
+def test_null_keys_stay(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, None), (None, "a"), (None, None)], "i int, k string")
+    for keys in (["k"], ["i", "k"]):
+        train, test = D.keyed_split(df, keys, 50)
+        assert train.count() + test.count() == 5 and train.intersect(test).isEmpty()
+        assert D.validation_flag(df, keys).filter("is_validation is null").isEmpty()
+        assert D.assign_folds(df, keys).filter("fold is null").isEmpty()
+        for n in range(6):
+            assert D.sample_n(df, n, keys).count() == n
+    swapped = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
+    assert swapped.select(D.key_hash("x", "y").alias("h")).distinct().count() == 2
+
+
 def test_splits(spark):
     df = spark.range(4000).withColumn("v", F.col("id") * 2)
     train, test = D.keyed_split(df.repartition(7), ["id"], 70)
