@@ -17,6 +17,7 @@ ORACLES: dict[str, str] = {}
 # ------------------------------------------------------------ shared tables ---
 FEED = f"feed AS ({FEED_SQL})"
 
+# fixed values: tokens of the packed fields, missing rules, accepted codes
 _TOKENS = {
     "WND": ["WND_DIR_DEG", "WND_DIR_QUAL", "WND_TYPE", "WND_SPD_RAW", "WND_SPD_QUAL"],
     "CIG": ["CIG_HEIGHT_M", "CIG_QUAL", "CIG_DET_CODE", "CIG_CAVOK"],
@@ -258,6 +259,34 @@ ORDER BY h, l_orderkey, l_linenumber LIMIT 2500"""
 ORACLES["sample_n_lineitem"] = (
     f"SELECT l_orderkey, l_linenumber FROM ({ORACLES['sample_n_lineitem']})"
 )
+_GAPPY = "CASE WHEN l_linenumber <> 1 THEN l_orderkey END"
+_K = f"coalesce(cast({_GAPPY} AS VARCHAR), '<null>')"
+ORACLES["keyed_split_nulls"] = f"""SELECT part, fold, is_validation, count(*) AS n,
+  sum(l_quantity) AS quantity FROM (SELECT l_quantity,
+    CASE WHEN {_hash(f"concat_ws('|', {_K}, l_suppkey)")} % 100 < 70 THEN 'train' ELSE 'test' END AS part,
+    cast({_hash(f"'fold' || {_K}")} % 3 AS INTEGER) AS fold,
+    {_hash(f"'validation' || {_K}")} % 100 < 15 AS is_validation FROM lineitem) GROUP BY ALL"""
+ORACLES["sample_n_nulls"] = f"""SELECT {_GAPPY} AS k, l_orderkey, l_linenumber FROM lineitem
+ORDER BY {_hash(f"'42' || concat_ws('|', {_K}, l_orderkey, l_linenumber)", 13)} LIMIT 2500"""
+ORACLES["sample_n_ties"] = f"""SELECT l_suppkey, l_orderkey, l_linenumber FROM lineitem
+ORDER BY {_hash("'42' || cast(l_suppkey AS VARCHAR)", 13)},
+  {_hash("'row' || concat_ws('|', l_suppkey, l_orderkey, l_linenumber)", 13)} LIMIT 2500"""
+ORACLES["sample_share"] = (
+    f"WITH {CLEAN} SELECT count(*) AS n, cast(sum(event_id) AS BIGINT) AS id_sum, "
+    "true AS share_ok FROM clean"
+)
+_ODD = """odd AS (SELECT CASE l_linenumber WHEN 1 THEN 'nan'::DOUBLE WHEN 2 THEN 'inf'::DOUBLE
+  WHEN 3 THEN '-inf'::DOUBLE ELSE cast(l_extendedprice / l_quantity AS DOUBLE) END AS unit_price
+  FROM lineitem), finite AS (SELECT unit_price FROM odd WHERE isfinite(unit_price))"""
+ORACLES["histogram_non_finite"] = f"WITH {_ODD} {_histogram('finite', ['unit_price'], 20)}"
+ORACLES["non_finite_counts"] = f"""WITH {_ODD} SELECT 'unit_price' AS "column",
+  count(*) FILTER (isnan(unit_price)) AS n_nan, count(*) FILTER (isinf(unit_price)) AS n_inf,
+  round(min(unit_price) FILTER (isfinite(unit_price)), 6) AS lo,
+  round(max(unit_price) FILTER (isfinite(unit_price)), 6) AS hi FROM odd"""
+ORACLES["quantiles_refined"] = " UNION ALL ".join(
+    f"SELECT cast({p} AS DOUBLE) AS p, cast(quantile_disc(l_extendedprice, {p}) AS DOUBLE) AS x FROM lineitem"
+    for p in (0.01, 0.25, 0.5, 0.9, 0.999)
+)
 ORACLES["random_split"] = (
     f"WITH {CLEAN} SELECT count(*) AS n, cast(sum(event_id) AS BIGINT) AS id_sum, "
     "true AS share_ok FROM clean"
@@ -303,12 +332,23 @@ _PREPARED = [
     "year", "month", "day", "hour", "LATITUDE", "LONGITUDE", "ELEVATION", "WND_DIR_DEG",
     "WND_SPD_MS", "CIG_HEIGHT_M", "VIS_DIST_M", "DEW_C", "SLP_hPa",
 ]
+_STATION = "try_cast(STATION AS BIGINT)"
 ORACLES["prepare_features"] = f"WITH {PARTS} SELECT event_id, " + ", ".join(
-    [f"cast({_q(c)} AS DOUBLE) AS {_q(c)}" for c in _PREPARED]
+    [f"cast(coalesce({_STATION}, (SELECT quantile_disc({_STATION}, 0.5) FROM train)) AS DOUBLE) AS STATION"]
+    + [f"cast({_q(c)} AS DOUBLE) AS {_q(c)}" for c in _PREPARED]
     + [f"cast(WND_TYPE = '{v}' AS DOUBLE) AS \"WND_TYPE={v}\"" for v in _WIND_TYPES]
 ) + " FROM test"
 
 
+_FILLED = {
+    "STATION": _STATION,
+    **{c: _q(c) for c in ("LATITUDE", "LONGITUDE", "ELEVATION", "TMP_C", "DEW_C", "SLP_hPa", "VIS_m", "year", "month")},
+}
+ORACLES["prepare_features_nulls"] = f"""WITH {TYPED},
+med AS (SELECT {', '.join(f'quantile_disc({x}, 0.5) AS {_q(c)}' for c, x in _FILLED.items())} FROM typed)
+SELECT count(*) AS n, {', '.join(f'round(cast(sum(coalesce(t.{x}, med.{_q(c)})) AS DOUBLE), 3) AS {_q(c)}' for c, x in _FILLED.items()).replace('t.try_cast(STATION', 'try_cast(t.STATION')}
+FROM typed t, med"""
+
 # ------------------------------------------------------------------ models ---
 def _solved(
     table: str, features: Sequence[str], label: str, penalty: str = "0.0", tag: str = ""
@@ -401,42 +441,58 @@ ORACLES["ridge_fit"] = f"WITH {PARTS}, {_RIDGE_SQL} " + _coefficient_rows(
 )
 
 
+def _descent(table: str, candidates: Sequence[tuple[float, float]], sweeps: int = 150) -> str:
+    """Tables that end in ``fit``: slopes ``w`` on standardised features per (alpha, lam).
+
+    One step solves for one coordinate with the others held; ``g`` and ``c`` are covariances of
+    the standardised features with each other and with the label.
+    """
+    x = [_q(f) for f in LINEAR_FEATURES]
+    dev = [f"stddev_samp({i})" for i in x]
+    g = ", ".join(
+        "[" + ", ".join(f"covar_pop({a}, {b}) / ({s} * {t})" for b, t in zip(x, dev)) + "]"
+        for a, s in zip(x, dev)
+    )
+    c = ", ".join(f"covar_pop({a}, TMP_C) / {s}" for a, s in zip(x, dev))
+    means = ", ".join(f"avg({a}) AS m_{i}, {s} AS t_{i}" for i, (a, s) in enumerate(zip(x, dev), 1))
+    tried = ", ".join(f"({a}, {r})" for a, r in candidates)
+    return f"""mom AS (SELECT [{g}] AS g, [{c}] AS c, avg(TMP_C) AS my, stddev_pop(TMP_C) AS sy, {means} FROM {table}),
+tried(alpha, lam) AS (VALUES {tried}),
+steps AS (SELECT cast(alpha AS DOUBLE) AS alpha, cast(lam AS DOUBLE) AS lam, 0 AS k,
+    cast(list_transform(range({_P}), lambda i: 0.0) AS DOUBLE[]) AS w FROM tried
+  UNION ALL
+  SELECT alpha, lam, k + 1, list_transform(w, lambda v, i: CASE WHEN i = j THEN
+      sign(r) * greatest(abs(r) - lam * alpha, 0.0) / (gj + lam * (1 - alpha) / sy) ELSE v END)
+  FROM (SELECT alpha, lam, k, w, sy, j, g[j][j] AS gj,
+      c[j] - list_inner_product(g[j], w) + g[j][j] * w[j] AS r
+    FROM (SELECT *, k % {_P} + 1 AS j FROM steps WHERE k < {_P * sweeps}), mom)),
+fit AS (SELECT alpha, lam, w, mom.* FROM steps, mom WHERE k = {_P * sweeps})"""
+
+
 def _shrunk(lam: float, alpha: float) -> str:
-    return f"""WITH {PARTS}, z AS (
-  SELECT TMP_C AS y, (DEW_C - avg(DEW_C) OVER ()) / stddev_samp(DEW_C) OVER () AS x FROM train),
-fit AS (SELECT greatest(covar_pop(x, y) - {lam * alpha}, 0.0)
-  / (var_pop(x) + {lam * (1 - alpha)} / stddev_pop(y)) AS w, avg(y) AS my FROM z)
-{_coefficient_rows(["DEW_C"], ["w"], "my")}"""
+    return f"WITH RECURSIVE {PARTS}, {_descent('train', [(alpha, lam)])} " + _coefficient_rows(
+        LINEAR_FEATURES, [f"w[{i}]" for i in range(1, _P + 1)], "my", 4
+    )
 
 
 ORACLES["lasso_fit"] = _shrunk(0.1, 1.0)
 ORACLES["enet_fit"] = _shrunk(0.1, 0.5)
 
+# fixed values: penalties tried for each mixing weight
+_RIDGE_PENALTIES = (1e-6, 1e-5, 1e-4, 1e-3, 3e-3, 1e-2, 3e-2, 1e-1, 3e-1, 1.0)
+_OTHER_PENALTIES = (1e-5, 1e-4, 1e-3, 3e-3, 1e-2, 3e-2, 1e-1)
+
+
 def _path() -> str:
-    chains, scores = [], []
-    rmse = "sqrt(avg(power(TMP_C - ({p}), 2)))"
-    for i, lam in enumerate((0.003, 0.3, 3.0)):
-        chains.append(
-            _solved("fitted", LINEAR_FEATURES, "TMP_C", _ridge_penalty(lam), f"r{i}")
-        )
-        score = rmse.format(p=_prediction(LINEAR_FEATURES))
-        scores.append(f"SELECT 0.0 AS alpha, {lam} AS reg_param, {score} AS e FROM held, fitr{i}")
-    for alpha in (0.5, 1.0):
-        for lam in (0.003, 0.3):
-            slope = (
-                f"(greatest(cxy / sx - {lam * alpha}, 0.0)"
-                f" / (vx / (sx * sx) + {lam * (1 - alpha)} / sy))"
-            )
-            score = rmse.format(p=f"my + {slope} * (DEW_C - mx) / sx")
-            scores.append(f"SELECT {alpha}, {lam}, {score} FROM held, one")
-    return f"""WITH {PARTS},
+    tried = [(0.0, r) for r in _RIDGE_PENALTIES]
+    tried += [(a, r) for a in (0.25, 0.5, 0.75, 1.0) for r in _OTHER_PENALTIES]
+    terms = " + ".join(f"w[{i}] * ({_q(f)} - m_{i}) / t_{i}" for i, f in enumerate(LINEAR_FEATURES, 1))
+    return f"""WITH RECURSIVE {PARTS},
 flagged AS (SELECT *, {_hash("'validation' || " + _ID)} % 100 < 20 AS v FROM train),
 fitted AS (SELECT * FROM flagged WHERE NOT v), held AS (SELECT * FROM flagged WHERE v),
-one AS (SELECT avg(DEW_C) AS mx, stddev_samp(DEW_C) AS sx, avg(TMP_C) AS my,
-  stddev_pop(TMP_C) AS sy, covar_pop(DEW_C, TMP_C) AS cxy, var_pop(DEW_C) AS vx FROM fitted),
-{', '.join(chains)}, scores AS ({' UNION ALL '.join(scores)})
-SELECT cast(alpha AS DOUBLE) AS alpha, cast(reg_param AS DOUBLE) AS reg_param,
-  round(e, 6) AS rmse, e = min(e) OVER (PARTITION BY alpha) AS is_best FROM scores"""
+{_descent('fitted', tried)}
+SELECT alpha, lam AS reg_param, round(sqrt(avg(power(TMP_C - (my + {terms}), 2))), 4) AS rmse
+FROM fit, held GROUP BY alpha, lam"""
 
 
 ORACLES["regularization_path"] = _path()
@@ -444,11 +500,12 @@ ORACLES["regularization_path"] = _path()
 
 def _curve() -> str:
     chains, means = [], []
-    for i, share in enumerate((0.1, 0.55, 1.0)):
-        rows = f"greatest(50, cast(floor(n_all * {share} + 1e-9) AS BIGINT))"
+    for i in range(6):
+        share = 0.1 + 0.9 / 5 * i
+        rows = f"least(n_all, greatest(50, cast(floor(n_all * {share} + 1e-9) AS BIGINT)))"
         chains.append(f"sub{i} AS (SELECT * FROM ranked WHERE rn <= {rows})")
         parts = []
-        for k in (0, 1):
+        for k in range(3):
             tag = f"c{i}{k}"
             chains.append(
                 f"t{tag} AS (SELECT * FROM sub{i} WHERE fold <> {k}), "
@@ -463,7 +520,7 @@ def _curve() -> str:
             "SELECT max(n) AS size, round(avg(tr), 6) AS train_rmse, round(avg(va), 6) AS val_rmse"
             f" FROM ({' UNION ALL '.join(parts)})"
         )
-    return f"""WITH {PARTS}, ranked AS (SELECT *, {_hash("'fold42' || " + _ID)} % 2 AS fold,
+    return f"""WITH {PARTS}, ranked AS (SELECT *, {_hash("'fold42' || " + _ID)} % 3 AS fold,
   row_number() OVER (ORDER BY {_hash("'42' || " + _ID, 13)}, event_id) AS rn,
   count(*) OVER () AS n_all FROM train), {', '.join(chains)} {' UNION ALL '.join(means)}"""
 
@@ -490,6 +547,76 @@ second AS (SELECT "hour",
 SELECT event_id, "hour", round(CASE WHEN "hour" <= cut1 THEN lo1 ELSE hi1 END
   + 0.3 * CASE WHEN "hour" <= cut2 THEN lo2 ELSE hi2 END, 6) AS prediction FROM test, k1, k2"""
 
+def _split(table: str, y: str, tag: str, features: Sequence[str] = ("hour", "month")) -> str:
+    """One row: the feature and cut that lower the squared error most, the two means, the gain."""
+    parts = []
+    for i, f in enumerate(features):
+        parts.append(f"""SELECT {i} AS i, v + 0.5 * (lead(v) OVER w - v) AS cut, sum(n) OVER w AS ln, sum(s) OVER w AS ls,
+  sum(n) OVER () AS an, sum(s) OVER () AS total FROM (
+    SELECT {_q(f)} AS v, count(*) AS n, sum({y}) AS s FROM {table} GROUP BY 1) WINDOW w AS (ORDER BY v)""")
+    return f"""{tag} AS (SELECT i AS i{tag}, cut AS cut{tag}, ls / ln AS lo{tag}, (total - ls) / (an - ln) AS hi{tag},
+  ls * ls / ln + (total - ls) * (total - ls) / (an - ln) - total * total / an AS gain{tag}
+FROM ({' UNION ALL '.join(parts)}) WHERE cut IS NOT NULL ORDER BY gain{tag} DESC, i LIMIT 1)"""
+
+
+def _goes_left(tag: str) -> str:
+    return f'(CASE i{tag} WHEN 0 THEN "hour" ELSE "month" END <= cut{tag})'
+
+
+_TREE = f"""{PARTS}, {_split('train', 'TMP_C', 'k0')},
+left_rows AS (SELECT train.* FROM train, k0 WHERE {_goes_left('k0')}),
+right_rows AS (SELECT train.* FROM train, k0 WHERE NOT {_goes_left('k0')}),
+{_split('left_rows', 'TMP_C', 'k1')}, {_split('right_rows', 'TMP_C', 'k2')}"""
+ORACLES["rf_tree"] = f"""WITH {_TREE} SELECT event_id, "hour", "month", round(CASE WHEN {_goes_left('k0')}
+  THEN CASE WHEN {_goes_left('k1')} THEN lok1 ELSE hik1 END
+  ELSE CASE WHEN {_goes_left('k2')} THEN lok2 ELSE hik2 END END, 6) AS prediction FROM test, k0, k1, k2"""
+
+
+def _gain_shares(tags: Sequence[str]) -> str:
+    of = lambda i: " + ".join(f"CASE WHEN i{t} = {i} THEN gain{t} ELSE 0 END" for t in tags)
+    total = " + ".join(f"gain{t}" for t in tags)
+    return " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, round(({of(i)}) / ({total}), 6) + 0.0 AS importance FROM {', '.join(tags)}"
+        for i, f in enumerate(("hour", "month"))
+    )
+
+
+ORACLES["rf_tree_importance"] = f"WITH {_TREE} {_gain_shares(['k0', 'k1', 'k2'])}"
+ORACLES["gbt_stumps_importance"] = f"""WITH {PARTS}, {_split('train', 'TMP_C', 'k0')},
+second AS (SELECT "hour", "month", 2 * (TMP_C - CASE WHEN {_goes_left('k0')} THEN lok0 ELSE hik0 END) AS r
+  FROM train, k0), {_split('second', 'r', 'k1')} {_gain_shares(['k0', 'k1'])}"""
+
+
+def _patience(rounds: int = 5, rate: float = 0.9, patience: int = 2) -> str:
+    """Loss per round on the marked rows; rounds up to the least loss before the stop stay."""
+    tables, gone = [], []
+    at = '"hour"'
+    for k in range(rounds):
+        label = "TMP_C" if k == 0 else "r"
+        tables.append(_split(f"r{k}", label, f"k{k}", ["hour"]))
+        step = f"CASE WHEN {at} <= cutk{k} THEN lok{k} ELSE hik{k} END"
+        weight = 1.0 if k == 0 else rate
+        tables.append(
+            f'r{k + 1} AS (SELECT TMP_C, {at}, f + {weight} * {step} AS f, '
+            f"2 * (TMP_C - f - {weight} * {step}) AS r FROM r{k}, k{k})"
+        )
+        tables.append(
+            f"h{k + 1} AS (SELECT TMP_C, {at}, f + {weight} * {step} AS f FROM h{k}, k{k})"
+        )
+        gone.append(f"SELECT {k + 1} AS \"round\", avg(power(TMP_C - f, 2)) AS loss FROM h{k + 1}")
+    return f"""WITH {PARTS},
+flagged AS (SELECT *, {_hash("'validation' || " + _ID)} % 100 < 15 AS v FROM train),
+r0 AS (SELECT TMP_C, {at}, 0.0 AS f, TMP_C AS r FROM flagged WHERE NOT v),
+h0 AS (SELECT TMP_C, {at}, 0.0 AS f FROM flagged WHERE v), {', '.join(tables)},
+losses AS ({' UNION ALL '.join(gone)}),
+best AS (SELECT *, arg_min("round", loss) OVER (ORDER BY "round") AS so_far FROM losses),
+stop AS (SELECT coalesce(min("round"), {rounds}) AS last FROM best WHERE "round" - so_far >= {patience})
+SELECT cast("round" AS INTEGER) AS "round", round(loss, 6) AS loss,
+  "round" <= (SELECT so_far FROM best, stop WHERE "round" = last) AS kept FROM losses"""
+
+
+ORACLES["gbt_patience"] = _patience()
+
 SCORED = f"""{PARTS}, {_OLS}, scored AS (
   SELECT event_id, "DATE", TMP_C, {_prediction(LINEAR_FEATURES)} AS prediction FROM test, fit),
 res AS (SELECT *, TMP_C - prediction AS residual FROM scored)"""
@@ -545,6 +672,16 @@ SELECT count(*) FILTER (c <> 0) AS nonzero, round(sum(abs(c)), 6) AS l1_norm,
   round(sqrt(sum(c * c)), 6) AS l2_norm FROM cf"""
 
 
+_RIDGE_SQL, _RIDGE_VALUES = _ridge(0.3)
+ORACLES["result_json"] = f"""WITH {PARTS}, {_RIDGE_SQL},
+scored AS (SELECT TMP_C, TMP_C - ({_prediction(LINEAR_FEATURES)}) AS residual FROM test, fit),
+m AS (SELECT {_metrics(4)} FROM scored),
+cf AS (SELECT unnest([{', '.join(f"'{f}'" for f in LINEAR_FEATURES)}]) AS feature,
+  unnest([{', '.join(_RIDGE_VALUES)}]) AS c FROM fit)
+SELECT 'ridge' AS model, m.*, (SELECT count(*) FILTER (c <> 0) FROM cf) AS nonzero,
+  feature, round(c, 6) + 0.0 AS coefficient FROM m, cf"""
+
+
 def _comparison() -> str:
     chains, rows = [], []
     for tag, features in (("a", ["DEW_C"]), ("b", ["SLP_hPa"]), ("c", LINEAR_FEATURES)):

@@ -7,6 +7,7 @@ order agree, and rows of predictions to four.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -21,9 +22,11 @@ from skyledger.operators import (
     columns as C, evaluate as E, features as X, filters as L, models as M, profile as P,
     sampling as D,
 )
+from skyledger.operators.ranks import exact_quantiles
 from skyledger.plans.cleanse import cleanse
 from skyledger.plans.feed import raw_feed
 from skyledger.plans.ingest import write_split
+from skyledger.plans.modelling import rescore
 from skyledger.plans.typed import TYPED_SOURCE_COLUMNS, typed_humidity
 from skyledger.session import scratch_path
 from skyledger.sources import csv as SRC, tables as TAB
@@ -31,7 +34,8 @@ from skyledger.sources import csv as SRC, tables as TAB
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 KEY = ["event_id"]
-SMALL_FOREST = {"num_trees": 10, "max_depth": 5}
+# Boosting rounds depend on each other: 400 trees of depth 6 are 2,400 jobs in a row, so the
+# registered fits stay small. The library's defaults are the full ones.
 SMALL_BOOST = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3}
 
 
@@ -312,6 +316,26 @@ def histogram_lineitem(spark, d):
     return rounded(P.histogram(lineitem(spark, d), ["l_quantity", "l_extendedprice"], 40))
 
 
+def _with_gaps(spark, d) -> DataFrame:
+    """A price per unit that is NaN or infinite in some lines."""
+    price, line = F.col("l_extendedprice") / F.col("l_quantity"), F.col("l_linenumber")
+    odd = F.when(line == 1, F.lit(float("nan"))).when(line == 2, F.lit(float("inf"))).when(
+        line == 3, F.lit(float("-inf"))
+    )
+    return lineitem(spark, d).select(F.coalesce(odd, price.cast("double")).alias("unit_price"))
+
+
+@query
+def histogram_non_finite(spark, d):
+    return rounded(P.histogram(_with_gaps(spark, d), ["unit_price"], 20))
+
+
+@query
+def non_finite_counts(spark, d):
+    limits = P.axis_limits(_with_gaps(spark, d), ["unit_price"])
+    return rounded(P.non_finite_counts(_with_gaps(spark, d), ["unit_price"]).crossJoin(limits))
+
+
 @query
 def geo_points(spark, d):
     return P.map_points(clean(spark, d))
@@ -339,6 +363,48 @@ def sample_n_lineitem(spark, d):
     return D.sample_n(lineitem(spark, d).select(*keys).distinct(), 2500, keys)
 
 
+def _gappy(spark, d) -> DataFrame:
+    """Lines whose first key part is missing in every order's first line."""
+    order = F.when(F.col("l_linenumber") != 1, F.col("l_orderkey"))
+    return lineitem(spark, d).select(
+        order.alias("k"), "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"
+    )
+
+
+@query
+def keyed_split_nulls(spark, d):
+    both = _labelled(*D.keyed_split(_gappy(spark, d), ["k", "l_suppkey"], 70))
+    flagged = D.validation_flag(D.assign_folds(both, ["k"]), ["k"])
+    return flagged.groupBy("part", "fold", "is_validation").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity")
+    )
+
+
+@query
+def sample_n_nulls(spark, d):
+    rows = _gappy(spark, d).select("k", "l_orderkey", "l_linenumber")
+    return D.sample_n(rows, 2500, ["k", "l_orderkey", "l_linenumber"])
+
+
+@query
+def sample_n_ties(spark, d):
+    """Keys that repeat: ties are broken by the whole row."""
+    rows = _gappy(spark, d).select("l_suppkey", "l_orderkey", "l_linenumber")
+    return D.sample_n(rows, 2500, ["l_suppkey"])
+
+
+@query
+def sample_share(spark, d):
+    """The seeded sample: its share of the rows, and that all of it stems from them."""
+    whole = clean(spark, d).select("event_id")
+    drawn = D.sample_fraction(whole, 0.1).withColumn("drawn", F.lit(1))
+    both = whole.join(drawn, "event_id", "full")
+    return both.agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"),
+        F.avg(F.coalesce("drawn", F.lit(0))).between(0.06, 0.14).alias("share_ok"),
+    )
+
+
 @query
 def random_split(spark, d):
     left, right = D.random_split(clean(spark, d).select("event_id"))
@@ -387,6 +453,16 @@ def kfold_assign(spark, d):
     return D.assign_folds(clean(spark, d).select("event_id"), KEY)
 
 
+@query
+def quantiles_refined(spark, d):
+    """Exact quantiles where buckets above a small limit must be cut again."""
+    shares = [0.01, 0.25, 0.5, 0.9, 0.999]
+    found = exact_quantiles(
+        lineitem(spark, d), {"l_extendedprice": shares}, buckets=8, limit=40
+    )["l_extendedprice"]
+    return spark.createDataFrame(list(zip(shares, map(float, found))), "p double, x double")
+
+
 # ---------------------------------------------------------------- features ---
 @query
 def impute_median(spark, d):
@@ -437,14 +513,24 @@ def standardize(spark, d):
 @query
 def prepare_features(spark, d):
     train, test = parts(spark, d)
-    fitted, _, names = M.prepare_boosting(train.drop("event_id", "STATION"))
-    vectors = fitted.transform(test.drop("STATION")).select("event_id", "features")
+    fitted, _, names = M.prepare_boosting(train.drop("event_id"))
+    vectors = fitted.transform(test).select("event_id", "features")
     cells = vector_to_array("features")
     return rounded(
         vectors.select("event_id", *[F.get(cells, F.lit(i)).alias(c) for i, c in enumerate(names)])
     )
 
 
+@query
+def prepare_features_nulls(spark, d):
+    """The same on a table with missing values in most columns; sums tell the fills."""
+    table = typed(spark, d)
+    fitted, vectors, names = M.prepare_boosting(table, "RH_pct")
+    cells = vector_to_array("features")
+    filled = vectors.select(*[F.get(cells, F.lit(i)).alias(c) for i, c in enumerate(names)])
+    return rounded(filled.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in names]), 3)
+
+
 # ------------------------------------------------------------------ models ---
 def _coefficient_rows(
     model: PipelineModel, features: Sequence[str], spark, digits: int = 6
@@ -475,32 +561,23 @@ def ridge_fit(spark, d):
 
 @query
 def lasso_fit(spark, d):
-    model = M.fit_penalized(parts(spark, d)[0], 1.0, 0.1, ["DEW_C"])
-    return _coefficient_rows(model, ["DEW_C"], spark)
+    model = M.fit_penalized(parts(spark, d)[0], 1.0, 0.1)
+    return _coefficient_rows(model, S.LINEAR_FEATURES, spark, 4)
 
 
 @query
 def enet_fit(spark, d):
-    model = M.fit_penalized(parts(spark, d)[0], 0.5, 0.1, ["DEW_C"])
-    return _coefficient_rows(model, ["DEW_C"], spark)
+    model = M.fit_penalized(parts(spark, d)[0], 0.5, 0.1)
+    return _coefficient_rows(model, S.LINEAR_FEATURES, spark, 4)
 
 
 @query
 def regularization_path(spark, d):
-    train = D.validation_flag(parts(spark, d)[0], KEY, 20)
-    searches = {
-        0.0: M.search_penalty(train, 0.0, [0.003, 0.3, 3.0], validation="is_validation"),
-        0.5: M.search_penalty(train, 0.5, [0.003, 0.3], ["DEW_C"], validation="is_validation"),
-        1.0: M.search_penalty(train, 1.0, [0.003, 0.3], ["DEW_C"], validation="is_validation"),
-    }
-    rows = [
-        s.trials.select(
-            F.lit(a).alias("alpha"), "reg_param", "rmse",
-            (F.col("reg_param") == s.best["best_regParam"]).alias("is_best"),
-        )
-        for a, s in searches.items()
-    ]
-    return rounded(rows[0].unionByName(rows[1]).unionByName(rows[2]))
+    """All mixing weights over their whole grids, on the default split."""
+    searches = M.search_penalties(parts(spark, d)[0], dict.fromkeys(M.ALPHAS), keys=KEY)
+    error = F.round("rmse", 4).alias("rmse")
+    rows = [s.trials.select(F.lit(a).alias("alpha"), "reg_param", error) for a, s in searches.items()]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def _ols_scored(spark, d) -> DataFrame:
@@ -516,10 +593,10 @@ def ols_predict(spark, d):
 @query
 def model_roundtrip(spark, d):
     train, test = parts(spark, d)
-    model = M.fit_forest(train, num_trees=5, max_depth=4)
-    loaded = M.load_model(M.save_model(model, scratch_path(spark, "forest")))
+    model = M.fit_forest(train)
+    path = M.save_model(model, scratch_path(spark, "forest"))
     before = M.score(model, test, test.columns, "before")
-    again = loaded.transform(before)
+    again = rescore(path, before, keep=["before"])
     return again.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("before") == F.col("prediction")).alias("n_same"),
@@ -533,19 +610,35 @@ def _scores(spark, d, model: PipelineModel) -> DataFrame:
 
 @query
 def rf_fit(spark, d):
-    return _scores(spark, d, M.fit_forest(parts(spark, d)[0], **SMALL_FOREST))
+    return _scores(spark, d, M.fit_forest(parts(spark, d)[0]))
 
 
 @query
 def feature_importance(spark, d):
-    model = M.fit_forest(parts(spark, d)[0], **SMALL_FOREST)
+    model = M.fit_forest(parts(spark, d)[0])
     return rounded(E.feature_importance(spark, model, S.FOREST_FEATURES))
 
 
+# One tree of depth two on two features with few values: small enough to state in SQL.
+ONE_TREE = {"num_trees": 1, "max_depth": 2, "subsample": 1.0, "feature_subset": "all", "bootstrap": False}
+
+
+@query
+def rf_tree(spark, d):
+    train, test = parts(spark, d)
+    model = M.fit_forest(train, ["hour", "month"], **ONE_TREE)
+    return rounded(M.score(model, test, ["event_id", "hour", "month"]))
+
+
+@query
+def rf_tree_importance(spark, d):
+    model = M.fit_forest(parts(spark, d)[0], ["hour", "month"], **ONE_TREE)
+    return rounded(E.feature_importance(spark, model, ["hour", "month"]))
+
+
 def _boost_inputs(spark, d):
     train = D.validation_flag(parts(spark, d)[0], KEY)
-    left_out = ("DATE", "STATION", "event_id")
-    return M.prepare_boosting(train, exclude=left_out, keep=("is_validation",))
+    return M.prepare_boosting(train, exclude=("DATE", "event_id"), keep=("is_validation",))
 
 
 @query
@@ -555,19 +648,34 @@ def gbt_fit(spark, d):
     return _scores(spark, d, PipelineModel([*fitted.stages, model]))
 
 
+STUMPS = {"max_depth": 1, "learning_rate": 0.3, "subsample": 1.0, "colsample_bytree": 1.0}
+
+
 @query
 def gbt_stumps(spark, d):
     """Two rounds of one-split trees on the hour, small enough to state in SQL."""
     train, test = parts(spark, d)
     assemble = X.assembler(["hour"])
-    params = {
-        "n_estimators": 2, "max_depth": 1, "learning_rate": 0.3,
-        "subsample": 1.0, "colsample_bytree": 1.0,
-    }
-    model = M.fit_boosted(assemble.transform(train), params)
+    model = M.fit_boosted(assemble.transform(train), STUMPS | {"n_estimators": 2})
     return rounded(M.score(PipelineModel([assemble, model]), test, ["event_id", "hour"]))
 
 
+@query
+def gbt_stumps_importance(spark, d):
+    assemble = X.assembler(["hour", "month"])
+    model = M.fit_boosted(assemble.transform(parts(spark, d)[0]), STUMPS | {"n_estimators": 2})
+    return rounded(E.feature_importance(spark, model, ["hour", "month"]))
+
+
+@query
+def gbt_patience(spark, d):
+    """Validation loss of each round of one-split trees, and which rounds stay."""
+    train = D.validation_flag(parts(spark, d)[0], KEY)
+    vectors = X.assembler(["hour"]).transform(train).select("TMP_C", "features", "is_validation")
+    params = STUMPS | {"n_estimators": 5, "learning_rate": 0.9}
+    return rounded(M.patient_boosting(vectors, "is_validation", params, patience=2)[1])
+
+
 @query
 def gbt_early_stop(spark, d):
     fitted, vectors, _ = _boost_inputs(spark, d)
@@ -596,14 +704,14 @@ def learning_curve(spark, d):
     vectors = X.assembler(S.LINEAR_FEATURES).transform(parts(spark, d)[0])
     vectors = vectors.select("event_id", "TMP_C", "features")
     linear = LinearRegression(featuresCol="features", labelCol="TMP_C")
-    return rounded(M.learning_curve(vectors, KEY, linear, steps=3, folds=2))
+    return rounded(M.learning_curve(vectors, KEY, linear))
 
 
 @query
 def learning_curve_gbt(spark, d):
     train = parts(spark, d)[0].withColumn("row_key", key_hash(*KEY, digits=13))
     _, vectors, _ = M.prepare_boosting(
-        train, exclude=("DATE", "STATION", "event_id"), keep=("row_key",)
+        train, exclude=("DATE", "event_id"), keep=("row_key",)
     )
     trees: GBTRegressor = M.boosted(
         {"n_estimators": 3, "max_depth": 2}, validationIndicatorCol="early", validationTol=0.01
@@ -680,6 +788,22 @@ def coef_diagnostics(spark, d):
     return rounded(E.coefficient_diagnostics(E.coefficients(spark, model, S.LINEAR_FEATURES)))
 
 
+@query
+def result_json(spark, d):
+    """The nested result of a ridge fit, written as JSON and read back."""
+    train, test = parts(spark, d)
+    model = M.fit_penalized(train, 0.0, 0.3)
+    table = E.coefficients(spark, model, S.LINEAR_FEATURES)
+    metrics = E.metrics_row(E.regression_metrics(M.score(model, test, ["TMP_C"])), "ridge")
+    nested = E.nested_result(metrics, table, E.coefficient_diagnostics(table))
+    path = TAB.write_json(nested, scratch_path(spark, "result"), 1)
+    back = spark.read.schema(nested.schema).json(path)
+    return rounded(back.select(
+        "metrics.model", "metrics.rmse", "metrics.mae", "metrics.r2", "coef_diag.nonzero",
+        F.explode("coefficients").alias("feature", "coefficient"),
+    ))
+
+
 @query
 def model_comparison(spark, d):
     train, test = parts(spark, d)

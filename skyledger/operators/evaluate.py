@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from skyledger import schema as S
 from skyledger.functions.numeric import residual, rmse, unit_bin
@@ -131,6 +131,22 @@ def coefficient_diagnostics(table: DataFrame) -> DataFrame:
     )
 
 
+def nested_result(metrics: DataFrame, coefficients: DataFrame, diagnostics: DataFrame) -> DataFrame:
+    """One row: the metrics, a map of coefficients by feature, and their diagnostics.
+
+    All three are a few rows made from one model, so they are put together as such.
+    """
+    spark = metrics.sparkSession
+    pairs = {r["feature"]: r["coefficient"] for r in coefficients.collect()}
+    kept = metrics.drop("timestamp")
+    schema = T.StructType([
+        T.StructField("metrics", kept.schema),
+        T.StructField("coefficients", T.MapType(T.StringType(), T.DoubleType())),
+        T.StructField("coef_diag", diagnostics.schema),
+    ])
+    return spark.createDataFrame([(kept.first(), pairs, diagnostics.first())], schema)
+
+
 def feature_importance(spark: SparkSession, model, features: Sequence[str]) -> DataFrame:
     """(feature, importance) of a tree model, most important first."""
     trees = model.stages[-1] if hasattr(model, "stages") else model

@@ -17,13 +17,14 @@ from skyledger.operators.ranks import exact_quantiles
 
 IMPUTED = "_imp"
 FILLED = "_fill"
+NUMBER = "_num"
 
 
 def median_imputer(columns: Sequence[str], relative_error: float = 0.001) -> Imputer:
     """Estimator that writes ``<column>_imp`` with missing values set to the median.
 
     The median is approximate within the rank error. An error of zero would make
-    Spark hold every value; ``impute_exact_median`` gives the exact one at scale.
+    Spark hold every value; ``fit_exact_median`` gives the exact one at scale.
     """
     return Imputer(
         strategy="median",
@@ -33,6 +34,21 @@ def median_imputer(columns: Sequence[str], relative_error: float = 0.001) -> Imp
     )
 
 
+def fit_exact_median(df: DataFrame, columns: Sequence[str], relative_error: float = 0.001):
+    """Fitted imputer with the exact (lower) median of each column.
+
+    The medians come from a rank search; the imputer is then fitted on the one row that
+    holds them, of which they are the medians as well.
+    """
+    medians = exact_quantiles(df, {c: [0.5] for c in columns})
+    empty = [c for c in columns if medians[c][0] is None]
+    if empty:
+        raise ValueError(f"no value to impute from in {empty}")
+    schema = ", ".join(f"`{c}` double" for c in columns)
+    row = df.sparkSession.createDataFrame([tuple(float(medians[c][0]) for c in columns)], schema)
+    return median_imputer(columns, relative_error).fit(row)
+
+
 def impute_exact_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``<column>_imp`` with NULL and NaN set to the exact (lower) median."""
     medians = exact_quantiles(df, {c: [0.5] for c in columns})
@@ -131,30 +147,40 @@ def standardizer(column: str = "features", out: str = "scaledFeatures") -> Stand
     return StandardScaler(inputCol=column, outputCol=out, withMean=True, withStd=True)
 
 
+def number_stage(columns: Sequence[str]) -> SQLTransformer:
+    """Stage that writes ``<column>_num``: text read as a whole number, NULL if it is none."""
+    read = [f"cast(try_cast(`{c}` AS bigint) AS double) AS `{c}{NUMBER}`" for c in columns]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(read)} FROM __THIS__")
+
+
 def preparation(
     df: DataFrame,
     exclude: Sequence[str],
+    numbers: Sequence[str] = (),
     relative_error: float = 0.001,
-    max_categories: int = 100_000,
 ) -> tuple[Pipeline, list[str]]:
     """Median-imputed numbers and one-hot categories as one ``features`` vector.
 
-    Column kinds are read off the schema. Gives the pipeline, whose category fill is
-    already taken from ``df``, and the names of the numeric columns. Category lists
-    become part of the model, so a column with more than ``max_categories``
-    values (a row id, free text) is refused rather than cut.
+    Column kinds are read off the schema; text columns named in ``numbers`` (an id such
+    as STATION) are read as numbers, so a model does not grow with their values. Gives the
+    pipeline, whose medians and category fill are already taken from ``df``, and the names
+    of the numeric columns. The values of every other text column become part of the model
+    and pass through the driver: exclude free text.
     """
     numeric, categorical = column_kinds(df, exclude)
-    profile = categories(df, categorical)
-    too_many = [c for c, p in profile.items() if p.distinct > max_categories]
-    if too_many:
-        raise ValueError(f"too many categories to encode in {too_many}: exclude them")
-    stages = []
-    if numeric:
-        stages.append(median_imputer(numeric, relative_error))
+    numbers = [c for c in numbers if c in categorical]
+    categorical = [c for c in categorical if c not in numbers]
+    stages, inputs = [], [*numeric, *(c + NUMBER for c in numbers)]
+    if numbers:
+        stages.append(number_stage(numbers))
+        df = stages[0].transform(df)
+    if inputs:
+        stages.append(fit_exact_median(df, inputs, relative_error))
     if categorical:
+        profile = categories(df, categorical)
         stages.append(fill_stage({c: p.mode for c, p in profile.items()}))
         stages += one_hot_stages([c + FILLED for c in categorical])
-    inputs = [c + IMPUTED for c in numeric] + [c + FILLED + "_vec" for c in categorical]
-    stages.append(assembler(inputs))
-    return Pipeline(stages=stages), numeric
+    stages.append(
+        assembler([c + IMPUTED for c in inputs] + [c + FILLED + "_vec" for c in categorical])
+    )
+    return Pipeline(stages=stages), [*numeric, *numbers]

@@ -16,13 +16,13 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyledger import schema as S
-from skyledger.functions.numeric import rmse
+from skyledger.functions.numeric import key_bucket, rmse
 from skyledger.operators import features as X
 from skyledger.operators.columns import model_columns
 from skyledger.operators.sampling import (
     assign_folds, nested_samples, subset_sizes, validation_flag,
 )
-from skyledger.session import held_for_training, persisted, shared_folder
+from skyledger.session import TRAIN_PARTITIONS, held_for_training, persisted, shared_folder
 
 # --- fixed values: penalty grids, tried for each mixing weight ---------------
 RIDGE_GRID = [1e-6, 1e-5, 1e-4, 1e-3, 3e-3, 1e-2, 3e-2, 1e-1, 3e-1, 1.0]
@@ -46,7 +46,8 @@ SEARCH_SPACE = {
     "gamma": ("real", 0.0, 2.0),
 }
 # Spark's boosted trees have no leaf-weight penalties, so reg_alpha and reg_lambda
-# are drawn and reported but change nothing.
+# are drawn and reported but change nothing. gamma is elsewhere a loss total per split;
+# minInfoGain is the gain per row, so the same number asks for more.
 BOOSTED_PARAMS = {
     "n_estimators": "maxIter",
     "learning_rate": "stepSize",
@@ -76,7 +77,7 @@ def regularized(alpha: float, reg_param: float, label: str = S.LABEL) -> LinearR
     """Ridge (alpha 0), lasso (alpha 1) or elastic net on standardised features."""
     return LinearRegression(
         featuresCol="scaledFeatures", labelCol=label, elasticNetParam=float(alpha),
-        regParam=float(reg_param), maxIter=200, standardization=False,
+        regParam=float(reg_param), maxIter=200, standardization=False, tol=1e-10,
     )
 
 
@@ -109,51 +110,65 @@ def default_grid(alpha: float) -> list[float]:
     return RIDGE_GRID if alpha == 0.0 else LASSO_GRID
 
 
-def search_penalty(
+def search_penalties(
     train: DataFrame,
-    alpha: float,
-    grid: Sequence[float] | None = None,
+    grids: Mapping[float, Sequence[float] | None],
     features: Sequence[str] = tuple(S.LINEAR_FEATURES),
     label: str = S.LABEL,
     train_ratio: float = 0.8,
-    seed: int = 42,
+    keys: Sequence[str] | None = None,
     parallelism: int = 4,
     handle_invalid: str = "error",
     validation: str | None = None,
-) -> Search:
-    """Pick the penalty with the least validation RMSE, then refit on all rows.
-
-    Validation rows are a seeded random share, or those a boolean ``validation``
-    column marks. Features are assembled and standardised once for the whole grid, candidates are
-    fitted side by side, and one pass scores them all. Trials: (reg_param, rmse).
+) -> dict[float, Search]:
+    """Per mixing weight, pick the penalty with the least validation RMSE and refit on all rows.
+
+    Validation rows are those a boolean ``validation`` column marks, or a share picked by
+    a hash of the key columns (of label and features if none are given), so the same rows
+    are held out at any partitioning. Rows are assembled, split, standardised and stored
+    once for all weights; all candidates are fitted side by side and scored in one pass.
+    Trials: (reg_param, rmse).
     """
-    grid = list(default_grid(alpha) if grid is None else grid)
+    tried = [(a, r) for a, grid in grids.items() for r in (default_grid(a) if grid is None else grid)]
     assemble = X.assembler(features, handle_invalid)
-    part_of = ~F.col(validation) if validation else F.rand(seed) < train_ratio
-    vectors = assemble.transform(train).select(label, "features", part_of.alias("__part"))
-    with persisted(vectors) as held:
-        scale = X.standardizer().fit(held.filter("__part"))
-        part = scale.transform(held.filter("__part")).select(label, "scaledFeatures")
-        with ThreadPool(max(1, min(parallelism, len(grid)))) as pool:
-            models = pool.map(lambda r: regularized(alpha, r, label).fit(part), grid)
-        scored = scale.transform(held.filter("not __part"))
-        for i, m in enumerate(models):
-            scored = m.setPredictionCol(f"p{i}").transform(scored)
-        row = scored.agg(
-            *[rmse(label, f"p{i}").alias(f"r{i}") for i in range(len(grid))]
-        ).first()
-        scores = [float(row[f"r{i}"]) for i in range(len(grid))]
-        best = grid[int(np.argmin(scores))]
-        final_scale = X.standardizer().fit(held)
-        model = regularized(alpha, best, label).fit(final_scale.transform(held))
-    trials = train.sparkSession.createDataFrame(
-        [(float(r), s) for r, s in zip(grid, scores)], "reg_param double, rmse double"
-    )
-    return Search(
-        PipelineModel([assemble, final_scale, model]),
-        {"elasticNetParam": float(alpha), "best_regParam": float(best)},
-        trials,
-    )
+    if validation:
+        held_out = F.col(validation)
+    else:
+        percent = round(100 * (1 - train_ratio))
+        held_out = key_bucket(*(keys or [label, *features]), salt="validation") < percent
+    vectors = assemble.transform(train).select(label, "features", held_out.alias("__out"))
+    with persisted(vectors) as rows:
+        scale = X.standardizer().fit(rows.filter("not __out"))
+        final_scale = X.standardizer().fit(rows)
+        scaled = scale.transform(rows).select(label, "scaledFeatures", "__out")
+        whole = final_scale.transform(rows).select(label, "scaledFeatures")
+        with persisted(scaled, whole), ThreadPool(max(1, min(parallelism, len(tried)))) as pool:
+            part = scaled.filter("not __out")
+            models = pool.map(lambda c: regularized(*c, label).fit(part), tried)
+            scored = scaled.filter("__out")
+            for i, m in enumerate(models):
+                scored = m.setPredictionCol(f"p{i}").transform(scored)
+            row = scored.agg(*[rmse(label, f"p{i}").alias(f"r{i}") for i in range(len(tried))]).first()
+            scores = {c: float(row[f"r{i}"]) for i, c in enumerate(tried)}
+            best = {a: min((c for c in tried if c[0] == a), key=scores.get)[1] for a in grids}
+            fitted = dict(zip(best, pool.map(lambda c: regularized(*c, label).fit(whole), best.items())))
+    return {
+        a: Search(
+            PipelineModel([assemble, final_scale, fitted[a]]),
+            {"elasticNetParam": float(a), "best_regParam": float(best[a])},
+            train.sparkSession.createDataFrame(
+                [(float(r), s) for (b, r), s in scores.items() if b == a], "reg_param double, rmse double"
+            ),
+        )
+        for a in grids
+    }
+
+
+def search_penalty(
+    train: DataFrame, alpha: float, grid: Sequence[float] | None = None, *args, **options
+) -> Search:
+    """``search_penalties`` for one mixing weight."""
+    return search_penalties(train, {alpha: grid}, *args, **options)[alpha]
 
 
 # ------------------------------------------------------------------- trees ---
@@ -166,18 +181,23 @@ def fit_forest(
     subsample: float = 0.7,
     seed: int = 42,
     relative_error: float = 0.001,
+    feature_subset: str = "sqrt",
+    bootstrap: bool = True,
+    partitions: int = TRAIN_PARTITIONS,
 ) -> PipelineModel:
-    """Random forest on median-imputed features."""
+    """Random forest on features with missing values set to the exact median."""
     table = model_columns(train, label, features)
-    impute = X.median_imputer(features, relative_error).fit(table)
-    assemble = X.assembler([c + X.IMPUTED for c in features])
-    forest = RandomForestRegressor(
-        featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth,
-        subsamplingRate=subsample, featureSubsetStrategy="sqrt", seed=seed,
-    )
-    vectors = assemble.transform(impute.transform(table)).select(label, "features")
-    with held_for_training(vectors) as held:
-        return PipelineModel([impute, assemble, forest.fit(held)])
+    with persisted(table) as rows:
+        impute = X.fit_exact_median(rows, features, relative_error)
+        assemble = X.assembler([c + X.IMPUTED for c in features])
+        forest = RandomForestRegressor(
+            featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth,
+            subsamplingRate=subsample, featureSubsetStrategy=feature_subset, seed=seed,
+            bootstrap=bootstrap,
+        )
+        vectors = assemble.transform(impute.transform(rows)).select(label, "features")
+        with held_for_training(vectors, partitions) as held:
+            return PipelineModel([impute, assemble, forest.fit(held)])
 
 
 def boosted(params: Mapping, label: str = S.LABEL, seed: int = 42, **extra) -> GBTRegressor:
@@ -199,15 +219,18 @@ def prepare_boosting(
     label: str = S.LABEL,
     exclude: Sequence[str] = ("DATE",),
     keep: Sequence[str] = (),
+    numbers: Sequence[str] = ("STATION",),
 ) -> tuple[PipelineModel, DataFrame, list[str]]:
     """Fit the feature preparation on every column but label and excluded ones.
 
+    Text columns in ``numbers`` become one numeric feature each.
+
     Gives the fitted preparation, the training vectors (label, ``features`` and the
     kept columns) and the names of the vector's slots.
     """
     left_out = [label, *exclude, *keep]
     with persisted(train.drop(*exclude)) as held:
-        stages, numeric = X.preparation(held, left_out)
+        stages, numeric = X.preparation(held, left_out, numbers)
         fitted = stages.fit(held)
     vectors = fitted.transform(train).select(*dict.fromkeys([label, "features", *keep]))
     return fitted, vectors, X.encoded_names(fitted, numeric)
@@ -220,21 +243,65 @@ def fit_boosted(
     seed: int = 42,
     validation: str | None = None,
     tolerance: float = 0.01,
+    patience: int | None = None,
+    partitions: int = TRAIN_PARTITIONS,
 ):
     """Boosted trees on prepared vectors.
 
     With a boolean ``validation`` column, adding trees stops as soon as the error on
-    the marked rows no longer improves by the tolerance.
+    the marked rows no longer improves by the tolerance. With ``patience`` as well, it
+    stops after so many rounds without a new least error, and the trees up to the best
+    round are kept; Spark has no such rule, so all rounds are fitted on the unmarked rows,
+    their errors evaluated, and the kept number of rounds, which come out the same, is fitted.
     """
     shared_folder(vectors.sparkSession)
+    if validation and patience:
+        return _fit_patient(vectors, params or {}, label, seed, validation, patience, partitions)[0]
     extra = {}
     if validation:
         extra = {"validationIndicatorCol": validation, "validationTol": tolerance}
     columns = [label, "features", *([validation] if validation else [])]
-    with held_for_training(vectors.select(*columns)) as held:
+    with held_for_training(vectors.select(*columns), partitions) as held:
         return boosted({**BOOSTED_DEFAULTS, **(params or {})}, label, seed, **extra).fit(held)
 
 
+def patient_rounds(losses: Sequence[float], patience: int) -> int:
+    """Rounds to keep: up to the least loss before ``patience`` rounds without a lesser one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def _fit_patient(vectors, params, label, seed, validation, patience, partitions=TRAIN_PARTITIONS):
+    """The model of the kept rounds, and the validation loss of every round."""
+    shared_folder(vectors.sparkSession)
+    merged = {**BOOSTED_DEFAULTS, **params}
+    marked = vectors.filter(F.col(validation)).select(label, "features")
+    with held_for_training(
+        vectors.filter(~F.col(validation)).select(label, "features"), partitions
+    ) as held:
+        model = boosted(merged, label, seed).fit(held)
+        losses = list(model.evaluateEachIteration(marked, "squared"))
+        rounds = patient_rounds(losses, patience)
+        if rounds < len(losses):
+            model = boosted({**merged, "n_estimators": rounds}, label, seed).fit(held)
+    return model, losses
+
+
+def patient_boosting(
+    vectors: DataFrame, validation: str, params: Mapping | None = None, patience: int = 50,
+    label: str = S.LABEL, seed: int = 42,
+):
+    """Boosted trees stopped by patience, and their rounds: (round, loss, kept)."""
+    model, losses = _fit_patient(vectors, params or {}, label, seed, validation, patience)
+    rows = [(i + 1, float(x), i < model.getNumTrees) for i, x in enumerate(losses)]
+    return model, vectors.sparkSession.createDataFrame(rows, "round int, loss double, kept boolean")
+
+
 def draw_params(draws: int = 20, seed: int = 42, space: Mapping | None = None) -> list[dict]:
     """Seeded random draws from the search ranges."""
     rng = np.random.RandomState(seed)
@@ -311,6 +378,7 @@ def learning_curve(
     folds: int = 3,
     seed: int = 42,
     validation: str | None = None,
+    parallelism: int = 3,
 ) -> DataFrame:
     """Mean training and validation RMSE by number of rows: (size, train_rmse, val_rmse).
 
@@ -326,17 +394,21 @@ def learning_curve(
     error = F.pow(F.col(label) - F.col("prediction"), F.lit(2))
     with held_for_training(table) as held:
         sizes = subset_sizes(held.count(), steps)
-        for n, subset in zip(sizes, nested_samples(held, sizes, keys, seed)):
-            scores = []
-            for k in range(folds):
-                inside = F.col("__fold") != k
-                model = estimator.fit(subset.filter(inside))
-
-                def part(where: Column) -> Column:
-                    return F.sqrt(F.avg(F.when(where, error)))
-
-                got = model.transform(subset).agg(part(inside), part(~inside)).first()
-                scores.append((got[0], got[1]))
-            means = [float(np.mean([s[i] for s in scores])) for i in (0, 1)]
+
+        def fold_scores(subset: DataFrame, k: int) -> tuple[float, float]:
+            inside = F.col("__fold") != k
+            model = estimator.fit(subset.filter(inside))
+
+            def part(where: Column) -> Column:
+                return F.sqrt(F.avg(F.when(where, error)))
+
+            return tuple(model.transform(subset).agg(part(inside), part(~inside)).first())
+
+        samples = list(zip(sizes, nested_samples(held, sizes, keys, seed)))
+        with ThreadPool(max(1, parallelism)) as pool:
+            found = pool.starmap(fold_scores, [(s, k) for _, s in samples for k in range(folds)])
+        for i, n in enumerate(sizes):
+            scores = found[i * folds : (i + 1) * folds]
+            means = [float(np.mean([s[j] for s in scores])) for j in (0, 1)]
             rows.append((n, *means))
     return spark.createDataFrame(rows, "size bigint, train_rmse double, val_rmse double")

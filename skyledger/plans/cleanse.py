@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from skyledger import schema as S
 from skyledger.operators import columns as C, filters as L
@@ -20,7 +22,11 @@ def cleanse(
     """
     if variable_wind_dir not in ("keep", "null"):
         raise ValueError("variable_wind_dir is 'keep' or 'null'")
-    kept = L.keep_accepted(L.drop_missing(C.split_packed(df, once=True)))
+    # A row without one of the packed fields never stays: said before the split, this
+    # reaches the scan.
+    there = [F.col(c).isNotNull() for c in C.present(df, list(S.PACKED_LAYOUTS))]
+    whole = df.filter(reduce(Column.__and__, there)) if there else df
+    kept = L.keep_accepted(L.drop_missing(C.split_packed(whole, once=True)))
     scaled = C.rename_units(C.scale_units(C.add_calendar(C.drop_columns(kept))))
     if variable_wind_dir == "null":
         code = F.lit(float(S.WIND_DIRECTION_MISSING))

@@ -16,8 +16,8 @@ from skyledger.operators import evaluate as E, models as M
 from skyledger.operators.profile import axis_limits, histogram
 from skyledger.operators.sampling import validation_flag
 from skyledger.session import persisted
-from skyledger.sources.checks import require_columns
-from skyledger.sources.tables import write_results, write_table
+from skyledger.sources.checks import require_columns, require_inputs
+from skyledger.sources.tables import write_json, write_results, write_table
 
 
 # --- fixed values: model names in reports ------------------------------------
@@ -38,6 +38,9 @@ class Report:
         M.save_model(self.model, f"{folder}/model")
         write_table(self.predictions, f"{folder}/predictions")
         write_results(self.tables, folder)
+        if {"metrics", "coefficients", "coefficient_diagnostics"} <= set(self.tables):
+            nested = E.nested_result(*(self.tables[t] for t in ("metrics", "coefficients", "coefficient_diagnostics")))
+            write_json(nested, f"{folder}/result", 1)
 
 
 def _intercept(model: PipelineModel) -> float:
@@ -83,17 +86,19 @@ def regularized_family(
     label: str = S.LABEL,
     handle_invalid: str = "error",
     folder: str | None = None,
+    keys: Sequence[str] | None = None,
 ) -> tuple[dict[float, Report], DataFrame]:
     """Ridge, elastic net and lasso: a report per mixing weight, and the comparison.
 
+    Validation rows are picked by a hash of the keys (of label and features if none are given).
     With a folder, reports are written below it as ``ridge_a0``, ``enet_a0p25`` and so on.
     """
     reports = {}
-    for alpha in alphas:
-        grid = (grids or {}).get(alpha)
-        found = M.search_penalty(
-            train, alpha, grid, features, label, handle_invalid=handle_invalid
-        )
+    searches = M.search_penalties(
+        train, {a: (grids or {}).get(a) for a in alphas}, features, label, keys=keys,
+        handle_invalid=handle_invalid,
+    )
+    for alpha, found in searches.items():
         extra = {**found.best, "intercept": _intercept(found.model)}
         name = f"{FAMILY.get(alpha, 'Enet')} (alpha={alpha})"
         report = _linear_report(found.model, test, features, label, name, extra)
@@ -109,6 +114,17 @@ def regularized_family(
     return reports, summary
 
 
+def rescore(
+    path: str, table: DataFrame, features: Sequence[str] = tuple(S.FOREST_FEATURES),
+    keep: Sequence[str] = (S.LABEL,), prediction: str = "prediction",
+) -> DataFrame:
+    """Score a table with a saved model, after checking that both fit the features."""
+    model = M.load_model(path)
+    require_inputs(model.stages[0], features)
+    require_columns(table, features, "table to score")
+    return M.score(model, table, keep, prediction)
+
+
 def _diagnostics(predictions: DataFrame, label: str) -> dict[str, DataFrame]:
     residuals = E.residual_rows(predictions, label)
     return {
@@ -162,11 +178,13 @@ def boosting(
     draws: Sequence[Mapping] | None = None,
     curve: Mapping | None = None,
     seed: int = 42,
+    patience: int | None = None,
 ) -> DataFrame:
     """Base and searched boosted trees, written below a folder; their comparison.
 
-    The keys tell rows apart for the validation set and for the learning curve of
-    the best draw, which is made if ``curve`` is given (``steps`` and ``folds``).
+    The keys tell rows apart for the validation set and for the learning curves of the
+    base model and the best draw, made if ``curve`` is given (``steps`` and ``folds``).
+    With ``patience`` the base model is also kept as stopped by so many rounds without progress.
     """
     spark = train.sparkSession
     require_columns(test, [label, *keys], "test table")
@@ -181,6 +199,10 @@ def boosting(
         "base": M.fit_boosted(vectors, base, label, seed),
         "optimised": found.model.stages[-1],
     }
+    if patience:
+        models["patient"] = M.fit_boosted(
+            vectors, base, label, seed, validation="is_validation", patience=patience
+        )
     rows = []
     for name, trees in models.items():
         model = PipelineModel([*fitted.stages, trees])
@@ -198,5 +220,9 @@ def boosting(
         tables["learning_curve"] = M.learning_curve(
             vectors, ["row_key"], early, label, seed=seed, validation="is_early", **curve
         )
+        plain = M.boosted({**M.BOOSTED_DEFAULTS, **(base or {})}, label, seed)
+        tables["base_learning_curve"] = M.learning_curve(
+            vectors, ["row_key"], plain, label, seed=seed, **curve
+        )
     write_results(tables, folder)
     return E.model_comparison(rows, ["model", "rmse", "mae", "r2"])

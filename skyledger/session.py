@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def build_session(app: str = "skyledger", master: str | None = None, **conf) -> SparkSession:
@@ -72,18 +72,20 @@ def persisted(*tables: DataFrame, level: StorageLevel = SERIALIZED):
             t.unpersist()
 
 
+TRAIN_PARTITIONS = 16
+
+
 @contextlib.contextmanager
-def held_for_training(df: DataFrame):
+def held_for_training(df: DataFrame, partitions: int = TRAIN_PARTITIONS):
     """Persist a table that an iterative fit will read many times.
 
-    A table in fewer partitions than the cluster has cores (few or unsplittable
-    files) is spread over all of them first; a larger one stays where it is, without
-    a shuffle.
+    Fits draw their random numbers per partition and row, so the layout is part of the
+    model: rows go to a fixed number of partitions by a hash of their content and are put
+    in its order there. The same rows then give the same model on any cluster,
+    from any files, and after a lost executor. Give a large table more partitions; their
+    number, and nothing else, belongs with the seed.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    with persisted(df) as held:
-        if held.rdd.getNumPartitions() >= cores:
-            yield held
-        else:
-            with persisted(held.repartition(cores)) as wide:
-                yield wide
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    placed = df.withColumn("__row", row).repartition(partitions, "__row")
+    with persisted(placed.sortWithinPartitions("__row").drop("__row")) as held:
+        yield held

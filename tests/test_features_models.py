@@ -50,10 +50,71 @@ def test_one_hot_unknown_is_all_zero(spark):
     assert [r[0] for r in got] == [[1.0, 0.0], [0.0, 1.0], [0.0, 0.0], [0.0, 0.0]]
 
 
-def test_preparation_refuses_runaway_categories(spark):
-    df = spark.range(300).select(F.col("id").cast("string").alias("t"), F.lit(1.0).alias("x"))
-    with pytest.raises(ValueError, match="t"):
-        X.preparation(df, [], max_categories=100)
+def test_preparation_reads_ids_as_numbers(spark):
+    """An id is one numeric slot however many values it has; what is no number is filled."""
+    df = spark.range(301).select(
+        F.when(F.col("id") == 7, "A7").otherwise(F.col("id").cast("string")).alias("t"),
+        F.when(F.col("id") > 0, F.col("id").cast("double")).alias("x"),
+        F.when(F.col("id") % 3 > 0, F.when(F.col("id") % 3 > 1, "a").otherwise("b")).alias("c"),
+    )
+    stages, numeric = X.preparation(df, [], ["t"])
+    fitted = stages.fit(df)
+    assert numeric == ["x", "t"] and X.encoded_names(fitted, numeric) == ["x", "t", "c=a", "c=b"]
+    rows = {r["t"]: r["features"].toArray().tolist() for r in fitted.transform(df).collect()}
+    assert rows["A7"] == [7.0, 150.0, 0.0, 1.0] and rows["0"] == [150.0, 0.0, 1.0, 0.0]
+
+
+def test_exact_median_stage(spark):
+    rows = [(float(i), None if i % 2 else float(-i)) for i in range(9)] + [(float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    model = X.fit_exact_median(df, ["a", "b"])
+    assert tuple(model.surrogateDF.first()) == (4.0, -4.0)
+    require_inputs(model, ["a", "b"])
+    with pytest.raises(ValueError, match="b"):
+        X.fit_exact_median(df.withColumn("b", F.lit(None).cast("double")), ["a", "b"])
+
+
+def test_fits_do_not_depend_on_partitions(spark, split):
+    train, test = split
+    forest, penalty, boosted = set(), set(), set()
+    for n in (1, 2, 7):
+        rows = train.repartition(n)
+        model = M.fit_forest(rows, num_trees=3, max_depth=4)
+        forest.add(round(E.regression_metrics(M.score(model, test)).first()["rmse"], 9))
+        found = M.search_penalty(rows, 0.5, [0.001, 0.05, 5.0], keys=["event_id"])
+        penalty.add(tuple(round(r["rmse"], 7) for r in found.trials.collect()))
+        vectors = X.assembler(["DEW_C", "hour"]).transform(rows).select("TMP_C", "features")
+        trees = M.fit_boosted(vectors, {"n_estimators": 3, "max_depth": 2})
+        boosted.add(round(float(trees.predict(vectors.orderBy("TMP_C").first()["features"])), 9))
+    assert len(forest) == len(penalty) == len(boosted) == 1
+
+
+def test_default_validation_rows_follow_the_row(split):
+    train, _ = split
+    scores = {
+        tuple(round(r["rmse"], 7) for r in M.search_penalty(rows, 0.0, [0.01, 1.0]).trials.collect())
+        for rows in (train.coalesce(1), train.repartition(5))
+    }
+    assert len(scores) == 1
+
+
+def test_patience():
+    assert M.patient_rounds([5.0, 4.0, 4.5, 4.2, 3.0], 2) == 2
+    assert M.patient_rounds([5.0, 4.0, 4.5, 3.9, 3.0], 2) == 5
+    assert M.patient_rounds([1.0, 2.0, 3.0], 50) == 1
+    assert M.patient_rounds([1.0], 1) == 1
+
+
+def test_patient_model_keeps_the_best_rounds(split):
+    train = validation_flag(split[0], ["event_id"])
+    vectors = X.assembler(["hour"]).transform(train).select("TMP_C", "features", "is_validation")
+    params = {"n_estimators": 12, "max_depth": 1, "learning_rate": 1.0, "subsample": 1.0, "colsample_bytree": 1.0}
+    model, rounds = M.patient_boosting(vectors, "is_validation", params, patience=2)
+    losses = [r["loss"] for r in rounds.orderBy("round").collect()]
+    assert len(losses) == 12 and model.getNumTrees == M.patient_rounds(losses, 2)
+    assert rounds.filter("kept").count() == model.getNumTrees
+    same = M.fit_boosted(vectors, params, validation="is_validation", patience=2)
+    assert same.getNumTrees == model.getNumTrees
 
 
 def test_assembler_on_missing_features(spark):
@@ -136,10 +197,11 @@ def test_boosting(spark, split):
     train, test = split
     train = validation_flag(train, ["event_id"])
     fitted, vectors, names = M.prepare_boosting(
-        train, exclude=("DATE", "STATION", "event_id"), keep=("is_validation",)
+        train, exclude=("DATE", "event_id"), keep=("is_validation",)
     )
     assert vectors.columns == ["TMP_C", "features", "is_validation"]
     assert len(names) == len(vectors.first()["features"]) and names[-1] == "WND_TYPE=V"
+    assert names.count("STATION") == 1 and not any(n.startswith("STATION=") for n in names)
     small = {"n_estimators": 4, "max_depth": 3, "learning_rate": 0.5}
     model = M.fit_boosted(vectors, small)
     scored = M.score(PipelineModel([*fitted.stages, model]), test)

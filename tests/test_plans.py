@@ -1,3 +1,4 @@
+import json
 import os
 
 import pytest
@@ -29,6 +30,10 @@ def test_linear_family(split, tmp_path):
     assert row["model"] == "Baseline Linear Regression" and row["r2"] > 0.8
     assert base.tables["coefficients"].count() == 8
     base.write(f"{tmp_path}/base")
+    with open(f"{tmp_path}/base/result/" + next(f for f in os.listdir(f"{tmp_path}/base/result") if f.startswith("part"))) as f:
+        nested = json.load(f)
+    assert len(nested["coefficients"]) == 8 and nested["coef_diag"]["nonzero"] == 8
+    assert nested["metrics"]["r2"] == row["r2"] and "timestamp" not in nested["metrics"]
     grids = {0.0: [0.003, 0.1], 1.0: [0.003]}
     reports, summary = J.regularized_family(
         *split, alphas=[0.0, 1.0], grids=grids, folder=f"{tmp_path}/l"
@@ -46,6 +51,13 @@ def test_forest_report(spark, split, tmp_path):
         "residual_histogram", "residual_qq", "axis_limits", "feature_importance", "top_features",
     }
     assert T.read_table(spark, f"{tmp_path}/rf/predictions").count() == split[1].count()
+    again = J.rescore(f"{tmp_path}/rf/model", split[1], keep=("DATE", "TMP_C"))
+    before = T.read_table(spark, f"{tmp_path}/rf/predictions")
+    assert again.exceptAll(before).isEmpty()
+    with pytest.raises(ValueError, match="fitted on"):
+        J.rescore(f"{tmp_path}/rf/model", split[1], ["DEW_C"])
+    with pytest.raises(ValueError, match="DEW_C"):
+        J.rescore(f"{tmp_path}/rf/model", split[1].drop("DEW_C"))
     with pytest.raises(ValueError, match="SLP_hPa"):
         J.forest(split[0], split[1].drop("SLP_hPa"), f"{tmp_path}/no")
 
@@ -53,13 +65,13 @@ def test_forest_report(spark, split, tmp_path):
 def test_boosting_report(spark, split, tmp_path):
     small = {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.5}
     table = J.boosting(
-        split[0].drop("STATION"), split[1], f"{tmp_path}/gbt", keys=("DATE", "LATITUDE"),
-        base=small, draws=[small], curve={"steps": 1, "folds": 2},
-    )
-    assert [r["model"] for r in table.collect()] == ["base", "optimised"]
-    assert {"base", "optimised", "trials", "best_params", "learning_curve"} <= set(
-        os.listdir(f"{tmp_path}/gbt")
+        *split, f"{tmp_path}/gbt", keys=("DATE", "LATITUDE"),
+        base=small, draws=[small], curve={"steps": 1, "folds": 2}, patience=2,
     )
+    assert [r["model"] for r in table.collect()] == ["base", "optimised", "patient"]
+    assert {
+        "base", "optimised", "patient", "trials", "best_params", "learning_curve", "base_learning_curve",
+    } <= set(os.listdir(f"{tmp_path}/gbt"))
 
 
 def test_stream_equals_batch(spark, feed, tmp_path):
