@@ -6,11 +6,22 @@ features are eliminated step by step in a chain of one-row tables.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from skyledger.operators.evaluate import normal_quantiles
 from skyledger.plans.feed import FEED_SQL
-from skyledger.schema import CORRELATION_COLUMNS, LINEAR_FEATURES, PROFILE_COLUMNS
+
+# fixed values: column lists of the profiles and of the linear models
+PROFILE_COLUMNS = [
+    "WND_DIR_DEG", "WND_SPD_MS", "CIG_HEIGHT_M", "VIS_DIST_M", "TMP_C", "DEW_C", "SLP_hPa",
+]
+CORRELATION_COLUMNS = [
+    "TMP_C", "DEW_C", "SLP_hPa", "WND_SPD_MS", "VIS_DIST_M", "CIG_HEIGHT_M",
+]
+LINEAR_FEATURES = [
+    "DEW_C", "SLP_hPa", "WND_SPD_MS", "VIS_DIST_M", "CIG_HEIGHT_M",
+    "LATITUDE", "LONGITUDE", "ELEVATION",
+]
 
 ORACLES: dict[str, str] = {}
 
@@ -647,7 +658,18 @@ SELECT cast(floor(prediction) AS BIGINT) AS "bin", round(avg(TMP_C), 6) AS avg_t
 ORACLES["residuals"] = f"""WITH {SCORED} SELECT event_id, round(TMP_C, 4) AS TMP_C,
   round(prediction, 4) AS prediction, round(residual, 4) + 0.0 AS residual FROM res"""
 ORACLES["residual_histogram"] = f"WITH {SCORED} {_histogram('res', ['residual'], 50)}"
-_GRID = normal_quantiles(99)
+
+
+def _normal_quantile(p: float) -> float:
+    """By halving the interval in which the distribution function passes p."""
+    low, high = -10.0, 10.0
+    for _ in range(80):
+        middle = (low + high) / 2
+        low, high = (middle, high) if (1 + math.erf(middle / math.sqrt(2))) / 2 < p else (low, middle)
+    return low
+
+
+_GRID = [(i / 100, _normal_quantile(i / 100)) for i in range(1, 100)]
 _QQ = f"""{SCORED}, q AS (
   SELECT unnest(quantile_cont(residual, [{', '.join(str(p) for p, _ in _GRID)}])) AS sample,
     unnest([{', '.join(str(p) for p, _ in _GRID)}]) AS p,

@@ -28,7 +28,7 @@ from skyledger.plans.feed import raw_feed
 from skyledger.plans.ingest import write_split
 from skyledger.plans.modelling import rescore
 from skyledger.plans.typed import TYPED_SOURCE_COLUMNS, typed_humidity
-from skyledger.session import scratch_path
+from skyledger.session import scratch_path, written_paths
 from skyledger.sources import csv as SRC, tables as TAB
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,20 +76,26 @@ LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 # ------------------------------------------------------- sources and sinks ---
-def _feed_as_csv(spark: SparkSession, d: str, name: str) -> str:
-    """The feed as CSV files of two header sets, below a fresh shared folder."""
-    base = scratch_path(spark, name)
-    feed = raw_feed(spark, d).drop("event_id")
-    plain = feed.filter(F.col("RH").isNull()).drop("RH")
-    TAB.write_csv(plain, f"{base}/plain")
-    humid = feed.filter(F.col("RH").isNotNull()).drop("ELEVATION")
-    TAB.write_csv(humid.select(*reversed(humid.columns)), f"{base}/humid")
-    return f"{base}/*"
+_csv_feeds: dict[tuple[str, str], str] = {}
+
+
+def _feed_as_csv(spark: SparkSession, d: str) -> str:
+    """The feed as CSV files of two header sets; written once per application and folder."""
+    made = (spark.sparkContext.applicationId, d)
+    if _csv_feeds.get(made) not in written_paths():
+        base = scratch_path(spark, "raw-csv")
+        feed = raw_feed(spark, d).drop("event_id")
+        plain = feed.filter(F.col("RH").isNull()).drop("RH")
+        TAB.write_csv(plain, f"{base}/plain")
+        humid = feed.filter(F.col("RH").isNotNull()).drop("ELEVATION")
+        TAB.write_csv(humid.select(*reversed(humid.columns)), f"{base}/humid")
+        _csv_feeds[made] = base
+    return f"{_csv_feeds[made]}/*"
 
 
 @query
 def read_raw_csv(spark, d):
-    return SRC.read_raw(spark, _feed_as_csv(spark, d, "raw-csv"), pattern="*.csv")
+    return SRC.read_raw(spark, _feed_as_csv(spark, d), pattern="*.csv")
 
 
 @query
@@ -100,7 +106,7 @@ def raw_projection(spark, d):
 @query
 def typed_scan(spark, d):
     raw = SRC.read_raw(
-        spark, _feed_as_csv(spark, d, "typed-csv"), TYPED_SOURCE_COLUMNS, pattern="*.csv"
+        spark, _feed_as_csv(spark, d), TYPED_SOURCE_COLUMNS, pattern="*.csv"
     )
     return raw.select(
         "STATION",

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 
 from skyledger import schema as S
 from skyledger.functions.numeric import key_hash
-from skyledger.functions.text import alpha_label
 from skyledger.operators import evaluate as E, models as M
 from skyledger.operators.profile import axis_limits, histogram
 from skyledger.operators.sampling import validation_flag
@@ -35,12 +34,14 @@ class Report:
 
     def write(self, folder: str) -> None:
         """Predictions as Parquet, result tables as CSV and the model, below a folder."""
+        parts = ("metrics", "coefficients", "coefficient_diagnostics")
         M.save_model(self.model, f"{folder}/model")
-        write_table(self.predictions, f"{folder}/predictions")
-        write_results(self.tables, folder)
-        if {"metrics", "coefficients", "coefficient_diagnostics"} <= set(self.tables):
-            nested = E.nested_result(*(self.tables[t] for t in ("metrics", "coefficients", "coefficient_diagnostics")))
-            write_json(nested, f"{folder}/result", 1)
+        with persisted(self.predictions):  # scored once, also for the tables made from them
+            write_table(self.predictions, f"{folder}/predictions")
+            write_results(self.tables, folder)
+            if set(parts) <= set(self.tables):
+                nested = E.nested_result(*(self.tables[t] for t in parts))
+                write_json(nested, f"{folder}/result", 1)
 
 
 def _intercept(model: PipelineModel) -> float:
@@ -106,10 +107,9 @@ def regularized_family(
         reports[alpha] = report
     summary = E.model_comparison([r.tables["metrics"] for r in reports.values()])
     if folder:
-        weights = train.sparkSession.createDataFrame([(float(a),) for a in reports], "a double")
-        for r in weights.select("a", alpha_label("a").alias("label")).collect():
-            name = FAMILY.get(r["a"], "Enet").lower()
-            reports[r["a"]].write(f"{folder}/{name}_{r['label']}")
+        for alpha, report in reports.items():
+            label = f"a{alpha:g}".replace(".", "p")
+            report.write(f"{folder}/{FAMILY.get(alpha, 'Enet').lower()}_{label}")
         write_results({"regularized_summary": summary}, folder)
     return reports, summary
 

@@ -9,7 +9,7 @@ from skyledger.functions.calendar import cast_timestamp
 from skyledger.functions.humidity import relative_humidity
 from skyledger.functions.text import decode_tenths, decode_visibility, try_number
 
-# What the typed scan takes from the raw files.
+# fixed values: what the typed scan takes from the raw files
 TYPED_SOURCE_COLUMNS = [
     "STATION", "DATE", "LATITUDE", "LONGITUDE", "ELEVATION", "TMP", "DEW", "SLP", "VIS", "RH",
 ]

@@ -49,9 +49,32 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing exists there yet."""
-    return f"{shared_folder(spark)}/skyledger/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/skyledger/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def written_paths() -> list[str]:
+    """Scratch paths handed out and not cleared yet."""
+    return list(_scratch)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove what this program has written to its scratch paths; their number.
+
+    For the end of a job: tables that are read from such a path are gone with it.
+    """
+    conf = spark._jsc.hadoopConfiguration()
+    gone = 0
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 # Serialized in memory, spilling to disk: the cheapest form for wide cached tables.

@@ -26,7 +26,7 @@ def cleanse_stream(
     The checkpoint, on shared storage, makes each file count exactly once.
     """
     return (
-        cleanse(read_stream(spark, source), **options)
+        cleanse(read_stream(spark, source), stored=True, **options)
         .writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)

@@ -191,3 +191,16 @@ def test_ingest_jobs(spark, feed, tmp_path):
     assert T.read_table(spark, f"{tmp_path}/raw").columns[0] == "STATION"
     typed = T.read_table(spark, f"{tmp_path}/typed")
     assert typed.filter("RH_pct IS NOT NULL").count() > 800 and typed.columns[-2:] == ["year", "month"]
+
+
+def test_scratch_is_cleared_by_its_maker(spark, tmp_path):
+    from skyledger import session
+
+    kept = list(session._scratch)
+    session._scratch.clear()
+    path = session.scratch_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    assert session.clear_scratch(spark) == 1 and not os.path.exists(path)
+    assert session.clear_scratch(spark) == 0
+    session._scratch.extend(kept)
