@@ -144,9 +144,13 @@ def later_copies(
     found = stored(found, "intervals")
     where = F.struct(F.col("__doc"), F.col("__text"), F.col("start"))
     interval = ["lines", "head", "tail"]
-    earliest = found.groupBy(*interval).agg(
-        F.min(where).alias("first"), F.count("*").alias("copies")
-    ).filter("copies > 1")
+    # Stored, so that the join below stands on two shuffles and a hot interval can be split.
+    earliest = stored(
+        found.groupBy(*interval).agg(
+            F.min(where).alias("first"), F.count("*").alias("copies")
+        ).filter("copies > 1"),
+        "earliest",
+    )
     later = found.join(earliest, interval).filter(~where.eqNullSafe(F.col("first")))
     places = later.select(
         *_KEY, F.explode(F.sequence("start", F.col("start") + F.col("lines") - 1)).alias("place")
