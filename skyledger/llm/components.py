@@ -8,24 +8,29 @@ from pyspark.sql import DataFrame, functions as F
 from skyledger.llm.batches import stored
 
 
-def _with_least(pairs: DataFrame, least: DataFrame) -> DataFrame:
-    """The least neighbour of u beside each pair; a hub's many pairs are split by adaptive joins."""
-    return pairs.join(least, "u")
+def _with_least(pairs: DataFrame, least: DataFrame, name: str) -> DataFrame:
+    """The least neighbour of u beside each pair.
+
+    The least are stored first: the join then stands on two shuffles of its own, and
+    adaptive execution can split the many pairs of a hub.
+    """
+    return pairs.join(stored(least, name), "u")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, name: str) -> DataFrame:
     """Link every larger neighbour of u to the least of u and its neighbours."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return _with_least(both.filter("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _with_least(both.filter("v > u"), least, name).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, name: str) -> DataFrame:
     """Link u and its smaller neighbours to the least of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v")
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = _with_least(down, least).filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v")))
+    # The pair that holds the least stays as it is; the others move to it.
+    moved = _with_least(down, least, name)
+    return moved.select(F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"))
 
 
 def components(edges: DataFrame, name: str = "components", most_rounds: int = 60) -> DataFrame:
@@ -40,7 +45,8 @@ def components(edges: DataFrame, name: str = "components", most_rounds: int = 60
     )
     sign = None
     for _ in range(most_rounds):
-        now = stored(_small_star(_large_star(now).distinct()).distinct(), name)
+        large = stored(_large_star(now, name).distinct(), name)
+        now = stored(_small_star(large, name).distinct(), name)
         # Decimal sums never overflow and do not depend on the order.
         found = now.agg(
             F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
