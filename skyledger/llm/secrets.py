@@ -37,7 +37,12 @@ _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}+" % LEAST_CHARS)
 _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 _DIGEST_CHARS = (32, 40, 56, 64, 96, 128)
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-_PLAIN = re.compile(r"[0-9+/_=-]+|[a-z+/_=-]+|[A-Z+/_=-]+|(?:[A-Z]?[a-z]+[0-9]{0,4}[+/_=-]*)+")
+# Numbers, one case only, and words and numbers joined by signs or capitals. Possessive: a long
+# run is read once.
+_PLAIN = re.compile(
+    r"[0-9+/_=-]+|[a-z+/_=-]+|[A-Z+/_=-]+|[+/_=-]*+(?:(?:[A-Z]?[a-z]++(?:[0-9]{1,4}+(?![0-9A-Za-z]))?+"
+    r"|[A-Z]{2,}+(?![0-9a-z])|[0-9]{1,8}+(?![0-9A-Za-z]))[+/_=-]*+)++"
+)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:

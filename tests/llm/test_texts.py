@@ -224,6 +224,10 @@ def test_base_secrets_equal_plain_patterns(docs_of):
     ("getUserNameFromDatabaseConnection", False),
     ("2024-01-02-2024-01-03-2024", False),
     ("internationalization_of_everything", False),
+    ("see /a-long-path/with-words/2024/index", False),
+    ("key ab12cd34ef56gh78ij90", True),
+    ("a" * 5000 + "Z", False),
+    ("aB" * 3000 + "-" * 3000 + "7" * 9, False),
 ])
 def test_random_strings(docs_of, text, found):
     assert ("random:" in secrets.scan(docs_of([text])).first()["spans"]) == found
@@ -240,3 +244,19 @@ def test_held_out_of_a_null_key(spark):
 
     got = spark.createDataFrame([(None,), (5,)], "k long").select(held_out(F.col("k")).alias("h")).collect()
     assert [r["h"] for r in got] == [zlib.crc32(b"") % 4 == 2, zlib.crc32(b"5") % 4 == 2]
+
+
+def test_bounded_samples_do_not_depend_on_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from skyledger.llm.batches import sample_rows
+
+    # One value holds two thirds of the rows.
+    df = spark.range(9000).select("id", F.when(F.col("id") < 6000, "a").otherwise(F.concat(F.lit("b"), F.col("id") % 3)).alias("k"))
+    for by, want in ((None, {None: 50}), ("k", {"a": 50, "b0": 50, "b1": 50, "b2": 50})):
+        found = [sorted(tuple(r) for r in sample_rows(rows, 50, by).collect()) for rows in (df.coalesce(1), df.repartition(9))]
+        assert found[0] == found[1] and df.columns == ["id", "k"]
+        if by:
+            assert {k: sum(r[1] == k for r in found[0]) for k in want} == want
+        else:
+            assert len(found[0]) == 50
