@@ -53,3 +53,11 @@ def test_run_is_whole(spark):
     got = corpus_pipeline.run(spark, SMALL)
     assert 0 < got.count() <= table(spark, SMALL, "documents").count()
     assert {"doc_id", "bucket", "batch", "place"} <= set(got.columns)
+
+
+def test_stages_over_an_empty_table(spark, docs_of, tmp_path):
+    docs = docs_of(["a"]).limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SMALL).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert docs.count() == 0
