@@ -107,16 +107,20 @@ def held_out(key: Column) -> Column:
 def sample_rows(df: DataFrame, n: int, by: str | None = None) -> DataFrame:
     """At most n rows (of each ``by`` value), those with the least hashes of all columns.
 
-    Each task keeps only its own n best before anything is shuffled, and the choice
-    does not depend on the partitioning.
+    The choice does not depend on the partitioning. Over the whole table each task keeps only
+    its own n best before anything is shuffled. Per value, rows are first thinned by hash
+    to about 2n of each value, by its count, so that no value fills a task.
     """
     picked = df.withColumn("__h", F.xxhash64(*df.columns))
     if by is None:
         return picked.orderBy("__h").limit(n).drop("__h")
+    counts = picked.groupBy(by).agg(F.count("*").alias("__all"))
+    place = F.col("__h") / F.lit(2.0**64) + 0.5
+    thin = picked.join(counts, by).filter(place * F.col("__all") <= 2 * n)
     order = Window.partitionBy(by).orderBy("__h")
-    return picked.withColumn("__n", F.row_number().over(order)).filter(
+    return thin.withColumn("__n", F.row_number().over(order)).filter(
         F.col("__n") <= n
-    ).drop("__h", "__n")
+    ).select(df.columns)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -26,6 +26,7 @@ from skyledger.llm.textgrams import bucket, byte_grams
 BITS = 12
 SIZES = (1, 2, 3, 4)
 SAMPLE = 300  # training texts per language, at most
+LANGUAGES = 256  # languages that are learned, at most: the most frequent ones
 CENTROIDS, ROUNDS, SEED = 4, 8, 5
 REJECT_QUANTILE, REJECT_SHARE, FULL_LETTERS = 0.005, 0.5, 64
 UNKNOWN = "und"
@@ -129,6 +130,8 @@ def fit(
     """
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).dropna()
     rows = rows.filter(F.col("text").rlike(r"\p{L}")).withColumn("key", F.xxhash64("text", "lang"))
+    known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    rows = rows.join(F.broadcast(known.select("lang")), "lang")
     keys = sample_rows(rows.select("key", "lang").distinct(), sample, by="lang").select("key")
     found = rows.join(F.broadcast(keys), "key").dropDuplicates(["key"]).toArrow()
     found = found.sort_by("key")
