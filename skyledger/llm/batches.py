@@ -109,7 +109,8 @@ def sample_rows(df: DataFrame, n: int, by: str | None = None) -> DataFrame:
 
     The choice does not depend on the partitioning. Over the whole table each task keeps only
     its own n best before anything is shuffled. Per value, rows are first thinned by hash
-    to about 2n of each value, by its count, so that no value fills a task.
+    to about 2n of each value, by its count, so that no value fills a task; rows whose value
+    is null are left out.
     """
     picked = df.withColumn("__h", F.xxhash64(*df.columns))
     if by is None:
