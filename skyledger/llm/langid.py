@@ -3,9 +3,12 @@
 A text is the normalised TF-IDF vector of its hashed byte n-grams (letters in lower
 case, everything else folded to a blank). Per language the vectors of a bounded sample
 are clustered into a few centroids by spherical k-means; a text gets the language of the
-centroid with the largest cosine. Texts further from every centroid than nearly all
-training texts of that centroid's language, by a wide margin, are rejected. A text of few
-letters shares few n-grams with anything, so its margin is wider by the root of its length.
+centroid with the largest cosine. It is rejected below that language's limit, which is set
+between two sets of cosines of training texts: those of the language's own texts with
+centroids of the other half of them, and those that the texts of the other language nearest
+to it would have with its centroids, were their own left out. A text of few
+letters shares few n-grams with anything, so its limit is lower by the root of its length.
+The n-grams have so many buckets that a long text does not fill them.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0 and rejected;
 rows with a null language are never learned from; with nothing to learn from, every text
@@ -23,12 +26,14 @@ from pyspark.sql import DataFrame, functions as F
 from skyledger.llm.batches import Texts, annotate, fields, sample_rows
 from skyledger.llm.textgrams import bucket, byte_grams
 
-BITS = 12
+BITS = 15
 SIZES = (1, 2, 3, 4)
 SAMPLE = 300  # training texts per language, at most
 LANGUAGES = 256  # languages that are learned, at most: the most frequent ones
 CENTROIDS, ROUNDS, SEED = 4, 8, 5
-REJECT_QUANTILE, REJECT_SHARE, FULL_LETTERS = 0.005, 0.5, 64
+OWN_QUANTILE, OTHER_QUANTILE, ALONE_SHARE, FULL_LETTERS = 0.005, 0.95, 0.5, 64
+MARGIN = 0.15  # of the way from other languages to the own one
+ROWS = 64  # texts whose buckets are held at once
 UNKNOWN = "und"
 
 _FOLD = np.full(256, 0x20, np.uint8)
@@ -63,6 +68,16 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(norm == 0, 1, norm)
 
 
+def vectors(texts: Texts, idf: np.ndarray) -> np.ndarray:
+    return unit(np.log1p(gram_counts(texts).astype(np.float32)) * idf)
+
+
+def length_share(texts: Texts) -> np.ndarray:
+    """Root of the letters of each text over those of a full one, at most 1."""
+    letters = np.diff(np.concatenate([[0], np.cumsum(_FOLD[texts.buf] != 0x20)])[texts.offsets])
+    return np.sqrt(np.minimum(1.0, letters / FULL_LETTERS))
+
+
 @dataclass(frozen=True)
 class CentroidModel:
     """IDF per bucket, centroids with their language, and the least cosine per language."""
@@ -75,14 +90,14 @@ class CentroidModel:
 
     def predict(self, texts: Texts):
         """(language number, cosine, rejected) by the nearest centroid of each text."""
-        vectors = unit(np.log1p(gram_counts(texts).astype(np.float32)) * self.idf)
-        cosine = vectors @ self.centroids.T
+        cosine = np.concatenate([np.zeros((0, len(self.owner)), np.float32)] + [
+            vectors(Texts(texts.values.slice(i, ROWS)), self.idf) @ self.centroids.T
+            for i in range(0, len(texts), ROWS)
+        ])
         best = cosine.argmax(axis=1)
         language = self.owner[best]
         nearest = np.clip(cosine[np.arange(len(texts)), best], 0.0, 1.0)
-        letters = np.diff(np.concatenate([[0], np.cumsum(_FOLD[texts.buf] != 0x20)])[texts.offsets])
-        length = np.sqrt(np.minimum(1.0, letters / FULL_LETTERS))
-        return language, nearest, nearest < self.least[language] * length
+        return language, nearest, nearest < self.least[language] * length_share(texts)
 
 
 def clustered(rows: np.ndarray, k: int, rng) -> np.ndarray:
@@ -97,27 +112,62 @@ def clustered(rows: np.ndarray, k: int, rng) -> np.ndarray:
     return at
 
 
+def limits(own: list, others: np.ndarray) -> np.ndarray:
+    """Least cosine per language, from its own texts and from the other language nearest to it.
+
+    ``own`` are the cosines of each language's texts; ``others`` holds, per language and other
+    language, a high quantile of that one's cosines. Between the two where they are apart, and
+    nearer to the others, as odd own texts must stay. Where they are not, nearly all own
+    texts stay. One language alone has only its own side.
+    """
+    low = np.array([np.quantile(x, OWN_QUANTILE) for x in own])
+    if len(own) == 1:
+        return ALONE_SHARE * low
+    high = others.max(axis=1)
+    return np.minimum(low, high + MARGIN * (low - high))
+
+
 def train(texts: list, languages: list, centroids: int = CENTROIDS) -> CentroidModel | None:
+    """One language's vectors are held at a time, so many languages need little memory."""
     import pyarrow as pa
 
     if not texts:
         return None
-    counts = np.concatenate([
-        gram_counts(Texts(pa.array(texts[i : i + 256], pa.string()))) for i in range(0, len(texts), 256)
-    ]).astype(np.float32)
-    idf = np.log((1 + len(texts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
-    rows, names = unit(np.log1p(counts) * idf), tuple(sorted(set(languages)))
-    number = np.searchsorted(names, languages)
+    names = tuple(sorted(set(languages)))
+    groups = [[] for _ in names]
+    for text, number in zip(texts, np.searchsorted(names, languages).tolist()):
+        groups[number].append(text)
+    parts = [
+        [Texts(pa.array(group[i : i + ROWS], pa.large_string())) for i in range(0, len(group), ROWS)]
+        for group in groups
+    ]
+    held = sum((gram_counts(part) > 0).sum(axis=0) for group in parts for part in group)
+    idf = np.log((1 + len(texts)) / (1 + held)).astype(np.float32) + 1
+    rows_of = lambda group: np.concatenate([vectors(part, idf) for part in group])
+    share_of = lambda group: np.concatenate([length_share(part) for part in group])
     rng = np.random.default_rng(SEED)
-    made, owner, least = [], [], []
-    for i in range(len(names)):
-        own = rows[number == i]
-        at = clustered(own, centroids, rng)
+    made, owner, own = [], [], []
+    for i, group in enumerate(parts):
+        rows, share = rows_of(group), share_of(group)
+        at = clustered(rows, centroids, rng)
         made.append(at)
         owner += [i] * len(at)
-        best = (own @ at.T).max(axis=1)
-        least.append(REJECT_SHARE * np.quantile(best, REJECT_QUANTILE))
-    return CentroidModel(idf, np.concatenate(made), np.array(owner), names, np.array(least))
+        # A text's cosine with a centroid made of it says little: halves judge each other.
+        half = np.arange(len(rows)) % 2 == 0
+        near = (rows @ at.T).max(axis=1)
+        if len(rows) > 1:
+            for side in (half, ~half):
+                near[side] = (rows[side] @ clustered(rows[~side], centroids, rng).T).max(axis=1)
+        own.append(near / share)
+    made, owner = np.concatenate(made), np.array(owner)
+    first = np.searchsorted(owner, np.arange(len(names)))
+    others = np.zeros((len(names), len(names)))
+    for i, group in enumerate(parts if len(names) > 1 else []):
+        near = np.maximum.reduceat(rows_of(group) @ made.T, first, axis=1) / share_of(group)[:, None]
+        others[:, i] = np.quantile(near, OTHER_QUANTILE, axis=0)
+    np.fill_diagonal(others, -1)
+    least = limits(own, others)
+    return CentroidModel(idf, made, owner, names, least)
 
 
 def fit(

@@ -176,6 +176,20 @@ def test_language_rejects_what_it_does_not_know(spark, docs_of):
     assert not got["rejected"][len(ODD) + 2]
 
 
+@pytest.mark.parametrize("left", ["de", "en", "es", "fr"])
+def test_language_left_out_of_training_is_rejected(spark, left):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").filter("length(text) > 200").toPandas()
+    known = docs[docs["lang"] != left]
+    model = langid.train(known["text"][::2].tolist(), known["lang"][::2].tolist())
+    rejected = lambda texts: model.predict(Texts(pa.array(texts, pa.large_string())))[2].mean()
+    assert rejected(docs["text"][docs["lang"] == left].tolist()) > 0.95
+    assert rejected(known["text"][1::2].tolist()) < 0.01
+    rng = random.Random(5)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    assert rejected([letters(n) for n in (500, 5000, 50_000)]) == 1
+    assert rejected([" ".join(letters(rng.randint(2, 9)) for _ in range(n)) for n in (80, 800, 8000)]) == 1
+
+
 def test_language_without_training_rows(docs_of):
     docs = docs_of(["words", None], lang=None)
     assert langid.fit(docs) is None
