@@ -1,10 +1,11 @@
 """Packing: optimal length buckets, and batches under a token budget inside each.
 
-A global histogram of lengths, rounded up to a multiple of ``step``, is counted by Spark.
-Dynamic programming over its bins chooses at most ``buckets`` upper bounds so that the
-padding, the sum of (bound - length) over all rows, is the least possible. The histogram
-has at most ``most_bins`` bins: the step doubles until it fits, so the driver's share and the
-programme's cost are bounded whatever the longest text. Each row goes to the bucket with
+A global histogram of the lengths that occur is counted by Spark. Dynamic programming over
+them chooses at most ``buckets`` upper bounds so that the padding, the sum of
+(bound - length) over all rows, is the least possible. Different lengths are few: n of them
+take at least n * n / 2 units of text, however long the longest text is. A caller may round
+lengths up to a multiple of ``step``, and allow ``most_bins`` bins at most, for which the
+step doubles until they fit. Each row goes to the bucket with
 the least bound that holds it; a batch holds as many rows of one bucket as fit the
 token budget at that bucket's bound, and one row if even that exceeds the budget.
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from skyledger.llm.batches import Texts, annotate, fields
 from skyledger.llm.textgrams import SPACE, runs_of
 
-BUCKETS, STEP, BUDGET, MOST_BINS = 12, 8, 16384, 4096
+BUCKETS, STEP, BUDGET = 12, 1, 16384
 ROWS_PER_RANGE = 50_000
 
 
@@ -82,20 +83,18 @@ def optimal_bounds(values: np.ndarray, counts: np.ndarray, buckets: int) -> list
 
 
 def length_histogram(
-    df: DataFrame, length: str, step: int = STEP, most_bins: int = MOST_BINS
+    df: DataFrame, length: str, step: int = STEP, most_bins: int | None = None
 ) -> tuple[np.ndarray, np.ndarray, int]:
-    """(rounded lengths, rows, step) over the whole table, in at most ``most_bins`` bins."""
-    longest = df.agg(F.max(length)).first()[0] or 0
-    while longest // step + 1 > most_bins:
-        step *= 2
+    """(rounded lengths, rows, step) over the whole table, in ``most_bins`` bins if bounded."""
+    if most_bins is not None:
+        longest = df.agg(F.max(length)).first()[0] or 0
+        while longest // step + 1 > most_bins:
+            step *= 2
     rows = (
         df.groupBy((F.ceil(F.col(length) / step) * step).cast("long").alias("value"))
-        .count().orderBy("value").collect()
-    )
-    return (
-        np.array([r["value"] for r in rows], np.int64),
-        np.array([r["count"] for r in rows], np.int64), step,
+        .count().toArrow().sort_by("value")
     )
+    return rows.column("value").to_numpy(), rows.column("count").to_numpy(), step
 
 
 RESULT = ("bucket", "bucket_length", "batch", "place")
@@ -103,7 +102,7 @@ RESULT = ("bucket", "bucket_length", "batch", "place")
 
 def pack(
     df: DataFrame, key: str = "doc_id", length: str = "n_words", buckets: int = BUCKETS,
-    budget: int = BUDGET, step: int = STEP, most_bins: int = MOST_BINS,
+    budget: int = BUDGET, step: int = STEP, most_bins: int | None = None,
 ) -> DataFrame:
     """Add bucket, bucket length, batch within the bucket, and place within the batch.
 

@@ -285,6 +285,15 @@ def test_histogram_is_bounded(spark):
     assert len(values) <= 100 and counts.sum() == 5000 and step == 64
 
 
+def test_one_long_text_leaves_the_other_bounds_exact(spark):
+    rng = random.Random(8)
+    lengths = [rng.randint(0, 40) for _ in range(400)] + [10_000_000]
+    df = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n_words long")
+    got = packing.pack(df, buckets=4).toPandas()
+    values, counts = np.unique(lengths, return_counts=True)
+    assert (got["bucket_length"] - got["n_words"]).sum() == least_padding(values, counts, 4)
+
+
 def test_packing_query_is_whole(spark):
     got = QUERIES["op5_packing"](spark, SMALL)
     assert got.count() == table(spark, SMALL, "documents").count()
