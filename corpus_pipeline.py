@@ -33,8 +33,8 @@ def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Length bucket and batch of every document that is left."""
-    sized = stored(packing.word_lengths(docs.select("doc_id", "text")).drop("text"), "lengths")
-    return packing.pack(sized)
+    sized = stored(packing.token_lengths(docs.select("doc_id", "text")).drop("text"), "lengths")
+    return packing.pack(sized, length="n_tokens")
 
 
 STAGES = [

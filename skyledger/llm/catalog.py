@@ -70,8 +70,8 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Length bucket and batch of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    sized = stored(packing.word_lengths(docs).drop("text"), "lengths")
-    return packing.pack(sized)
+    sized = stored(packing.token_lengths(docs).drop("text"), "lengths")
+    return packing.pack(sized, length="n_tokens")
 
 
 @query

@@ -7,7 +7,8 @@ take at least n * n / 2 units of text, however long the longest text is. A calle
 lengths up to a multiple of ``step``, and allow ``most_bins`` bins at most, for which the
 step doubles until they fit. Each row goes to the bucket with
 the least bound that holds it; a batch holds as many rows of one bucket as fit the
-token budget at that bucket's bound, and one row if even that exceeds the budget.
+token budget at that bucket's bound, and one row if even that exceeds the budget. Lengths
+are counts of byte-level BPE ids (``token_lengths``); other units are the caller's choice.
 
 Rows are numbered inside a bucket in order of a hash of the key. Numbers come from counts
 per hash range, a small table, plus a row number inside the range, so no bucket, however
@@ -21,8 +22,10 @@ column are replaced.
 from __future__ import annotations
 
 import numpy as np
+import public_tokenizers
 from pyspark.sql import DataFrame, Window, functions as F
 
+from skyledger.llm import bpe_tree
 from skyledger.llm.batches import Texts, annotate, fields
 from skyledger.llm.textgrams import SPACE, runs_of
 
@@ -40,6 +43,19 @@ def word_lengths(docs: DataFrame, text: str = "text", name: str = "n_words") ->
     return annotate(docs, text, fields(**{name: "long"}), lambda: count)
 
 
+def token_lengths(
+    docs: DataFrame, text: str = "text", name: str = "n_tokens", vocabulary: str | None = None
+) -> DataFrame:
+    """Add the number of ids of each whole text under the vocabulary, per row, no shuffle."""
+    path = vocabulary or public_tokenizers.path(bpe_tree.VOCABULARY)
+
+    def make():
+        tokens = bpe_tree.encoding(path)
+        return lambda texts: [[len(bpe_tree.encode(t, tokens)) for t in texts.strings()]]
+
+    return annotate(docs, text, fields(**{name: "long"}), make)
+
+
 def optimal_bounds(values: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     """Upper bounds, a subset of the sorted values, with the least total padding.
 

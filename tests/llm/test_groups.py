@@ -294,6 +294,17 @@ def test_one_long_text_leaves_the_other_bounds_exact(spark):
     assert (got["bucket_length"] - got["n_words"]).sum() == least_padding(values, counts, 4)
 
 
+def test_packing_counts_tokens(spark, docs_of):
+    long = "漢字日本語" * 3000
+    got = {r["doc_id"]: r["n_tokens"] for r in packing.token_lengths(docs_of([None, "", "a b", long])).collect()}
+    assert got[0] == got[1] == 0 and got[2] == 2 and got[3] > 1000
+    packed = QUERIES["op5_packing"](spark, SMALL).toPandas()
+    tokens = QUERIES["op10_bpe"](spark, SMALL).toPandas()
+    assert sorted(zip(packed["doc_id"], packed["n_tokens"])) == sorted(zip(tokens["doc_id"], tokens["n_tokens"]))
+    for _, batch in packed.groupby(["bucket", "batch"]):
+        assert len(batch) == 1 or batch["n_tokens"].sum() <= packing.BUDGET
+
+
 def test_packing_query_is_whole(spark):
     got = QUERIES["op5_packing"](spark, SMALL)
     assert got.count() == table(spark, SMALL, "documents").count()
