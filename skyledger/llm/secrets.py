@@ -4,7 +4,10 @@ Three fixed patterns give the base spans. Besides, every long run of key charact
 encoded with a public byte-pair vocabulary: text and names take few tokens, random
 strings take about one token per two characters, so few characters per token expose
 them. Known harmless forms are left out first: digests of the usual lengths, UUIDs, plain
-numbers and dates, and names, paths and words without a mix of letters and digits or of cases.
+numbers and dates. Runs that look like names, paths or words (one case, or parts joined by
+signs or capitals) are judged by the best of two vocabularies, in either case of letters and
+without the numbers between their signs, as capitals and other languages cost more tokens
+than they should; their limit is lower, as random letters of one case stay well below it.
 
 Spans are ``kind:start:end`` in code points, the end exclusive, by start and then by kind
 in the order assign, access, hex, random. A random span never overlaps a base span. Null
@@ -23,7 +26,8 @@ from skyledger.llm.batches import Texts, annotate, fields
 from skyledger.llm.bpe_tree import encoding
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-MOST_CHARS_PER_TOKEN = 2.4
+VOCABULARIES = (VOCABULARY, "byte_bpe_multi_50k.tiktoken")  # for runs like names and words
+MOST_CHARS_PER_TOKEN, MOST_OF_WORDS = 2.4, 2.2
 LEAST_CHARS = 16
 KINDS = ("assign", "access", "hex", "random")
 
@@ -37,10 +41,12 @@ _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}+" % LEAST_CHARS)
 _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 _DIGEST_CHARS = (32, 40, 56, 64, 96, 128)
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-# Numbers, one case only, and words and numbers joined by signs or capitals. Possessive: a long
+_NUMBERS = re.compile(r"[0-9+/_=-]+")
+_NUMBER_PART = re.compile(r"(?<![0-9A-Za-z])[0-9]{1,8}+(?![0-9A-Za-z])")
+# One case only, and words and numbers joined by signs or capitals. Possessive: a long
 # run is read once.
 _PLAIN = re.compile(
-    r"[0-9+/_=-]+|[a-z+/_=-]+|[A-Z+/_=-]+|[+/_=-]*+(?:(?:[A-Z]?[a-z]++(?:[0-9]{1,4}+(?![0-9A-Za-z]))?+"
+    r"[a-z+/_=-]+|[A-Z+/_=-]+|[+/_=-]*+(?:(?:[A-Z]?[a-z]++(?:[0-9]{1,4}+(?![0-9A-Za-z]))?+"
     r"|[A-Z]{2,}+(?![0-9a-z])|[0-9]{1,8}+(?![0-9A-Za-z]))[+/_=-]*+)++"
 )
 
@@ -54,14 +60,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def harmless(run: str) -> bool:
-    """A known digest, identifier, number or name."""
+    """A known digest, identifier or number."""
     return bool(
         _UUID.fullmatch(run)
         or (len(run) in _DIGEST_CHARS and _DIGEST.fullmatch(run))
-        or _PLAIN.fullmatch(run)
+        or _NUMBERS.fullmatch(run)
     )
 
 
+def inefficient(run: str, tokens: list, most: float) -> bool:
+    """Whether a run takes more tokens than text or names would."""
+    per_token = lambda s, t: len(s) / len(t.encode_ordinary(s))
+    if not _PLAIN.fullmatch(run):
+        return per_token(run, tokens[0]) <= most
+    words = _NUMBER_PART.sub("", run)
+    if len(words.strip("=-_/+")) < LEAST_CHARS:
+        return False
+    most = min(most, MOST_OF_WORDS)
+    return all(per_token(s, t) <= most for t in tokens for s in {words, words.lower()})
+
+
 def random_spans(text: str, taken: list, tokens, most: float) -> list[tuple[int, int, int]]:
     """Runs that are inefficient to encode and overlap no base span."""
     found = []
@@ -71,7 +89,7 @@ def random_spans(text: str, taken: list, tokens, most: float) -> list[tuple[int,
             continue
         if any(a < end and start < b for _, start, end in taken):
             continue
-        if len(run) / len(tokens.encode_ordinary(run)) <= most:
+        if inefficient(run, tokens, most):
             found.append((3, a, b))
     return found
 
@@ -84,12 +102,13 @@ def scan(
     most: float = MOST_CHARS_PER_TOKEN,
 ) -> DataFrame:
     """Add the number of base spans of each kind, the base spans and all spans."""
-    path = vocabulary or public_tokenizers.path(VOCABULARY)
+    paths = [vocabulary or public_tokenizers.path(VOCABULARY)]
+    paths += [public_tokenizers.path(name) for name in VOCABULARIES[1:]]
     spell = lambda spans: ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
     in_order = lambda spans: sorted(spans, key=lambda s: (s[1], s[0], s[2]))
 
     def make():
-        tokens = encoding(path)
+        tokens = [encoding(path) for path in paths]
 
         def run(texts: Texts):
             rows = []

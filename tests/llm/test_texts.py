@@ -247,6 +247,22 @@ def test_random_strings(docs_of, text, found):
     assert ("random:" in secrets.scan(docs_of([text])).first()["spans"]) == found
 
 
+def test_random_letters_of_one_case(docs_of):
+    rng = random.Random(12)
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = ["".join(rng.choices(letters, k=n)) for letters in (lower, upper) for n in (20, 24, 32) for _ in range(200)]
+    keys += ["-".join("".join(rng.choices(lower, k=8)) for _ in range(4)) for _ in range(200)]
+    found = ["random:" in r["spans"] for r in secrets.scan(docs_of([f"key {k} end" for k in keys])).collect()]
+    assert sum(found) >= 0.98 * len(keys)
+    words = [
+        "getUserNameFromDatabaseConnection", "internationalization_of_everything", "MAXIMUM_CONNECTION_TIMEOUT",
+        "Geschwindigkeitsbegrenzung", "KRAFTFAHRZEUGVERSICHERUNG", "RESPONSABILIDADES_PROFESIONALES",
+        "anticonstitutionnellement", "some-long-slug-of-words-like-this", "org/apache/spark/2024/01/02/catalyst",
+        "1234567890123456", "----------------------",
+    ]
+    assert all(not r["spans"] for r in secrets.scan(docs_of(words)).collect())
+
+
 def test_redaction(docs_of):
     got = secrets.redact(docs_of(['a token = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8" é', "clean", None, ""])).collect()
     texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in got}
