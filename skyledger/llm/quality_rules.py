@@ -10,7 +10,8 @@ threshold. The same pass counts the figures the fixed rules need:
 * ``n_dup_lines``: lines holding a word that equal an earlier line of the text;
 * ``n_repeat_words``: words inside eight-word windows found twice or more in the text.
 
-Windows are found by 64-bit hash and then compared word by word. A null or empty
+Windows and lines are equal if their 64-bit hashes are; the words are not compared again, so
+texts crafted for collisions of the polynomial hash can be counted wrongly. A null or empty
 text has no words: all counts are 0 and it fails the rules. Without training rows of both
 classes the classifier has no say and the rules alone decide. Repeated rows are judged
 each by itself; input columns named like a result column are replaced.
