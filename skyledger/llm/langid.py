@@ -29,7 +29,6 @@ from skyledger.llm.textgrams import bucket, byte_grams
 BITS = 15
 SIZES = (1, 2, 3, 4)
 SAMPLE = 300  # training texts per language, at most
-LANGUAGES = 256  # languages that are learned, at most: the most frequent ones
 CENTROIDS, ROUNDS, SEED = 4, 8, 5
 OWN_QUANTILE, OTHER_QUANTILE, ALONE_SHARE, FULL_LETTERS = 0.005, 0.95, 0.5, 64
 MARGIN = 0.15  # of the way from other languages to the own one
@@ -171,17 +170,21 @@ def train(texts: list, languages: list, centroids: int = CENTROIDS) -> CentroidM
 
 
 def fit(
-    docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE
+    docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE,
+    languages: int | None = None,
 ) -> CentroidModel | None:
     """Fit on at most ``sample`` texts of each language, picked by row hash.
 
+    Every language is learned, or with ``languages`` only so many, the most frequent ones.
+
     Texts without a letter teach nothing and are left out. The picked rows' hashes are a
     bounded table; the texts are fetched by them in a second read without a shuffle.
     """
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).dropna()
     rows = rows.filter(F.col("text").rlike(r"\p{L}")).withColumn("key", F.xxhash64("text", "lang"))
-    known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    rows = rows.join(F.broadcast(known.select("lang")), "lang")
+    if languages is not None:
+        known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+        rows = rows.join(F.broadcast(known.select("lang")), "lang")
     keys = sample_rows(rows.select("key", "lang").distinct(), sample, by="lang").select("key")
     found = rows.join(F.broadcast(keys), "key").dropDuplicates(["key"]).toArrow()
     found = found.sort_by("key")

@@ -190,6 +190,15 @@ def test_language_left_out_of_training_is_rejected(spark, left):
     assert rejected([" ".join(letters(rng.randint(2, 9)) for _ in range(n)) for n in (80, 800, 8000)]) == 1
 
 
+def test_every_language_is_learned(docs_of):
+    from pyspark.sql import functions as F
+
+    docs = docs_of([f"text number {i} of its own" for i in range(300)])
+    docs = docs.withColumn("lang", F.concat(F.lit("l"), F.col("doc_id")))
+    assert len(langid.fit(docs).languages) == 300
+    assert langid.fit(docs, languages=2).languages == ("l0", "l1")
+
+
 def test_language_without_training_rows(docs_of):
     docs = docs_of(["words", None], lang=None)
     assert langid.fit(docs) is None
