@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import bpe_tree, jaccard, langid, line_runs, packing, pii, pivots, quality_embed, quality_rules, secrets
+from skyledger.llm import bpe_tree, jaccard, langid, line_runs, packing, pii, pivots, quality_embed, quality_rules, ranked_search, secrets
 from skyledger.llm.batches import held_out, stored
 from skyledger.llm.tables import table
 
@@ -122,3 +122,14 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids of every document and of the bytes they decode to."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bpe_tree.digest_column(docs).drop("text")
+
+
+@query
+def op11_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return ranked_search.search(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
+ORACLES["op11_search"] = ranked_search.oracle()
