@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import bpe_tree, jaccard, langid, line_runs, packing, pii, pivots, quality_embed, quality_rules, ranked_search, secrets
+from skyledger.llm import bpe_tree, jaccard, langid, line_runs, mixing, packing, pii, pivots, quality_embed, quality_rules, ranked_search, secrets
 from skyledger.llm.batches import held_out, stored
 from skyledger.llm.tables import table
 
@@ -133,3 +133,12 @@ def op11_search(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op11_search"] = ranked_search.oracle()
+
+
+@query
+def op12_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+ORACLES["op12_mix"] = mixing.oracle()
