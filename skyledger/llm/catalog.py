@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import bpe_tree, jaccard, langid, line_runs, mixing, packing, pii, pivots, quality_embed, quality_rules, ranked_search, secrets
+from skyledger.llm import (
+    bpe_tree, hard_negatives, jaccard, langid, line_runs, mixing, packing, pii, pivots,
+    quality_embed, quality_rules, ranked_search, secrets,
+)
 from skyledger.llm.batches import held_out, stored
 from skyledger.llm.tables import table
 
@@ -142,3 +145,12 @@ def op12_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op12_mix"] = mixing.oracle()
+
+
+@query
+def op13_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every anchor and positive."""
+    return hard_negatives.mine(table(spark, folder, "embeddings"))
+
+
+ORACLES["op13_negatives"] = hard_negatives.oracle()
