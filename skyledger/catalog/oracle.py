@@ -9,6 +9,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+
 from skyledger.plans.feed import FEED_SQL
 
 # fixed values: column lists of the profiles and of the linear models
@@ -628,6 +630,160 @@ SELECT cast("round" AS INTEGER) AS "round", round(loss, 6) AS loss,
 
 ORACLES["gbt_patience"] = _patience()
 
+
+def _boosted(
+    rows: str, models: Sequence[dict], features: Sequence[str], rounds: int, depth: int = 1
+) -> str:
+    """Tables ``r<k>`` with the margin ``f`` of every row and model after k rounds, and ``s<k>_<l>``
+    with the splits of level l. ``rows`` gives m, event_id, y, role and the features."""
+    params = ", ".join(
+        f"({m}, {p['learning_rate']!r}, {float(p['reg_lambda'])!r}, {float(p['reg_alpha'])!r}, {float(p['gamma'])!r}, "
+        f"{float(p['min_child_weight'])!r}, {p['n_estimators']})" for m, p in enumerate(models)
+    )
+    names = ", ".join(_q(f) for f in features)
+    tables = [
+        f"params(m, rate, lam, alpha, gamma, least, rounds) AS (SELECT col0, col1::DOUBLE, col2::DOUBLE, col3::DOUBLE, "
+        f"col4::DOUBLE, col5::DOUBLE, col6 FROM (VALUES {params}))",
+        f"r0 AS MATERIALIZED (SELECT *, avg(y) FILTER (role = 1) OVER (PARTITION BY m) AS f FROM ({rows}))",
+    ]
+    score = lambda g, h: f"power(greatest(abs({g}) - alpha, 0), 2) / ({h} + lam)"
+    for k in range(rounds):
+        tables.append(f"n{k}_0 AS MATERIALIZED (SELECT *, 0 AS node FROM r{k})")
+        for level in range(depth):
+            cells = " UNION ALL ".join(
+                f"SELECT m, node, {i} AS i, {_q(f)} AS v, sum(f - y) AS g, count(*) AS n FROM n{k}_{level} "
+                f"WHERE role = 1 AND node >= {2**level - 1} GROUP BY m, node, v"
+                for i, f in enumerate(features)
+            )
+            value = "CASE s.i " + " ".join(f"WHEN {i} THEN {_q(f)}" for i, f in enumerate(features)) + " END"
+            tables.append(f"""s{k}_{level} AS MATERIALIZED (SELECT m, node, i, v, gain FROM (
+  SELECT *, {score('gl', 'hl')} + {score('(g - gl)', '(h - hl)')} - {score('g', 'h')} AS gain FROM (
+    SELECT m, node, i, v, sum(g) OVER w AS gl, sum(n) OVER w AS hl,
+      sum(g) OVER (PARTITION BY m, node, i) AS g, sum(n) OVER (PARTITION BY m, node, i) AS h
+    FROM ({cells}) WINDOW w AS (PARTITION BY m, node, i ORDER BY v)) JOIN params USING (m)
+  WHERE hl >= least AND h - hl >= least AND h > hl)
+WHERE gain > 1e-6 AND gain >= gamma QUALIFY row_number() OVER (PARTITION BY m, node ORDER BY gain DESC, i, v) = 1)""")
+            tables.append(
+                f"n{k}_{level + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (node), CASE WHEN s.i IS NULL THEN r.node "
+                f"WHEN {value} <= s.v THEN 2 * r.node + 1 ELSE 2 * r.node + 2 END AS node "
+                f"FROM n{k}_{level} r LEFT JOIN s{k}_{level} s ON r.m = s.m AND r.node = s.node)"
+            )
+        tables.append(f"""w{k} AS MATERIALIZED (SELECT m, node, g, h, -sign(g) * greatest(abs(g) - alpha, 0) / (h + lam) AS w FROM (
+  SELECT m, node, sum(f - y) AS g, count(*) AS h FROM n{k}_{depth} WHERE role = 1 GROUP BY m, node) JOIN params USING (m))""")
+        tables.append(
+            f"r{k + 1} AS MATERIALIZED (SELECT m, event_id, y, role, {names}, f + rate * w AS f "
+            f"FROM n{k}_{depth} JOIN w{k} USING (m, node) JOIN params USING (m))"
+        )
+    return ", ".join(tables)
+
+
+def _stopped(rounds: int, patience: int) -> str:
+    """Table ``kept``: the rounds fitted and kept per model; ``losses`` has every round's sums."""
+    losses = " UNION ALL ".join(
+        f'SELECT m, {k} AS "round", avg(power(y - f, 2)) FILTER (role = 2) AS loss, '
+        f"avg(power(y - f, 2)) FILTER (role IN (1, 2)) AS inside, "
+        f"avg(power(y - f, 2)) FILTER (role = 3) AS outside FROM r{k} GROUP BY m"
+        for k in range(1, rounds + 1)
+    )
+    return f"""losses AS MATERIALIZED (SELECT l.* FROM ({losses}) l JOIN params USING (m) WHERE "round" <= rounds),
+best AS (SELECT *, arg_min("round", loss) OVER (PARTITION BY m ORDER BY "round") AS so_far FROM losses),
+last AS (SELECT m, coalesce(min("round") FILTER ("round" - so_far >= {patience}), max("round")) AS fitted FROM best GROUP BY m),
+kept AS (SELECT m, fitted, so_far AS kept FROM best JOIN last USING (m) WHERE "round" = fitted)"""
+
+
+_PLAIN_PARAMS = {
+    "learning_rate": 0.3, "reg_lambda": 1.0, "reg_alpha": 0.0, "gamma": 0.0, "min_child_weight": 1.0,
+}
+_REGULARISED = {**_PLAIN_PARAMS, "reg_alpha": 20.0, "gamma": 10500.0, "n_estimators": 2}
+_BOTH = """SELECT 0 AS m, event_id, TMP_C AS y, CASE WHEN part = 'train' THEN 1 ELSE 0 END AS role, "hour", "month" FROM parts"""
+_REGULARISED_SQL = f"WITH {PARTS}, {_boosted(_BOTH, [_REGULARISED], ['hour', 'month'], 2, 2)}"
+ORACLES["gbt_regularised"] = (
+    f"""{_REGULARISED_SQL} SELECT event_id, "hour", "month", round(f, 6) + 0.0 AS prediction FROM r2 WHERE role = 0"""
+)
+
+
+def _node_rows(rounds: int, depth: int, features: Sequence[str]) -> str:
+    """Every node of the trees with its leaf weight, gain and rows."""
+    name = "CASE s.i " + " ".join(f"WHEN {i} THEN '{f}'" for i, f in enumerate(features)) + " END"
+    out = []
+    for k in range(rounds):
+        for level in range(depth + 1):
+            split = f"LEFT JOIN s{k}_{level} s ON s.m = c.m AND s.node = c.node" if level < depth else "LEFT JOIN (SELECT NULL::INT AS m, NULL::INT AS node, NULL::INT AS i, NULL::DOUBLE AS gain) s ON false"
+            out.append(f"""SELECT {k} AS tree, c.node, {name} AS feature,
+  -sign(g) * greatest(abs(g) - alpha, 0) / (h + lam) AS value, coalesce(s.gain, 0.0) AS gain, h AS cover
+FROM (SELECT m, node, sum(f - y) AS g, count(*) AS h FROM n{k}_{level} WHERE role = 1 AND node >= {2**level - 1} GROUP BY m, node) c
+JOIN params p ON p.m = c.m {split}""")
+    return " UNION ALL ".join(out)
+
+
+ORACLES["gbt_nodes"] = f"""{_REGULARISED_SQL} SELECT tree::INTEGER AS tree, node::INTEGER AS node, feature,
+  round(value, 4) + 0.0 AS value, round(gain, 4) + 0.0 AS gain, cover::DOUBLE AS cover FROM ({_node_rows(2, 2, ['hour', 'month'])})"""
+_GAIN_FEATURES = ["hour", "month", "DEW_C"]
+ORACLES["gbt_gain_importance"] = f"""WITH {PARTS}, {_boosted(
+    "SELECT 0 AS m, event_id, TMP_C AS y, 1 AS role, hour, month, DEW_C FROM train",
+    [{**_REGULARISED, "gamma": 0.0}], _GAIN_FEATURES, 3, 2)}
+SELECT feature, round(avg(gain), 4) + 0.0 AS importance, row_number() OVER (ORDER BY avg(gain) DESC, feature)::INTEGER AS rank
+FROM ({_node_rows(3, 2, _GAIN_FEATURES)}) WHERE feature IS NOT NULL GROUP BY feature"""
+
+_FLAGGED = f"""flagged AS (SELECT *, {_hash("'validation' || " + _ID)} % 100 < 15 AS v FROM train)"""
+_ROLE = "CASE WHEN v THEN 2 ELSE 1 END AS role"
+ORACLES["gbt_patience_rounds"] = f"""WITH {PARTS}, {_FLAGGED}, {_boosted(
+    f'SELECT 0 AS m, event_id, TMP_C AS y, {_ROLE}, "hour" FROM flagged',
+    [{**_PLAIN_PARAMS, "learning_rate": 0.9, "n_estimators": 40}], ["hour"], 40)}, {_stopped(40, 2)}
+SELECT "round"::INTEGER AS "round", round(loss, 6) AS loss, "round" <= kept AS kept FROM losses JOIN kept USING (m)
+WHERE "round" <= fitted"""
+
+
+def _drawn(draws: int = 20, seed: int = 42) -> list[dict]:
+    """The published draws, with few one-split trees on all rows."""
+    rng, out = np.random.RandomState(seed), []
+    for _ in range(draws):
+        d = {"n_estimators": int(rng.randint(2, 7)), "learning_rate": float(rng.uniform(0.01, 0.3))}
+        d |= {"max_depth": int(rng.randint(1, 2)), "min_child_weight": int(rng.randint(1, 10))}
+        d |= {"subsample": float(rng.uniform(1.0, 1.0)), "colsample_bytree": float(rng.uniform(1.0, 1.0))}
+        d |= {"reg_alpha": float(rng.uniform(0.0, 1.0)), "reg_lambda": float(rng.uniform(0.0, 2.0))}
+        out.append(d | {"gamma": float(rng.uniform(0.0, 2.0))})
+    return out
+
+
+def _search() -> str:
+    draws = _drawn()
+    rows = f'SELECT m, event_id, TMP_C AS y, {_ROLE}, "hour", "month" FROM flagged, range({len(draws)}) t(m)'
+    whole = ("n_estimators", "max_depth", "min_child_weight")
+    values = ", ".join("(" + ", ".join([str(i), *(repr(v) for v in d.values())]) + ")" for i, d in enumerate(draws))
+    columns = ", ".join(
+        f"p{c}::BIGINT AS {n}" if n in whole else f"round(p{c}::DOUBLE, 6) AS {n}" for c, n in enumerate(draws[0])
+    )
+    return f"""WITH {PARTS}, {_FLAGGED}, {_boosted(rows, draws, ["hour", "month"], 6)}, {_stopped(6, 2)},
+drawn(trial, {', '.join(f'p{c}' for c in range(len(draws[0])))}) AS (VALUES {values}),
+trials AS (SELECT trial::BIGINT AS trial, {columns}, kept::BIGINT AS trees, sqrt(loss) AS rmse
+  FROM drawn JOIN kept ON kept.m = trial JOIN losses ON losses.m = trial AND "round" = kept)"""
+
+
+ORACLES["gbt_search"] = f"{_search()} SELECT * REPLACE (round(rmse, 6) AS rmse) FROM trials"
+ORACLES["gbt_best_params"] = (
+    f"{_search()} SELECT * EXCLUDE (trial, trees, rmse) FROM trials ORDER BY trials.rmse, trial LIMIT 1"
+)
+
+
+def _boosted_curve(sizes: int = 6, folds: int = 3) -> str:
+    params = [{**_PLAIN_PARAMS, "learning_rate": 0.8, "n_estimators": 4}] * (sizes * folds)
+    share = "(0.1 + 0.9 / 5 * (m // 3))"
+    limit = f"least(n_all, greatest(50, cast(floor(n_all * {share} + 1e-9) AS BIGINT)))"
+    rows = f"""SELECT m, event_id, TMP_C AS y, "hour", "month",
+  CASE WHEN fold = m % {folds} THEN 3 WHEN v THEN 2 ELSE 1 END AS role
+FROM ranked, range({sizes * folds}) t(m) WHERE rn <= {limit}"""
+    return f"""WITH {PARTS}, ranked AS (SELECT *, {_hash("'fold42' || " + _ID)} % 3 AS fold,
+  {_hash("'validation42' || " + _ID)} % 100 < 15 AS v,
+  row_number() OVER (ORDER BY {_hash("'42' || " + _ID, 13)}, event_id) AS rn,
+  count(*) OVER () AS n_all FROM train), {_boosted(rows, params, ["hour", "month"], 4)}, {_stopped(4, 1)},
+sized AS (SELECT m, count(*) AS size FROM r0 GROUP BY m)
+SELECT size, round(avg(sqrt(inside)), 6) AS train_rmse, round(avg(sqrt(outside)), 6) AS val_rmse
+FROM kept JOIN losses ON losses.m = kept.m AND "round" = kept JOIN sized ON sized.m = kept.m GROUP BY size"""
+
+
+ORACLES["learning_curve_boosted"] = _boosted_curve()
+
 SCORED = f"""{PARTS}, {_OLS}, scored AS (
   SELECT event_id, "DATE", TMP_C, {_prediction(LINEAR_FEATURES)} AS prediction FROM test, fit),
 res AS (SELECT *, TMP_C - prediction AS residual FROM scored)"""

@@ -19,7 +19,7 @@ from skyledger import schema as S
 from skyledger.functions import calendar as CAL, humidity as HUM, text as TXT
 from skyledger.functions.numeric import key_hash
 from skyledger.operators import (
-    columns as C, evaluate as E, features as X, filters as L, models as M, profile as P,
+    boosting as B, columns as C, evaluate as E, features as X, filters as L, models as M, profile as P,
     sampling as D,
 )
 from skyledger.operators.ranks import exact_quantiles
@@ -705,6 +705,83 @@ def gbt_importance(spark, d):
     return rounded(E.top_importance(E.feature_importance(spark, model, names)))
 
 
+def _binned(spark, d, features: Sequence[str], flagged: bool = False) -> B.Binned:
+    train = parts(spark, d)[0]
+    if flagged:
+        train = D.validation_flag(train, KEY)
+    keep = [*KEY, *(["is_validation"] if flagged else [])]
+    return B.bin_features(train, features, "TMP_C", KEY, keep)
+
+
+# Every row and feature counts, so that SQL can state the same trees.
+WHOLE = {"subsample": 1.0, "colsample_bytree": 1.0}
+REGULARISED = WHOLE | {
+    "n_estimators": 2, "max_depth": 2, "learning_rate": 0.3,
+    "reg_lambda": 1.0, "reg_alpha": 20.0, "gamma": 10500.0,
+}
+
+
+@query
+def gbt_regularised(spark, d):
+    """Two rounds of depth two under all three penalties."""
+    model = B.fit(_binned(spark, d, ["hour", "month"]), REGULARISED)
+    scored = model.transform(parts(spark, d)[1]).select("event_id", "hour", "month", "prediction")
+    return rounded(scored)
+
+
+@query
+def gbt_nodes(spark, d):
+    """The same trees as their node table, saved and read back."""
+    model = B.fit(_binned(spark, d, ["hour", "month"]), REGULARISED)
+    path = model.save(spark, scratch_path(spark, "boosted"))
+    return rounded(B.load(spark, path).node_table(spark).drop("cut"), 4)
+
+
+@query
+def gbt_gain_importance(spark, d):
+    """Mean gain per split of each feature, from the node table of a saved model."""
+    names = ["hour", "month", "DEW_C"]
+    model = B.fit(_binned(spark, d, names), REGULARISED | {"n_estimators": 3, "gamma": 0.0})
+    path = model.save(spark, scratch_path(spark, "boosted"))
+    return rounded(B.top_importance(spark.read.parquet(f"{path}/nodes"), names), 4)
+
+
+@query
+def gbt_patience_rounds(spark, d):
+    """Rounds of one-split trees up to patience; none is fitted beyond."""
+    params = WHOLE | {"n_estimators": 40, "max_depth": 1, "learning_rate": 0.9}
+    return rounded(B.rounds_table(spark, B.fit(
+        _binned(spark, d, ["hour"], True), params, "is_validation", patience=2
+    )))
+
+
+def _stump_search(spark, d) -> B.Draws:
+    """Twenty draws from the published ranges, but of few one-split trees on all rows."""
+    space = M.SEARCH_SPACE | {
+        "n_estimators": ("whole", 2, 7), "max_depth": ("whole", 1, 2),
+        "subsample": ("real", 1.0, 1.0), "colsample_bytree": ("real", 1.0, 1.0),
+    }
+    draws = M.draw_params(space=space)
+    return B.search(_binned(spark, d, ["hour", "month"], True), draws, "is_validation", patience=2)
+
+
+@query
+def gbt_search(spark, d):
+    return rounded(_stump_search(spark, d).trials)
+
+
+@query
+def gbt_best_params(spark, d):
+    return rounded(E.params_row(spark, _stump_search(spark, d).best))
+
+
+@query
+def learning_curve_boosted(spark, d):
+    """Six sizes by three folds, every fit stopped by patience."""
+    params = WHOLE | {"n_estimators": 4, "max_depth": 1, "learning_rate": 0.8}
+    return rounded(B.learning_curve(_binned(spark, d, ["hour", "month"]), KEY, params, patience=1))
+
+
 @query
 def learning_curve(spark, d):
     vectors = X.assembler(S.LINEAR_FEATURES).transform(parts(spark, d)[0])

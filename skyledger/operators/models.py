@@ -45,9 +45,8 @@ SEARCH_SPACE = {
     "reg_lambda": ("real", 0.0, 2.0),
     "gamma": ("real", 0.0, 2.0),
 }
-# Spark's boosted trees have no leaf-weight penalties, so reg_alpha and reg_lambda
-# are drawn and reported but change nothing. gamma is elsewhere a loss total per split;
-# minInfoGain is the gain per row, so the same number asks for more.
+# Spark's boosted trees have no leaf-weight penalties, and minInfoGain is the gain per row where
+# gamma is a total per split. ``operators.boosting`` has all of them.
 BOOSTED_PARAMS = {
     "n_estimators": "maxIter",
     "learning_rate": "stepSize",
@@ -294,10 +293,10 @@ def _fit_patient(vectors, params, label, seed, validation, patience, partitions=
 
 def patient_boosting(
     vectors: DataFrame, validation: str, params: Mapping | None = None, patience: int = 50,
-    label: str = S.LABEL, seed: int = 42,
+    label: str = S.LABEL, seed: int = 42, partitions: int = TRAIN_PARTITIONS,
 ):
     """Boosted trees stopped by patience, and their rounds: (round, loss, kept)."""
-    model, losses = _fit_patient(vectors, params or {}, label, seed, validation, patience)
+    model, losses = _fit_patient(vectors, params or {}, label, seed, validation, patience, partitions)
     rows = [(i + 1, float(x), i < model.getNumTrees) for i, x in enumerate(losses)]
     return model, vectors.sparkSession.createDataFrame(rows, "round int, loss double, kept boolean")
 
@@ -322,6 +321,7 @@ def search_boosted(
     seed: int = 42,
     tolerance: float = 0.01,
     parallelism: int = 2,
+    partitions: int = TRAIN_PARTITIONS,
 ) -> Search:
     """Fit each draw with early stopping, keep the least validation RMSE, refit it.
 
@@ -331,7 +331,7 @@ def search_boosted(
     shared_folder(spark)
     draws = draw_params(seed=seed) if draws is None else [dict(d) for d in draws]
     stop = {"validationIndicatorCol": validation, "validationTol": tolerance}
-    with held_for_training(vectors.select(label, "features", validation)) as held:
+    with held_for_training(vectors.select(label, "features", validation), partitions) as held:
         marked = held.filter(F.col(validation))
 
         def attempt(draw):
@@ -379,6 +379,7 @@ def learning_curve(
     seed: int = 42,
     validation: str | None = None,
     parallelism: int = 3,
+    partitions: int = TRAIN_PARTITIONS,
 ) -> DataFrame:
     """Mean training and validation RMSE by number of rows: (size, train_rmse, val_rmse).
 
@@ -392,7 +393,7 @@ def learning_curve(
     if validation:
         table = validation_flag(table, keys, 15, validation, salt=f"validation{seed}")
     error = F.pow(F.col(label) - F.col("prediction"), F.lit(2))
-    with held_for_training(table) as held:
+    with held_for_training(table, partitions) as held:
         sizes = subset_sizes(held.count(), steps)
 
         def fold_scores(subset: DataFrame, k: int) -> tuple[float, float]:

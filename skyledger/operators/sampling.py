@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from skyledger.functions.numeric import key_bucket, key_hash
 from skyledger.operators.ranks import order_statistics
@@ -41,6 +41,19 @@ def nested_samples(
     return [_least_hashes(hashed, n, keys, found).drop(_HASH) for n in sizes]
 
 
+def hash_cuts(
+    df: DataFrame, sizes: Sequence[int], keys: Sequence[str], seed: int = 42
+) -> tuple[Column, list[int]]:
+    """A hash of the key, and per size the hash up to which rows are in the sample.
+
+    The same rows as ``nested_samples`` where keys are unique; rows of one key stay together.
+    """
+    h = key_hash(*keys, salt=str(seed), digits=_HASH_DIGITS)
+    wanted = sorted({n for n in sizes if n > 0})
+    found = order_statistics(df.select(h.alias(_HASH)), {_HASH: wanted}, {_HASH: _even_cuts()})[_HASH]
+    return h, [int(found[n].value) if n in found else (_HASH_RANGE if n > 0 else -1) for n in sizes]
+
+
 def _least_hashes(hashed: DataFrame, n: int, keys: Sequence[str], found: dict) -> DataFrame:
     if n <= 0:
         return hashed.limit(0)

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame
 
 from skyledger import schema as S
 from skyledger.functions.numeric import key_hash
-from skyledger.operators import evaluate as E, models as M
+from skyledger.operators import boosting as B, evaluate as E, models as M
 from skyledger.operators.profile import axis_limits, histogram
 from skyledger.operators.sampling import validation_flag
-from skyledger.session import persisted
+from skyledger.session import persisted, stored
 from skyledger.sources.checks import require_columns, require_inputs
 from skyledger.sources.tables import write_json, write_results, write_table
 
@@ -178,51 +178,51 @@ def boosting(
     draws: Sequence[Mapping] | None = None,
     curve: Mapping | None = None,
     seed: int = 42,
-    patience: int | None = None,
+    patience: int = B.PATIENCE,
 ) -> DataFrame:
     """Base and searched boosted trees, written below a folder; their comparison.
 
-    The keys tell rows apart for the validation set and for the learning curves of the
-    base model and the best draw, made if ``curve`` is given (``steps`` and ``folds``).
-    With ``patience`` the base model is also kept as stopped by so many rounds without progress.
+    Rows are prepared and binned once for all models. The keys tell rows apart for the validation set and
+    for the learning curves of the base model and the best draw, made if ``curve`` is given (``steps`` and
+    ``folds``). The draws, every fit of a curve and the base model kept as ``patient`` stop after
+    ``patience`` rounds without progress; the base model itself grows all its rounds.
     """
     spark = train.sparkSession
     require_columns(test, [label, *keys], "test table")
     marked = validation_flag(train, keys, 15, "is_validation").withColumn(
         "row_key", key_hash(*keys, digits=13)
     )
-    fitted, vectors, names = M.prepare_boosting(
-        marked, label, exclude=("DATE",), keep=("is_validation", "row_key")
+    keep = ("is_validation", "row_key")
+    fitted, vectors, names = M.prepare_boosting(marked, label, exclude=("DATE",), keep=keep)
+    rows = B.slots(stored(vectors, "vectors"), names, [label, *keep])
+    binned = B.bin_features(rows, names, label, ["row_key"], keep)
+    found = B.search(
+        binned, M.draw_params(seed=seed) if draws is None else draws, "is_validation", patience, seed
     )
-    found = M.search_boosted(vectors, "is_validation", draws, label, seed)
     models = {
-        "base": M.fit_boosted(vectors, base, label, seed),
-        "optimised": found.model.stages[-1],
+        "base": B.fit(binned, base, seed=seed),
+        "optimised": found.model,
+        "patient": B.fit(binned, base, "is_validation", patience, seed),
     }
-    if patience:
-        models["patient"] = M.fit_boosted(
-            vectors, base, label, seed, validation="is_validation", patience=patience
-        )
-    rows = []
-    for name, trees in models.items():
-        model = PipelineModel([*fitted.stages, trees])
-        with persisted(M.score(model, test, [label])) as predictions:
-            importance = E.feature_importance(spark, trees, names)
-            metrics = E.regression_metrics(predictions, label)
-            tables = {"metrics": metrics, "importance": E.top_importance(importance, 20)}
-            Report(model, predictions, tables).write(f"{folder}/{name}")
-        rows.append(E.metrics_row(metrics, name))
+    inputs = stored(B.slots(fitted.transform(test), names, [label]), "test-slots")
+    compared = []
+    for name, model in models.items():
+        path = f"{folder}/{name}"
+        model.save(spark, f"{path}/model")
+        scored = model.transform(inputs).select(label, "prediction")
+        write_table(scored, f"{path}/predictions")
+        metrics = E.regression_metrics(spark.read.parquet(f"{path}/predictions"), label)
+        nodes = spark.read.parquet(f"{path}/model/nodes")
+        write_results({
+            "metrics": metrics, "importance": B.top_importance(nodes, names, 20),
+            "rounds": B.rounds_table(spark, model),
+        }, path)
+        compared.append(E.metrics_row(metrics, name))
     tables = {"trials": found.trials, "best_params": E.params_row(spark, found.best)}
     if curve is not None:
-        early = M.boosted(
-            found.best, label, seed, validationIndicatorCol="is_early", validationTol=0.01
-        )
-        tables["learning_curve"] = M.learning_curve(
-            vectors, ["row_key"], early, label, seed=seed, validation="is_early", **curve
-        )
-        plain = M.boosted({**M.BOOSTED_DEFAULTS, **(base or {})}, label, seed)
-        tables["base_learning_curve"] = M.learning_curve(
-            vectors, ["row_key"], plain, label, seed=seed, **curve
-        )
+        for name, params in (("learning_curve", found.best), ("base_learning_curve", base)):
+            tables[name] = B.learning_curve(
+                binned, ["row_key"], params, seed=seed, patience=patience, **curve
+            )
     write_results(tables, folder)
-    return E.model_comparison(rows, ["model", "rmse", "mae", "r2"])
+    return E.model_comparison(compared, ["model", "rmse", "mae", "r2"])

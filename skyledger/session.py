@@ -77,6 +77,23 @@ def clear_scratch(spark: SparkSession) -> int:
     return gone
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write to a scratch path and read back: short lineage that outlives executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Remove the files of a stored table that nothing reads any more."""
+    spark = table.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    _scratch.remove(table.stored_at)
+
+
 # Serialized in memory, spilling to disk: the cheapest form for wide cached tables.
 SERIALIZED = StorageLevel(True, True, False, False, 1)
 
