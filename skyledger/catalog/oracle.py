@@ -874,3 +874,22 @@ def _comparison() -> str:
 
 
 ORACLES["model_comparison"] = _comparison()
+
+
+def _family() -> str:
+    """The penalty with the least validation error per mixing weight, refitted on all training rows."""
+    tried = [(0.0, r) for r in _RIDGE_PENALTIES]
+    tried += [(a, r) for a in (0.25, 0.5, 0.75, 1.0) for r in _OTHER_PENALTIES]
+    terms = " + ".join(f"w[{i}] * ({_q(f)} - m_{i}) / t_{i}" for i, f in enumerate(LINEAR_FEATURES, 1))
+    trials = ORACLES["regularization_path"].replace("round(sqrt", "(sqrt").replace(", 2))), 4) AS rmse", ", 2)))) AS rmse")
+    return f"""WITH RECURSIVE {PARTS}, {_descent('train', tried)},
+trials AS ({trials}),
+best AS (SELECT alpha, arg_min(reg_param, rmse) AS lam FROM trials GROUP BY alpha),
+chosen AS (SELECT fit.* FROM fit JOIN best ON best.alpha = fit.alpha AND best.lam = fit.lam),
+scored AS (SELECT alpha, lam, my AS intercept, TMP_C, TMP_C - (my + {terms}) AS residual FROM chosen, test)
+SELECT CASE alpha WHEN 0 THEN 'Ridge' WHEN 1 THEN 'Lasso' ELSE 'Enet' END || ' (alpha=' || alpha || ')' AS model,
+  alpha AS "elasticNetParam", round(lam, 3) AS "best_regParam", {_metrics(3)}, round(max(intercept), 3) AS intercept
+FROM scored GROUP BY alpha, lam"""
+
+
+ORACLES["family_comparison"] = _family()

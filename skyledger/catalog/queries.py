@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
@@ -19,14 +19,15 @@ from skyledger import schema as S
 from skyledger.functions import calendar as CAL, humidity as HUM, text as TXT
 from skyledger.functions.numeric import key_hash
 from skyledger.operators import (
-    boosting as B, columns as C, evaluate as E, features as X, filters as L, models as M, profile as P,
+    boosting as B, columns as C, evaluate as E, features as X, filters as L, models as M,
+    moments as MOM, profile as P,
     sampling as D,
 )
 from skyledger.operators.ranks import exact_quantiles
 from skyledger.plans.cleanse import cleanse
 from skyledger.plans.feed import raw_feed
 from skyledger.plans.ingest import write_split
-from skyledger.plans.modelling import rescore
+from skyledger.plans.modelling import regularized_family, rescore
 from skyledger.plans.typed import TYPED_SOURCE_COLUMNS, typed_humidity
 from skyledger.session import scratch_path, written_paths
 from skyledger.sources import csv as SRC, tables as TAB
@@ -784,10 +785,7 @@ def learning_curve_boosted(spark, d):
 
 @query
 def learning_curve(spark, d):
-    vectors = X.assembler(S.LINEAR_FEATURES).transform(parts(spark, d)[0])
-    vectors = vectors.select("event_id", "TMP_C", "features")
-    linear = LinearRegression(featuresCol="features", labelCol="TMP_C")
-    return rounded(M.learning_curve(vectors, KEY, linear))
+    return rounded(MOM.learning_curve(parts(spark, d)[0], KEY, S.LINEAR_FEATURES, "TMP_C"))
 
 
 @query
@@ -902,3 +900,10 @@ def model_comparison(spark, d):
         )
     columns = ["model", "rmse", "mae", "r2", "intercept"]
     return rounded(E.model_comparison(rows, columns), 4)
+
+
+@query
+def family_comparison(spark, d):
+    """Ridge, elastic net and lasso over their whole grids, the best of each scored on the test rows."""
+    summary = regularized_family(*parts(spark, d), keys=KEY)[1]
+    return rounded(summary, 3)

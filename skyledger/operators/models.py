@@ -19,6 +19,7 @@ from skyledger import schema as S
 from skyledger.functions.numeric import key_bucket, rmse
 from skyledger.operators import features as X
 from skyledger.operators.columns import model_columns
+from skyledger.operators.moments import Moments, gather, path, pipeline
 from skyledger.operators.sampling import (
     assign_folds, nested_samples, subset_sizes, validation_flag,
 )
@@ -116,7 +117,6 @@ def search_penalties(
     label: str = S.LABEL,
     train_ratio: float = 0.8,
     keys: Sequence[str] | None = None,
-    parallelism: int = 4,
     handle_invalid: str = "error",
     validation: str | None = None,
 ) -> dict[float, Search]:
@@ -124,43 +124,31 @@ def search_penalties(
 
     Validation rows are those a boolean ``validation`` column marks, or a share picked by
     a hash of the key columns (of label and features if none are given), so the same rows
-    are held out at any partitioning. Rows are assembled, split, standardised and stored
-    once for all weights; all candidates are fitted side by side and scored in one pass.
-    Trials: (reg_param, rmse).
+    are held out at any partitioning. One scan gathers the moments of both parts
+    (``operators.moments``); every candidate is solved and scored from them, whatever the
+    number of weights and penalties. Trials: (reg_param, rmse).
     """
-    tried = [(a, r) for a, grid in grids.items() for r in (default_grid(a) if grid is None else grid)]
-    assemble = X.assembler(features, handle_invalid)
     if validation:
-        held_out = F.col(validation)
+        held_out = F.coalesce(F.col(validation), F.lit(False))
     else:
         percent = round(100 * (1 - train_ratio))
         held_out = key_bucket(*(keys or [label, *features]), salt="validation") < percent
-    vectors = assemble.transform(train).select(label, "features", held_out.alias("__out"))
-    with persisted(vectors) as rows:
-        scale = X.standardizer().fit(rows.filter("not __out"))
-        final_scale = X.standardizer().fit(rows)
-        scaled = scale.transform(rows).select(label, "scaledFeatures", "__out")
-        whole = final_scale.transform(rows).select(label, "scaledFeatures")
-        with persisted(scaled, whole), ThreadPool(max(1, min(parallelism, len(tried)))) as pool:
-            part = scaled.filter("not __out")
-            models = pool.map(lambda c: regularized(*c, label).fit(part), tried)
-            scored = scaled.filter("__out")
-            for i, m in enumerate(models):
-                scored = m.setPredictionCol(f"p{i}").transform(scored)
-            row = scored.agg(*[rmse(label, f"p{i}").alias(f"r{i}") for i in range(len(tried))]).first()
-            scores = {c: float(row[f"r{i}"]) for i, c in enumerate(tried)}
-            best = {a: min((c for c in tried if c[0] == a), key=scores.get)[1] for a in grids}
-            fitted = dict(zip(best, pool.map(lambda c: regularized(*c, label).fit(whole), best.items())))
-    return {
-        a: Search(
-            PipelineModel([assemble, final_scale, fitted[a]]),
-            {"elasticNetParam": float(a), "best_regParam": float(best[a])},
-            train.sparkSession.createDataFrame(
-                [(float(r), s) for (b, r), s in scores.items() if b == a], "reg_param double, rmse double"
-            ),
+    found = gather(train, features, label, {"out": held_out}, handle_invalid)
+    none = Moments.none(len(features) + 1)
+    fitted, out = found.get((False,), none), found.get((True,), none)
+    if not fitted.n or not out.n:
+        raise ValueError("a penalty search needs training and validation rows")
+    whole, spark, results = fitted + out, train.sparkSession, {}
+    for a, grid in grids.items():
+        tried = default_grid(a) if grid is None else list(grid)
+        scores = {r: out.rmse(line) for r, line in path(fitted, a, tried).items()}
+        best = min(scores, key=scores.get)
+        model = pipeline(spark, whole, path(whole, a, tried)[best], features, label, handle_invalid)
+        trials = spark.createDataFrame(
+            [(float(r), s) for r, s in scores.items()], "reg_param double, rmse double"
         )
-        for a in grids
-    }
+        results[a] = Search(model, {"elasticNetParam": float(a), "best_regParam": float(best)}, trials)
+    return results
 
 
 def search_penalty(
