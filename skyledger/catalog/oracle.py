@@ -137,6 +137,9 @@ ORACLES["read_raw_csv"] = (
     f"WITH {FEED} SELECT STATION, DATE, LATITUDE, LONGITUDE, {_CSV_ELEVATION} AS ELEVATION, "
     "WND, CIG, VIS, TMP, DEW, SLP FROM feed"
 )
+ORACLES["read_raw_layouts"] = f"""WITH {FEED} SELECT STATION, DATE, LATITUDE, LONGITUDE,
+  CASE WHEN event_id % 3 <> 1 THEN ELEVATION END AS ELEVATION, WND, CIG, VIS, TMP,
+  CASE WHEN event_id % 3 <> 2 THEN DEW END AS DEW, SLP FROM feed"""
 ORACLES["typed_scan"] = f"""WITH {FEED}
 SELECT STATION, cast(DATE AS TIMESTAMP) AS "DATE", cast(LATITUDE AS DOUBLE) AS LATITUDE,
   cast(LONGITUDE AS DOUBLE) AS LONGITUDE, cast({_CSV_ELEVATION} AS DOUBLE) AS ELEVATION,
@@ -146,10 +149,19 @@ ORACLES["row_count"] = f"WITH {FEED} SELECT count(*) AS n FROM feed"
 ORACLES["cleanse"] = f"WITH {CLEAN} SELECT * FROM clean"
 ORACLES["parquet_roundtrip"] = ORACLES["cleanse"]
 ORACLES["csv_roundtrip"] = ORACLES["cleanse"]
+ORACLES["spread_rows"] = ORACLES["cleanse"]
+ORACLES["head_rows"] = f"{ORACLES['cleanse']} ORDER BY event_id LIMIT 20"
+ORACLES["alpha_labels"] = """SELECT DISTINCT cast(l_discount AS DOUBLE) AS weight,
+  'a' || replace(CASE WHEN l_discount = floor(l_discount) THEN cast(cast(l_discount AS BIGINT) AS VARCHAR)
+    ELSE rtrim(cast(cast(l_discount AS DOUBLE) AS VARCHAR), '0') END, '.', 'p') AS label FROM lineitem"""
 ORACLES["typed_humidity"] = f"WITH {TYPED} {_TYPED_OUT}"
 ORACLES["typed_humidity_compat"] = f"WITH {_typed(-9999, -9999, -999999)} {_TYPED_OUT}"
 ORACLES["partitioned_roundtrip"] = ORACLES["typed_humidity"]
 ORACLES["compact"] = ORACLES["typed_humidity"]
+ORACLES["compact_incremental"] = f"""SELECT "year", "month", "month" > 3 AS kept, true AS few, count(*) AS n
+FROM ({ORACLES['typed_humidity']}) GROUP BY "year", "month\""""
+ORACLES["one_hot_dictionary"] = """SELECT value, row_number() OVER (ORDER BY value) - 1 AS slot, n FROM (
+  SELECT cast(l_orderkey AS VARCHAR) AS value, count(*) AS n FROM lineitem GROUP BY 1)"""
 ORACLES["partition_pruned"] = ORACLES["typed_humidity"] + ' WHERE "month" IN (2, 7)'
 ORACLES["ingest_counts"] = "SELECT count(*) AS rows_written, count(*) AS rows_stored FROM events"
 
@@ -888,7 +900,7 @@ best AS (SELECT alpha, arg_min(reg_param, rmse) AS lam FROM trials GROUP BY alph
 chosen AS (SELECT fit.* FROM fit JOIN best ON best.alpha = fit.alpha AND best.lam = fit.lam),
 scored AS (SELECT alpha, lam, my AS intercept, TMP_C, TMP_C - (my + {terms}) AS residual FROM chosen, test)
 SELECT CASE alpha WHEN 0 THEN 'Ridge' WHEN 1 THEN 'Lasso' ELSE 'Enet' END || ' (alpha=' || alpha || ')' AS model,
-  alpha AS "elasticNetParam", round(lam, 3) AS "best_regParam", {_metrics(3)}, round(max(intercept), 3) AS intercept
+  alpha AS "elasticNetParam", round(lam, 4) AS "best_regParam", {_metrics(4)}, round(max(intercept), 4) AS intercept
 FROM scored GROUP BY alpha, lam"""
 
 

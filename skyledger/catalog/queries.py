@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
@@ -29,7 +30,7 @@ from skyledger.plans.feed import raw_feed
 from skyledger.plans.ingest import write_split
 from skyledger.plans.modelling import regularized_family, rescore
 from skyledger.plans.typed import TYPED_SOURCE_COLUMNS, typed_humidity
-from skyledger.session import scratch_path, written_paths
+from skyledger.session import scratch_path, stored, written_paths
 from skyledger.sources import csv as SRC, tables as TAB
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +100,20 @@ def read_raw_csv(spark, d):
     return SRC.read_raw(spark, _feed_as_csv(spark, d), pattern="*.csv")
 
 
+@query
+def read_raw_layouts(spark, d):
+    """The feed as CSV files of three layouts, read by position in one scan."""
+    base = scratch_path(spark, "raw-layouts")
+    feed = raw_feed(spark, d).withColumn("kind", F.col("event_id") % 3).drop("event_id")
+    for k, drop in enumerate((["RH"], ["ELEVATION"], ["DEW", "RH"])):
+        some = feed.filter(F.col("kind") == k).drop("kind", *drop)
+        order = some.columns if k == 0 else sorted(some.columns, reverse=k == 1)
+        if k == 2:
+            some, order = some.withColumn("REMARK", F.lit("a, b")), ["REMARK", *order]
+        TAB.write_csv(some.select(*order), f"{base}/kind{k}")
+    return SRC.read_by_place(spark, f"{base}/*", pattern="*.csv")
+
+
 @query
 def raw_projection(spark, d):
     return SRC.project_raw(raw_feed(spark, d))
@@ -149,6 +164,38 @@ def compact(spark, d):
     return rounded(TAB.read_table(spark, path))
 
 
+@query
+def compact_incremental(spark, d):
+    """Partitions of many small files rewritten, the others left as they are: rows, and whether files stayed."""
+    path = scratch_path(spark, "loose")
+    table = typed(spark, d)
+    TAB.write_partitioned(table, path)
+    scattered = table.filter("month <= 3").repartition(8)
+    scattered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "year", "month"
+    ).parquet(path)
+    before = TAB.partition_files(spark, path, ["year", "month"])
+    before = stored(before.select("year", "month", F.array_sort("files").alias("before")), "files-before")
+    TAB.compact_touched(spark, path, most_small=2, small_bytes=1 << 30)
+    after = TAB.partition_files(spark, path, ["year", "month"]).select(
+        "year", "month", F.array_sort("files").alias("after")
+    )
+    kept = before.join(after, ["year", "month"]).select(
+        F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"),
+        (F.col("before") == F.col("after")).alias("kept"), (F.size("after") <= 2).alias("few"),
+    )
+    rows = TAB.read_table(spark, path).groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"))
+    return kept.join(rows, ["year", "month"])
+
+
+@query
+def spread_rows(spark, d):
+    """The cleansed table dealt by a key and written as three files."""
+    dealt = TAB.spread(clean(spark, d), 7, ["STATION"])
+    path = TAB.write_table(dealt, scratch_path(spark, "spread"), num_files=3)
+    return TAB.read_table(spark, path)
+
+
 @query
 def csv_roundtrip(spark, d):
     table = clean(spark, d)
@@ -160,8 +207,8 @@ def csv_roundtrip(spark, d):
 def ingest_counts(spark, d):
     path = scratch_path(spark, "counted")
     rows = TAB.write_counted(typed(spark, d), lambda df: TAB.write_partitioned(df, path))
-    stored = TAB.read_table(spark, path).agg(F.count(F.lit(1)).alias("rows_stored"))
-    return stored.select(F.lit(rows).cast("bigint").alias("rows_written"), "rows_stored")
+    kept = TAB.read_table(spark, path).agg(F.count(F.lit(1)).alias("rows_stored"))
+    return kept.select(F.lit(rows).cast("bigint").alias("rows_written"), "rows_stored")
 
 
 # ------------------------------------------------- columns and expressions ---
@@ -348,6 +395,19 @@ def geo_points(spark, d):
     return P.map_points(clean(spark, d))
 
 
+@query
+def head_rows(spark, d):
+    """The first twenty observations by id."""
+    return clean(spark, d).orderBy("event_id").limit(20)
+
+
+@query
+def alpha_labels(spark, d):
+    """Labels of mixing weights, here of the discounts that occur."""
+    weights = lineitem(spark, d).select(F.col("l_discount").cast("double").alias("weight")).distinct()
+    return weights.withColumn("label", TXT.alpha_label("weight"))
+
+
 @query
 def top_k(spark, d):
     return P.top_k(P.null_counts(typed(spark, d)), "null_count", 5, "column")
@@ -504,6 +564,19 @@ def one_hot_lineitem(spark, d):
     return flags.agg(*[F.sum(F.col(f"`{c}`")).alias(c) for c in flags.columns])
 
 
+@query
+def one_hot_dictionary(spark, d):
+    """A column of many values encoded through a distributed dictionary: rows per slot of the sparse vector."""
+    table = spark.read.parquet(f"{d}/lineitem.parquet").select(F.col("l_orderkey").cast("string").alias("order"))
+    names = X.dictionary(table, "order")
+    vectors = X.one_hot_by_dictionary(table, "order", names)
+    total = vectors.select(Summarizer.sum(F.col("order_vec")).alias("v"))
+    slots = total.select(F.posexplode(vector_to_array("v")).alias("slot", "n"))
+    return names.join(slots, F.col("number") == F.col("slot")).select(
+        "value", F.col("number").cast("bigint").alias("slot"), F.col("n").cast("bigint").alias("n")
+    )
+
+
 @query
 def standardize(spark, d):
     vectors = X.assembler(S.LINEAR_FEATURES).transform(clean(spark, d))
@@ -906,4 +979,4 @@ def model_comparison(spark, d):
 def family_comparison(spark, d):
     """Ridge, elastic net and lasso over their whole grids, the best of each scored on the test rows."""
     summary = regularized_family(*parts(spark, d), keys=KEY)[1]
-    return rounded(summary, 3)
+    return rounded(summary, 4)

@@ -10,10 +10,11 @@ from pyspark.ml.feature import (
     Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer,
     StringIndexerModel, VectorAssembler,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from skyledger.operators.columns import column_kinds
 from skyledger.operators.ranks import exact_quantiles
+from skyledger.session import stored
 
 IMPUTED = "_imp"
 FILLED = "_fill"
@@ -125,6 +126,53 @@ def one_hot_stages(columns: Sequence[str]) -> list:
     ]
 
 
+def dictionary(df: DataFrame, column: str) -> DataFrame:
+    """(value, number) of the distinct values of a column, numbered in order, none on the driver.
+
+    Values are range-partitioned and numbered within a partition; one row per partition says how many values lie
+    before it. A missing value has no number.
+    """
+    values = df.select(F.col(f"`{column}`").cast("string").alias("value")).filter(
+        F.col("value").isNotNull()
+    ).distinct()
+    ranges = stored(
+        values.repartitionByRange("value").withColumn("part", F.spark_partition_id()), "value-ranges"
+    )
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
+    )
+    place = F.row_number().over(Window.partitionBy("part").orderBy("value")) - 1
+    return stored(
+        ranges.withColumn("place", place).join(F.broadcast(starts), "part").select(
+            "value", (F.col("start") + F.col("place")).cast("int").alias("number")
+        ),
+        "dictionary",
+    )
+
+
+def one_hot_by_dictionary(df: DataFrame, column: str, names: DataFrame, salts: int = 16) -> DataFrame:
+    """Add ``<column>_vec``, a sparse vector with a one at the value's number; all zeros without one.
+
+    The dictionary is joined to the rows, salted so that a value that holds a third of them meets ``salts``
+    tasks; Spark sends it to all tasks instead if its stored size is small. Only the number of values comes to the driver.
+    """
+    n = names.count()
+    salted = names.select(
+        F.col("value").alias("__value"), F.col("number").alias("__number"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salted"),
+    )
+    text = F.col(f"`{column}`").cast("string")
+    rows = df.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    joined = rows.join(
+        salted, (text == F.col("__value")) & (F.col("__salt") == F.col("__salted")), "left"
+    ).withColumn("__number", F.coalesce("__number", F.lit(n)).cast("double"))
+    # Fitted on the last number alone: the slot after the values is dropped, so it gives zeros.
+    last = df.sparkSession.createDataFrame([(float(n),)], "__number double")
+    encoder = OneHotEncoder(inputCols=["__number"], outputCols=[f"{column}_vec"], dropLast=True)
+    return encoder.fit(last).transform(joined).drop("__salt", "__salted", "__value", "__number")
+
+
 def encoded_names(fitted: PipelineModel, numeric: Sequence[str]) -> list[str]:
     """Names of the assembled slots: numeric ones, then ``column=value``."""
     names = list(numeric)

@@ -21,9 +21,12 @@ from pyspark.sql import types as T
 
 from skyledger import schema as S
 from skyledger.functions.text import empty_to_null
-from skyledger.session import persisted
+from skyledger.session import persisted, stored
 from skyledger.sources.checks import list_files
 
+MANY_LAYOUTS = 16  # beyond it, one scan by position instead of a read per layout
+
+
 def _header_places(wanted: Sequence[str]):
     """Task function: positions of the wanted columns in each file's first line.
 
@@ -91,6 +94,50 @@ def _read_group(
     )
 
 
+def read_by_place(
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] = tuple(S.RAW_COLUMNS),
+    pattern: str | None = None,
+    **options,
+) -> DataFrame:
+    """The same rows as ``read_raw``, by one scan whatever the number of layouts.
+
+    Every file is read by position; the places of the wanted columns are joined to its rows by file name, and each
+    column is picked at its place. Distinct places come to the driver, file names do not. The table of places is
+    stored, so Spark knows its size and sends it to all tasks only if it is small. A file
+    that was not there when headers were looked at raises an error.
+    """
+    columns = list(columns)
+    found = stored(header_groups(spark, path, columns, pattern), "header-places")
+    kinds = [
+        [int(p) for p in r["places"].split(",")] for r in found.select("places").distinct().collect()
+    ]
+    if not kinds:
+        raise FileNotFoundError(f"no file with a header matches {path}")
+    # One more than the last place, so that the parser takes longer rows.
+    width = max(max(k) for k in kinds) + 2
+    reader = spark.read.schema(
+        T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    ).options(header=True, escape='"', **options)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    rows = reader.csv(path).select("*", F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B")).alias("__file"))
+    names = found.select(
+        F.col("path").alias("__path"), F.split("places", ",").cast("array<int>").alias("__at")
+    )
+    placed = rows.join(names, F.regexp_replace("__file", "^file:/+", "/") == F.regexp_replace("__path", "^file:/+", "/"), "left")
+    known = F.when(F.col("__at").isNull(), F.raise_error(F.concat(F.lit("new file "), "__file")))
+    picked = []
+    for w, c in enumerate(columns):
+        at = F.get("__at", F.lit(w))
+        value = F.lit(None).cast("string")
+        for i in sorted({k[w] for k in kinds if k[w] >= 0}):
+            value = F.when(at == i, F.col(f"c{i}")).otherwise(value)
+        picked.append(empty_to_null(F.coalesce(known.cast("string"), value)).alias(c))
+    return placed.select(*picked)
+
+
 def read_raw(
     spark: SparkSession,
     path: str,
@@ -108,6 +155,8 @@ def read_raw(
     columns = list(columns)
     with persisted(header_groups(spark, path, columns, pattern)) as found:
         kinds = [r["places"] for r in found.select("places").distinct().collect()]
+        if len(kinds) > MANY_LAYOUTS:
+            return read_by_place(spark, path, columns, pattern, **options)
         if not kinds:
             raise FileNotFoundError(f"no file with a header matches {path}")
         if len(kinds) == 1:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from skyledger.session import discard, stored
+
 PARTITION_KEYS = ("year", "month")
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder name of a missing partition key
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
@@ -78,6 +82,56 @@ def compact(
     return write_partitioned(read_table(spark, source), target, keys, max_records)
 
 
+def partition_files(
+    spark: SparkSession, path: str, keys: Sequence[str] = PARTITION_KEYS, small_bytes: int = 32 << 20
+) -> DataFrame:
+    """(keys, files, small) of every partition folder, from the file listing alone.
+
+    Keys are the texts in the folder names; a missing value is NULL. ``small`` counts files
+    below the given size.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+        "recursiveFileLookup", True
+    ).load(path)
+    named = []
+    for k in keys:
+        text = F.url_decode(F.regexp_extract("path", f"/{re.escape(k)}=([^/]*)/", 1))
+        named.append(F.when(text != NO_VALUE, text).alias(k))
+    return files.select(*named, "path", "length").groupBy(*keys).agg(
+        F.collect_list("path").alias("files"),
+        F.count_if(F.col("length") < small_bytes).alias("small"),
+    )
+
+
+def compact_touched(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str] = PARTITION_KEYS,
+    most_small: int = 8,
+    small_bytes: int = 32 << 20,
+    max_records: int | None = None,
+) -> int:
+    """Rewrite the partitions with more than ``most_small`` files below ``small_bytes``; their number.
+
+    Partitions are chosen from the file listing; files of the others are neither read nor moved. The
+    chosen rows are written beside the table first and then replace their partitions by dynamic
+    overwrite, so whenever a job fails, the old files or the staged copy are whole.
+    """
+    listed = partition_files(spark, path, keys, small_bytes)
+    folder = F.regexp_extract(F.get("files", F.lit(0)), "^(.*)/[^/]*$", 1).alias("folder")
+    # Folder names of the loose partitions come to the driver, as they do in Spark's own listing.
+    wanted = [r["folder"] for r in listed.filter(F.col("small") > most_small).select(folder).collect()]
+    if not wanted:
+        return 0
+    loose = spark.read.option("basePath", path).schema(spark.read.parquet(path).schema).parquet(
+        *[re.sub(r"([\\*?\[\]{}])", r"\\\1", w) for w in wanted]
+    )
+    staged = stored(loose, "loose-partitions")
+    write_partitioned(staged, path, keys, max_records, only_touched=True)
+    discard(staged)
+    return len(wanted)
+
+
 def write_counted(df: DataFrame, write) -> int:
     """Run ``write`` on the table and tell its rows, counted on the way through."""
     seen = Observation()
