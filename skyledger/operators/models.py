@@ -23,7 +23,7 @@ from skyledger.operators.moments import Moments, gather, path, pipeline
 from skyledger.operators.sampling import (
     assign_folds, nested_samples, subset_sizes, validation_flag,
 )
-from skyledger.session import TRAIN_PARTITIONS, held_for_training, persisted, shared_folder
+from skyledger.session import TRAIN_PARTITIONS, held_for_training, persisted, shared_folder, stored
 
 # --- fixed values: penalty grids, tried for each mixing weight ---------------
 RIDGE_GRID = [1e-6, 1e-5, 1e-4, 1e-3, 3e-3, 1e-2, 3e-2, 1e-1, 3e-1, 1.0]
@@ -216,10 +216,11 @@ def prepare_boosting(
     kept columns) and the names of the vector's slots.
     """
     left_out = [label, *exclude, *keep]
-    with persisted(train.drop(*exclude)) as held:
-        stages, numeric = X.preparation(held, left_out, numbers)
-        fitted = stages.fit(held)
-    vectors = fitted.transform(train).select(*dict.fromkeys([label, "features", *keep]))
+    # Written once: medians, categories and vectors all read it, not the steps that made it.
+    held = stored(train.drop(*exclude), "boosting-rows")
+    stages, numeric = X.preparation(held, left_out, numbers)
+    fitted = stages.fit(held)
+    vectors = fitted.transform(held).select(*dict.fromkeys([label, "features", *keep]))
     return fitted, vectors, X.encoded_names(fitted, numeric)
 
 
