@@ -20,8 +20,10 @@ With 24 bands of 4 values, a pair at exactly 0.8 is no candidate with probabilit
 3e-6, a pair above it with less; the tolerance adds 1e-6 per look.
 
 Edge cases: null and empty texts have no shingles and link with nothing; copies link with
-each other; rows with a null id link with nothing and are kept; rows that share an id
-but not a text are one node. An empty table gives no rows. Only the key and the text are
+each other, and repeated rows do; rows with a null id link with nothing and are kept; rows that
+share an id but not a text each have the links of their own text. Where one document of a group
+is to stay, rows with a null id count as documents with the largest ids, and of rows that share
+the least id, or repeat, one stays. An empty table gives no rows. Only the key and the text are
 read, so other columns, whatever their names, do not matter.
 """
 
@@ -29,6 +31,7 @@ from __future__ import annotations
 
 import math
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -85,25 +88,37 @@ def signatures(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 _MARKS = {"n": "int", "set1": "long", "set2": "long", "signature": "array<int>"}
 
 
+def _total(offsets: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Sum of the values of each set, modulo 2**64."""
+    return np.diff(
+        np.concatenate([[np.uint64(0)], np.cumsum(x, dtype=np.uint64)])[offsets]
+    ).view(np.int64)
+
+
 def _marks(n: int):
     def run(texts: Texts):
         offsets, hashes = shingle_sets(texts, n)
-        total = lambda x: np.diff(
-            np.concatenate([[np.uint64(0)], np.cumsum(x, dtype=np.uint64)])[offsets]
-        ).view(np.int64)
         made = signatures(offsets, hashes)
         flat = pa.ListArray.from_arrays(
             np.arange(0, made.size + 1, HASHES, dtype=np.int32), made.ravel().view(np.int32)
         )
-        return [np.diff(offsets), total(mix(hashes)), total(mix(hashes ^ np.uint64(0xA5A5A5A5))), flat]
+        return [
+            np.diff(offsets), _total(offsets, mix(hashes)),
+            _total(offsets, mix(hashes ^ np.uint64(0xA5A5A5A5))), flat,
+        ]
 
     return run
 
 
 def _sets(n: int):
+    """The shingles of each text, and what tells its class from others, as in the marks."""
+
     def run(texts: Texts):
         offsets, hashes = shingle_sets(texts, n)
-        return [pa.ListArray.from_arrays(offsets.astype(np.int32), hashes.view(np.int64))]
+        return [
+            pa.ListArray.from_arrays(offsets.astype(np.int32), hashes.view(np.int64)),
+            _total(offsets, mix(hashes)),
+        ]
 
     return run
 
@@ -210,40 +225,73 @@ def _verify(threshold: float):
     return run
 
 
-def join_groups(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS,
-    threshold: float = THRESHOLD,
-) -> DataFrame:
-    """One row per document: key, component (least key reachable by links), links, kept."""
-    source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+class Found(NamedTuple):
+    """Rows with the key of their class, the classes, and what was found of each class."""
+
+    marks: DataFrame  # id, text_hash, set1, set2, n
+    classes: DataFrame  # set1, set2, n, node, first (least id), copies
+    links: DataFrame  # node, links
+    least: DataFrame  # node, component, component_id (its least id)
+
+
+def _found(source: DataFrame, n: int, threshold: float) -> Found:
+    """All links between the texts of (id, text) rows. A class is known by a number of its own."""
+    hashed = source.withColumn("text_hash", F.xxhash64("text"))
     marks = stored(
-        annotate(source, "text", fields(**_MARKS), lambda: _marks(n)).drop("text"), "marks"
+        annotate(hashed, "text", fields(**_MARKS), lambda: _marks(n)).drop("text"), "marks"
     )
     classes = stored(
         marks.filter((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("set1", "set2", "n").agg(
-            F.min("id").alias("node"), F.count("*").alias("copies"),
+            F.min("id").alias("first"), F.count("*").alias("copies"),
             F.first("signature").alias("signature"),
-        ),
+        ).withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
     groups = _groups(classes, threshold)
     found = _links(source, classes, groups, n, threshold)
-    joined = components(
-        found.filter("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")),
-        "joined",
-    ).withColumnRenamed("node", "joined")
-    links = found.groupBy("node").agg(F.sum("links").alias("links")).withColumnRenamed("node", "linked")
-    member = classes.select("set1", "set2", "n", "node", "copies")
-    out = (
-        marks.select("id", "set1", "set2", "n").join(member, ["set1", "set2", "n"], "left")
-        .join(links, F.col("node") == F.col("linked"), "left")
-        .join(joined, F.col("node") == F.col("joined"), "left")
+    joined = stored(
+        components(
+            found.filter("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")),
+            "joined",
+        ).join(classes.select("node", "first"), "node"),
+        "joined-first",
+    )
+    least = stored(joined.groupBy("component").agg(F.min("first").alias("component_id")), "least")
+    return Found(
+        marks.drop("signature"), classes.drop("signature"),
+        found.groupBy("node").agg(F.sum("links").alias("links")),
+        joined.join(least, "component").select("node", "component", "component_id"),
+    )
+
+
+def _placed(found: Found) -> DataFrame:
+    """(id, text_hash, n, copies, links, component_id, group) of every row; links of other texts only.
+
+    ``group`` tells groups apart, also where the least id of two is the same.
+    """
+    nodes = stored(
+        found.classes.join(found.links, "node", "left").join(found.least, "node", "left").select(
+            "set1", "set2", "n", "copies", F.coalesce("links", F.lit(0)).alias("links"),
+            F.coalesce("component_id", "first").alias("component_id"),
+            F.coalesce("component", "node").alias("group"),
+        ),
+        "class-results",
     )
+    return found.marks.join(nodes, ["set1", "set2", "n"], "left")
+
+
+def join_groups(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """One row per document: key, component (least key reachable by links), links, kept."""
+    source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    rows = _placed(_found(source, n, threshold))
     known = F.col("id").isNotNull()
     count = F.coalesce(F.col("copies") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))
-    made = out.select(
+    made = rows.select(
         F.col("id").alias(key),
-        F.when(known, F.coalesce("component", "node", "id")).alias("component_id"),
+        F.when(known, F.coalesce("component_id", "id")).alias("component_id"),
         F.when(known, count).otherwise(F.lit(0)).cast("long").alias("n_links"),
     )
     return made.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
@@ -289,20 +337,22 @@ def _groups(classes: DataFrame, threshold: float) -> DataFrame:
 
 def _links(source: DataFrame, classes: DataFrame, groups: DataFrame, n: int, threshold: float) -> DataFrame:
     """(node, links, least) of every class with a link, a row per task that saw it."""
-    sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
+    # Stored first: the join then stands on two shuffles of its own and a large group can be split.
+    sizes = stored(groups.groupBy("component").agg(F.count("*").alias("size")), "group-sizes")
     placed = stored(groups.join(sizes, "component"), "placed")
     tasks = placed.count() // PER_TASK + 1
     cut = F.ceil(F.col("size") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("node"), cut).cast("int")
-    members = placed.select(
-        F.col("node").alias("id"), "component", cut.alias("blocks"), block.alias("block"),
+    members = placed.join(classes.select("node", "first", "set1"), "node").select(
+        F.col("first").alias("id"), "node", F.col("set1").alias("wanted"), "component",
+        cut.alias("blocks"), block.alias("block"),
+    )
+    # An id may stand on several texts: the one of the class is told by its shingles.
+    ready = annotate(
+        source.join(members, "id"), "text", fields(shingles="array<long>", set1="long"), lambda: _sets(n)
+    ).filter("set1 = wanted").drop("text", "id", "wanted", "set1").dropDuplicates(["node"]).join(
+        classes.select("node", "copies", "signature"), "node"
     )
-    sets = annotate(
-        source.join(members, "id"), "text", fields(shingles="array<long>"), lambda: _sets(n)
-    ).drop("text").withColumnRenamed("id", "node").dropDuplicates(["node"])
-    ready = sets.join(classes.groupBy("node").agg(
-        F.sum("copies").alias("copies"), F.first("signature").alias("signature")
-    ), "node")
     # One task per pair of blocks; many small groups share a task.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     spread = ready.withColumn("other", other).withColumns({
@@ -321,13 +371,37 @@ def _links(source: DataFrame, classes: DataFrame, groups: DataFrame, n: int, thr
 
 
 def one_of_each_group(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", **options
+    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS,
+    threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """The documents without near copies of a document with a smaller id."""
-    gone = join_groups(docs, key, text, **options).filter(~F.col("kept")).select(
-        F.col(key).alias("__gone")
-    ).distinct()
-    return docs.join(gone, F.col(key) == F.col("__gone"), "left_anti")
+    """One document of each group of near copies, the one with the least id; others pass through.
+
+    Decisions are made per id and text, so rows that share an id are told apart, and repeated rows come down to
+    one. A row without an id takes part under a number made from its content, above any usual id.
+    """
+    whole = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.coalesce(
+        F.col(key).cast("long"), F.lit(1 << 62) + F.pmod(F.xxhash64(*docs.columns), F.lit(1 << 61))
+    ).alias("id"))
+    rows = stored(
+        _placed(_found(whole.select("id", "text"), n, threshold)).filter("n > 0")
+        .groupBy("id", "text_hash", "group").agg(F.count("*").alias("times")),
+        "decisions",
+    )
+    # Of texts that share the least id of a group, the one with the least hash stays.
+    first = stored(
+        rows.groupBy("group").agg(F.min(F.struct("id", "text_hash")).alias("first")), "first"
+    )
+    stays = F.struct("id", "text_hash") == F.col("first")
+    marked = stored(
+        rows.join(first, "group").select(
+            F.col("id").alias("marked_id"), F.col("text_hash").alias("marked_hash"), stays.alias("stays"), "times"
+        ).filter("not stays or times > 1"),
+        "marked",
+    )
+    same = (F.col("id") == F.col("marked_id")) & (F.xxhash64("text") == F.col("marked_hash"))
+    untouched = whole.join(marked, same, "left_anti")
+    repeated = whole.join(marked.filter("stays"), same).dropDuplicates(["id", "marked_hash"])
+    return untouched.select("row.*").union(repeated.select("row.*"))
 
 
 def oracle(n: int = WORDS) -> str:

@@ -144,7 +144,7 @@ def _repeated_words(words: Words, n: int) -> np.ndarray:
 
 RESULT = fields(
     n_words="long", word_chars="long", n_symbols="long", n_dup_lines="long",
-    n_repeat_words="long", probability="double", base_failed="boolean", kept="boolean",
+    n_repeat_words="long", base_failed="boolean", kept="boolean", probability="double",
 )
 
 
@@ -162,7 +162,7 @@ def judge(
             made = counts(texts)
             p = np.ones(len(texts)) if held is None else held.probabilities(texts)
             failed = (made[0] < LEAST_WORDS) | (100 * made[4] > MOST_REPEATED_PERCENT * made[0])
-            return [*made, p, failed, ~failed & (p >= threshold)]
+            return [*made, failed, ~failed & (p >= threshold), p]
 
         return run
 

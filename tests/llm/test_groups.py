@@ -308,3 +308,26 @@ def test_packing_counts_tokens(spark, docs_of):
 def test_packing_query_is_whole(spark):
     got = QUERIES["op5_packing"](spark, SMALL)
     assert got.count() == table(spark, SMALL, "documents").count()
+
+
+def test_ids_on_several_texts_lose_no_link(spark):
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    near = lambda k: words(k) + f" tail{k}"
+    rows = [(1, words(0)), (1, words(1)), (2, near(0)), (3, near(1)), (4, words(2)), (4, words(2)), (None, words(3))]
+    rows += [(None, words(3)), (None, near(1)), (9, ""), (9, "")]
+    kind = "doc_id long, text string, id string, node string, text_hash string, row string"
+    seen = set()
+    for parts in (1, 5):
+        df = spark.createDataFrame([(i, t, "x", "y", "z", "r") for i, t in rows], kind).repartition(parts)
+        got = sorted(map(tuple, jaccard.join_groups(df).collect()), key=repr)
+        assert got == sorted([
+            (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 4, 1, True), (4, 4, 1, True),
+            (9, 9, 0, True), (9, 9, 0, True), *[(None, None, 0, True)] * 3,
+        ], key=repr)
+        left = jaccard.one_of_each_group(df)
+        assert left.columns == df.columns
+        # Two groups with id 1, one repeated row of 4 and of no id, and both empty texts stay.
+        stay = sorted((r["doc_id"] or 0, r["text"]) for r in left.collect())
+        assert [s[0] for s in stay] == [0, 1, 1, 4, 9, 9] and stay[0][1] == words(3)
+        seen.add(tuple(stay))
+    assert len(seen) == 1
