@@ -1,20 +1,26 @@
 """Embedding near-dedup by a pivot-permutation index.
 
 Reference points (pivots) come from a bounded sample of the vectors, thinned so that no two
-are close: pivots inside one dense cloud would be ordered by chance for all its members. Every vector is described by
-its ``nearest`` pivots in order of cosine, and stands in the inverted list of each of
-them, within its label. Two vectors of a list are candidates if their descriptions share at
-least ``shared`` pivots; candidates are verified by cosine in double precision, so no link
-below the threshold is reported. A pair that meets in several lists is counted in the list of
-its first shared pivot only.
+are close: pivots inside one dense cloud would be ordered by chance for all its members. Their number
+grows with the root of the vectors, up to ``MOST_PIVOTS``. Every vector is described by its ``nearest``
+pivots in order of cosine, and stands, within its label, in the inverted list of every two of them. So vectors
+meet in a list only if they share two pivots, and as the number of lists grows with the square of the pivots, lists of
+unrelated vectors do not grow with the table (beyond ``MOST_PIVOTS`` squared vectors they do, slowly).
+
+Lists hold ids and are counted first; vectors are fetched only for lists of two or more. Candidates
+are verified by cosine in double precision, so no link below the threshold is reported. A pair that
+meets in several lists is counted in the list of its first two shared pivots only.
 
 Lists are worked on as matrices and never written as pairs. A list above ``BLOCK`` vectors is
 cut by hash into blocks, one task per pair of blocks; small lists share a task. A task
 gives one row per vector: its links there and the least vector it is joined with. Equal
 vectors of a label are one entry with a count.
 
+Ties: equal cosines to two pivots put the pivot of the smaller number first; a cosine at the threshold links.
+
 Edge cases: vectors that are null, empty, zero, or hold a null or non-finite component, rows
-with a null label or a null id link with nothing and are kept; vectors of different length never link;
+with a null label or a null id link with nothing and are kept; rows that share an id but not a
+vector each have the links of their own; vectors of different length never link;
 an empty table gives no rows. Only the named columns are read.
 """
 
@@ -29,8 +35,9 @@ from skyledger.llm.batches import sample_rows, stored
 from skyledger.llm.components import components, least_reached
 
 THRESHOLD = 0.98
-PIVOTS, NEAREST, SHARED = 256, 8, 2
-SAMPLE, APART = 2048, 0.6  # vectors the pivots are taken from, and their largest cosine
+NEAREST = 6
+LEAST_PIVOTS, MOST_PIVOTS, PER_ROOT = 64, 4096, 8  # pivots per root of the vectors
+SAMPLE, APART = 4, 0.6  # vectors looked at per pivot, and the largest cosine of two pivots
 BLOCK, PER_TASK = 512, 4000
 
 
@@ -48,11 +55,13 @@ def usable(vector: str):
     return F.coalesce((F.size(v) > 0) & ~bad & F.exists(v, lambda e: e != 0), F.lit(False))
 
 
-def choose_pivots(
-    entries: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE
-) -> dict[int, np.ndarray]:
-    """Reference points per vector length, from at most ``sample`` distinct vectors by hash."""
-    rows = sample_rows(entries.select("dim", "vector").distinct(), sample, by="dim").toArrow()
+def pivot_count(vectors: int) -> int:
+    return min(MOST_PIVOTS, max(LEAST_PIVOTS, int(PER_ROOT * vectors**0.5)))
+
+
+def choose_pivots(entries: DataFrame, pivots: int) -> dict[int, np.ndarray]:
+    """Reference points per vector length, from ``SAMPLE`` distinct vectors by hash for each wanted."""
+    rows = sample_rows(entries.select("dim", "vector").distinct(), SAMPLE * pivots, by="dim").toArrow()
     made: dict[int, list] = {}
     for dim, vector in zip(rows.column("dim").to_pylist(), rows.column("vector").to_pylist()):
         made.setdefault(dim, []).append(vector)
@@ -61,13 +70,13 @@ def choose_pivots(
 
 def _apart(rows: np.ndarray, most: int) -> np.ndarray:
     """Rows in order, each only if it is not close to one already taken."""
-    taken = [0]
-    for i in range(1, len(rows)):
-        if len(taken) == most:
+    taken, n = np.empty((min(most, len(rows)), rows.shape[1])), 0
+    for row in rows:
+        if n == len(taken):
             break
-        if (rows[taken] @ rows[i]).max() < APART:
-            taken.append(i)
-    return rows[taken]
+        if not n or (taken[:n] @ row).max() < APART:
+            taken[n], n = row, n + 1
+    return taken[:n]
 
 
 def describe(entries: DataFrame, pivots: dict[int, np.ndarray], nearest: int = NEAREST) -> DataFrame:
@@ -92,25 +101,25 @@ def describe(entries: DataFrame, pivots: dict[int, np.ndarray], nearest: int = N
     return entries.mapInArrow(run, schema)
 
 
-def _verify(threshold: float, shared: int):
+def _verify(threshold: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for (_, dim, pivot), group in rows.groupby(["label", "dim", "pivot"], sort=False):
+        for (_, dim, _, q), group in rows.groupby(["label", "dim", "p", "q"], sort=False):
             ids, weight = group["node"].to_numpy(), group["copies"].to_numpy()
             vectors = unit_rows(group["vector"].to_list())
-            orders = np.stack(group["order"].to_list())
-            marks = np.zeros((len(ids), int(orders.max()) + 1), np.float32)
+            known, orders = np.unique(np.stack(group["order"].to_list()), return_inverse=True)
+            orders = orders.reshape(len(ids), -1)
+            marks = np.zeros((len(ids), len(known)), np.float32)
             np.put_along_axis(marks, orders, 1, axis=1)
             block = group["block"].to_numpy()
             if (block == block[0]).all():
                 first = second = np.arange(len(ids))
             else:
                 first, second = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
-            together = marks[first] @ marks[second].T
-            # Seen already in the list of an earlier shared pivot.
-            earlier = marks[first, :pivot] @ marks[second, :pivot].T
-            candidate = (together >= min(shared, orders.shape[1])) & (earlier == 0)
-            found = candidate & (vectors[first] @ vectors[second].T >= threshold)
+            # The pair's first two shared pivots are p and q: no shared one before q but p.
+            upto = int(np.searchsorted(known, q, side="right"))
+            here = marks[first, :upto] @ marks[second, :upto].T <= 2
+            found = here & (vectors[first] @ vectors[second].T >= threshold)
             if first is second:
                 found &= np.triu(np.ones(found.shape, bool), 1)
             links = np.zeros((len(ids), len(ids)), bool)
@@ -124,10 +133,24 @@ def _verify(threshold: float, shared: int):
     return run
 
 
+def _twos(order: str):
+    """(p, q) of every two pivots of a description, p before q; of a single one, itself twice."""
+    o = F.array_sort(order)
+    last = F.size(order) - 1
+    two = F.flatten(F.transform(
+        F.sequence(F.lit(0), last - 1),
+        lambda i: F.transform(
+            F.sequence(i + 1, last),
+            lambda j: F.struct(F.get(o, i).alias("p"), F.get(o, j).alias("q")),
+        ),
+    ))
+    one = F.array(F.struct(F.get(o, F.lit(0)).alias("p"), F.get(o, F.lit(0)).alias("q")))
+    return F.when(last > 0, two).otherwise(one)
+
+
 def near_duplicates(
     df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",
-    threshold: float = THRESHOLD, pivots: int = PIVOTS, nearest: int = NEAREST,
-    shared: int = SHARED,
+    threshold: float = THRESHOLD, pivots: int | None = None, nearest: int = NEAREST,
 ) -> DataFrame:
     """One row per vector: key, links, component (least key reachable), kept."""
     rows = df.select(
@@ -135,19 +158,24 @@ def near_duplicates(
     ).withColumn("ok", usable("vector") & F.col("label").isNotNull() & F.col("id").isNotNull())
     entries = stored(
         rows.filter("ok").groupBy("label", "vector").agg(
-            F.min("id").alias("node"), F.count("*").alias("copies")
-        ).withColumn("dim", F.size("vector")),
+            F.min("id").alias("first"), F.count("*").alias("copies")
+        ).withColumns({"dim": F.size("vector"), "node": F.monotonically_increasing_id()}),
         "entries",
     )
-    found_pivots = choose_pivots(entries, pivots)
+    found_pivots = choose_pivots(entries, pivots or pivot_count(entries.count()))
     described = stored(describe(entries, found_pivots, nearest), "described")
-    listed = described.withColumn("pivot", F.explode("order"))
-    where = ["label", "dim", "pivot"]
-    sizes = listed.groupBy(*where).agg(F.count("*").alias("size"))
-    tasks = described.count() * nearest // PER_TASK + 1
+    where = ["label", "dim", "p", "q"]
+    listed = described.select("node", "label", "dim", F.inline(_twos("order")))
+    sizes = stored(
+        listed.groupBy(*where).agg(F.count("*").alias("size")).filter("size > 1"), "list-sizes"
+    )
+    # Only ids up to here; vectors are fetched for lists that hold a pair.
+    meeting = stored(listed.join(sizes, where), "lists")
+    tasks = meeting.count() // PER_TASK + 1
+    fetched = meeting.join(described.select("node", "copies", "vector", "order"), "node")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     spread = (
-        listed.join(sizes, where).withColumn("blocks", blocks)
+        fetched.withColumn("blocks", blocks)
         .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({
@@ -161,25 +189,35 @@ def near_duplicates(
     )
     found = stored(
         spread.groupBy("cut", "task", "low", "high").applyInPandas(
-            _verify(threshold, shared), "node long, links long, least long"
+            _verify(threshold), "node long, links long, least long"
         ),
         "vector-links",
     )
-    joined = components(
-        found.filter("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")),
-        "vectors",
-    ).withColumnRenamed("node", "joined")
-    links = found.groupBy("node").agg(F.sum("links").alias("links")).withColumnRenamed("node", "linked")
-    entry = entries.select("label", "vector", "node", "copies", F.lit(True).alias("ok"))
-    made = (
-        rows.join(entry, ["label", "vector", "ok"], "left")
-        .join(links, F.col("node") == F.col("linked"), "left")
-        .join(joined, F.col("node") == F.col("joined"), "left")
+    joined = stored(
+        components(
+            found.filter("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")),
+            "vectors",
+        ).join(entries.select("node", "first"), "node"),
+        "joined-vectors",
+    )
+    least = stored(
+        joined.groupBy("component").agg(F.min("first").alias("component_id")), "least-vectors"
+    )
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    entry = stored(
+        entries.join(links, "node", "left")
+        .join(joined.select("node", "component").join(least, "component"), "node", "left")
+        .select(
+            "label", "vector", F.lit(True).alias("ok"), "copies", "links",
+            F.coalesce("component_id", "first").alias("component_id"),
+        ),
+        "entry-results",
     )
+    made = rows.join(entry, ["label", "vector", "ok"], "left")
     count = F.coalesce(F.col("copies") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))
     out = made.select(
         F.col("id").alias(key), count.cast("long").alias("n_links"),
-        F.coalesce("component", "node", "id").alias("component_id"),
+        F.coalesce("component_id", "id").alias("component_id"),
     )
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
 

@@ -331,3 +331,35 @@ def test_ids_on_several_texts_lose_no_link(spark):
         assert [s[0] for s in stay] == [0, 1, 1, 4, 9, 9] and stay[0][1] == words(3)
         seen.add(tuple(stay))
     assert len(seen) == 1
+
+
+def test_one_id_on_two_vectors(spark):
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    near = lambda v: [x + 0.01 for x in v]
+    rows = [(1, a, 0), (1, b, 0), (2, near(a), 0), (3, near(b), 0), (3, near(b), 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted(map(tuple, pivots.near_duplicates(df).collect()))
+    assert got == [(1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (3, 2, 1, False)]
+
+
+def test_index_finds_pairs_and_thins_the_work(spark):
+    """Recall at the threshold itself, and members of lists per vector at ten times the vectors."""
+    rng = np.random.default_rng(6)
+    looked = {}
+    for n in (300, 3000):
+        base = rng.normal(size=(n, 64))
+        base /= np.linalg.norm(base, axis=1, keepdims=True)
+        turn = rng.normal(size=(n, 64))
+        turn -= (turn * base).sum(axis=1, keepdims=True) * base
+        turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+        cosine = rng.uniform(0.981, 0.995, size=(n, 1))
+        both = np.r_[base, base * cosine + turn * np.sqrt(1 - cosine**2)]
+        rows = [(i, v.tolist(), 0) for i, v in enumerate(both)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+        got = pivots.near_duplicates(df).filter("n_links > 0").count()
+        assert got >= 0.95 * 2 * n
+        entries = df.select("vec_id", F.col("embedding").alias("vector"), F.lit(64).alias("dim"), "label")
+        made = pivots.describe(entries, pivots.choose_pivots(entries, pivots.pivot_count(2 * n)))
+        lists = made.select(F.inline(pivots._twos("order"))).groupBy("p", "q").count()
+        looked[n] = lists.agg(F.sum(F.expr("count * (count - 1) / 2"))).first()[0] / (2 * n)
+    assert looked[3000] < 2 * looked[300]
