@@ -16,7 +16,7 @@ cut by hash into blocks, one task per pair of blocks; small lists share a task.
 gives one row per vector: its links there and the least vector it is joined with. Equal
 vectors of a label are one entry with a count.
 
-Ties: equal cosines to two pivots put the pivot of the smaller number first; a cosine at the threshold links.
+Ties: of the nearest pivots, equal cosines put the smaller number first; a cosine at the threshold links.
 
 Edge cases: vectors that are null, empty, zero, or hold a null or non-finite component, rows
 with a null label or a null id link with nothing and are kept; rows that share an id but not a
@@ -92,7 +92,10 @@ def describe(entries: DataFrame, pivots: dict[int, np.ndarray], nearest: int = N
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
                 cosine = unit_rows([vectors[i] for i in at]) @ shared.value[int(dim)].T
-                for i, row in zip(at, np.argsort(-cosine, axis=1, kind="stable")[:, :nearest]):
+                n = min(nearest, cosine.shape[1])
+                best = np.sort(np.argpartition(-cosine, n - 1, axis=1)[:, :n], axis=1)
+                inner = np.argsort(-np.take_along_axis(cosine, best, axis=1), axis=1, kind="stable")
+                for i, row in zip(at, np.take_along_axis(best, inner, axis=1)):
                     orders[i] = row.tolist()
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(orders, pa.list_(pa.int32()))], names=schema.names
