@@ -12,12 +12,15 @@ than they should; their limit is lower, as random letters of one case stay well
 Spans are ``kind:start:end`` in code points, the end exclusive, by start and then by kind
 in the order assign, access, hex, random. A random span never overlaps a base span. Null
 and empty texts have no spans; repeated rows are scanned each by itself; input columns
-named like a result column are replaced.
+named like a result column are replaced. A text costs time in proportion to its length, also
+with many thousand spans.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
@@ -81,13 +84,15 @@ def inefficient(run: str, tokens: list, most: float) -> bool:
 
 
 def random_spans(text: str, taken: list, tokens, most: float) -> list[tuple[int, int, int]]:
-    """Runs that are inefficient to encode and overlap no base span."""
+    """Runs that are inefficient to encode and overlap no base span; ``taken`` comes by start."""
     found = []
+    starts, reach = [start for _, start, _ in taken], list(accumulate((end for *_, end in taken), max))
     for m in _RUN.finditer(text):
         run, a, b = m[0].strip("=-_/+"), m.start(), m.end()
         if len(run) < LEAST_CHARS or harmless(run):
             continue
-        if any(a < end and start < b for _, start, end in taken):
+        before = bisect_left(starts, b)  # spans that start before the run ends
+        if before and reach[before - 1] > a:
             continue
         if inefficient(run, tokens, most):
             found.append((3, a, b))
