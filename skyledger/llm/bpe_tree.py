@@ -13,7 +13,10 @@ places where the tokens outside provably cannot change:
 
 Joining is associative, so the tree's shape does not matter. Decoding concatenates the
 bytes of the ids up the same kind of tree. Null texts are empty, and an empty text has
-no ids. Very long texts, also without any blank, cost one window per join.
+no ids. Very long texts, also without any blank, cost one window per join; runs of one
+character are joined without encoding them again. Where tokens settle nowhere, the window
+grows to the piece, so the work is at most that of encoding once per level of the tree. Repeated
+rows are encoded each by itself; input columns named like a result column are replaced.
 """
 
 from __future__ import annotations
@@ -73,7 +76,7 @@ def join(text: str, a: int, seam: int, b: int, left: list, right: list, tokens)
         start, end = _last_stable(text, a, seam, width), _next_stable(text, seam, b, width)
         if start is not None and end is not None:
             break
-        if width >= LONGEST_WINDOW:
+        if width == FIRST_WINDOW:  # no seam between words is near: perhaps one long run
             inside = _join_inside(text, a, seam, b, left, right, tokens)
             if inside is not None:
                 return inside
@@ -104,17 +107,30 @@ def _next_stable(text: str, seam: int, b: int, width: int) -> int | None:
     return b if high == b else None
 
 
+# Characters that one match holds together, however many follow each other.
+_RUN = regex.compile(r"\p{L}+|\p{N}+|\s+|[^\s\p{L}\p{N}]+")
+
+
 def _join_inside(text: str, a: int, seam: int, b: int, left: list, right: list, tokens):
     """Join within one long match by windows of tokens; None if the seam is not inside one."""
-    near = text[max(a, seam - LONGEST_WINDOW) : min(b, seam + LONGEST_WINDOW)]
-    if not (regex.fullmatch(r"\p{L}+|\p{N}+", near)):
+    low, high = max(a, seam - LONGEST_WINDOW), min(b, seam + LONGEST_WINDOW)
+    near = text[low:high]
+    if not _RUN.fullmatch(near):
         return None
-    pair = tokens._encode_single_piece  # merges of one match, without the split pattern
-    raw = tokens.decode_single_token_bytes
-    size, settled = 1, lambda x, y: pair(raw(x) + raw(y)) == [x, y]
-    reach = LONGEST_WINDOW // 64  # so many tokens surely lie within the run
-    while size < min(reach, len(left) - 1, len(right) - 1):
-        window = pair(b"".join(map(raw, left[-size:] + right[:size])))
+    if near.count(near[0]) == len(near):
+        turned = _join_equal(text, seam, b, seam - low, left, right, tokens)
+        if turned is not None:
+            return turned
+    pair, raw, settled = _merging(tokens)
+    # A token of n bytes covers n characters at most. White space before a word gives up
+    # its last character to the next match.
+    before, after = seam - low, high - seam - (high < b)
+    size = 1
+    while size < min(len(left), len(right)):
+        parts = [raw(t) for t in left[-size - 1 :]], [raw(t) for t in right[: size + 1]]
+        if sum(map(len, parts[0])) > before or sum(map(len, parts[1])) > after:
+            return None
+        window = pair(b"".join(parts[0][1:] + parts[1][:-1]))
         if settled(left[-size - 1], window[0]) and settled(window[-1], right[size]):
             if all(settled(x, y) for x, y in zip(window, window[1:])):
                 return left[:-size] + window + right[size:]
@@ -122,6 +138,53 @@ def _join_inside(text: str, a: int, seam: int, b: int, left: list, right: list,
     return None
 
 
+def _merging(tokens):
+    """Merges of one match without the split pattern, bytes of a token, whether two tokens stay."""
+    pair, raw = tokens._encode_single_piece, tokens.decode_single_token_bytes
+    return pair, raw, lambda x, y: pair(raw(x) + raw(y)) == [x, y]
+
+
+def _join_equal(text: str, seam: int, b: int, reach: int, left: list, right: list, tokens):
+    """Join inside a run of one character.
+
+    Such a run is the same longest token over and over and a rest, and the rest of the left
+    run would shift every token of the right one. As all characters are equal, it may as
+    well stand behind the right run's equal tokens: only the two rests are encoded anew.
+    """
+    pair, raw, settled = _merging(tokens)
+    long = right[0]
+    unit = text[seam].encode()
+    if raw(long) != unit * (len(raw(long)) // len(unit)) or not settled(long, long):
+        return None
+    rest = 0
+    while rest < len(left) and left[-rest - 1] != long:
+        rest += 1
+        reach -= len(raw(left[-rest]))
+        if reach < 0:
+            return None
+    if rest < len(left) and not settled(left[-rest - 1], long):
+        return None
+    stop = _RUN.match(text, seam, b).end()
+    if stop < b and text[seam].isspace():
+        stop -= 1
+    bytes_left = len(text[seam:stop].encode())
+    same = next((i for i, t in enumerate(right) if t != long), len(right))
+    same = min(same, bytes_left // len(raw(long)))
+    bytes_left -= same * len(raw(long))
+    moved, size, used = [raw(t) for t in left[len(left) - rest :]], 0, 0
+    while True:
+        ended = used == bytes_left  # the match ends here
+        window = pair(b"".join(moved)) if moved else []
+        whole = [long, *window] if ended else [long, *window, right[same + size]]
+        if all(settled(x, y) for x, y in zip(whole, whole[1:])):
+            return left[: len(left) - rest] + right[:same] + window + right[same + size :]
+        if ended or size > LONGEST_WINDOW:
+            return None
+        moved.append(raw(right[same + size]))
+        used += len(moved[-1])
+        size += 1
+
+
 def decode(ids: list[int], tokens: tiktoken.Encoding, leaf: int = 4096) -> bytes:
     """Bytes of the ids, concatenated up a tree."""
     if len(ids) <= leaf:

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -48,6 +49,8 @@ def test_tree_equals_whole_encoding(tokens):
 @pytest.mark.parametrize("text", [
     "ab" * 9000, "漢字日本語" * 3000, " " * 9000 + "x", "!" * 5000 + "7" * 5000, "<|endoftext|>" * 500,
     "".join(random.Random(4).choices(["tion", "the", "ing", "er"], k=6000)),
+    "=" * 9001 + "word", "a" + "\n" * 7001 + " b", "-" * 7000 + "'s", "=-" * 6000, " \n" * 6000 + "x", "　" * 5000 + "x",
+    "😀" * 5000, "".join(random.Random(6).choices("+-*/%", k=20_000)), "x" * 5001 + "0" * 5003 + " " * 5001,
 ])
 def test_long_runs(tokens, text):
     ids = bpe_tree.encode(text, tokens, leaf=256)
@@ -55,6 +58,27 @@ def test_long_runs(tokens, text):
     assert bpe_tree.decode(ids, tokens, leaf=100) == text.encode()
 
 
+@pytest.mark.parametrize("char", [" ", "=", "\n", "a", "7"])
+def test_runs_of_one_character_take_linear_time(tokens, char):
+    text = char * 300_000
+    begun = time.monotonic()
+    want = tokens.encode_ordinary(text)
+    whole = time.monotonic() - begun
+    begun = time.monotonic()
+    assert bpe_tree.encode(text, tokens) == want
+    assert time.monotonic() - begun < 10 * whole + 0.5
+
+
+def test_runs_joined_anywhere(tokens):
+    rng = random.Random(9)
+    for _ in range(150):
+        char = rng.choice([" ", "=", "\n", "a", "é", "-", "　"])
+        text = rng.choice(["", "x", " ", "'", "!", "9"]) + char * rng.randint(2200, 3000) + rng.choice(["", "x", " ", "'s", "-", "7", "\n"])
+        seam = rng.randint(1, len(text) - 1)
+        left, right = tokens.encode_ordinary(text[:seam]), tokens.encode_ordinary(text[seam:])
+        assert bpe_tree.join(text, 0, seam, len(text), left, right, tokens) == tokens.encode_ordinary(text)
+
+
 def test_join_is_associative(tokens):
     text = "don't stop 123abc  \n it's" * 9
     whole = tokens.encode_ordinary(text)
@@ -256,6 +280,22 @@ def test_random_strings(docs_of, text, found):
     assert ("random:" in secrets.scan(docs_of([text])).first()["spans"]) == found
 
 
+def test_overlap_with_base_spans_equals_all_pairs():
+    """The merged lists against a look at every base span."""
+    class Costly:  # every run counts as inefficient
+        def encode_ordinary(self, text):
+            return text
+
+    rng = random.Random(4)
+    parts = ["token=", "AKIA" + "Q7" * 10, "deadbeef" * 4, "Zk3" * 8, "plain words", " ", "/", "secret: Zk3x9Q", "\n"]
+    for _ in range(300):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 14)))
+        base = sorted(secrets.base_spans(text), key=lambda s: (s[1], s[0], s[2]))
+        got = secrets.random_spans(text, base, [Costly()] * 2, 2.4)
+        every = secrets.random_spans(text, [], [Costly()] * 2, 2.4)
+        assert got == [r for r in every if not any(r[1] < e and s < r[2] for _, s, e in base)]
+
+
 def test_random_letters_of_one_case(docs_of):
     rng = random.Random(12)
     lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
