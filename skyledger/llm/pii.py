@@ -3,11 +3,12 @@
 Loose patterns propose candidate spans of four kinds. Five labelers vote for (1), against
 (-1) or not at all (0) on each: the strict pattern with its checks, the shape, a gazetteer,
 words standing before the span that name the kind, and words or joined characters that
-speak against it. Expectation-maximisation over the counts of vote patterns estimates, per
-kind, how often each labeler gives each vote on true and on false candidates, without any
-labelled data. The posteriors then train the final span classifier, a logistic regression
-over votes and length that all kinds share; what it accepts is added to the strict spans,
-which always stay.
+speak against it. The check digit of a card number and the range of address parts are
+labelers of known reliability. Expectation-maximisation over the counts of vote patterns
+estimates, per kind, how often each other labeler gives each vote on true and on false
+candidates, without any labelled data. The posteriors then train the final span classifier,
+a logistic regression over the votes of each kind and the length; what it accepts is added to
+the strict spans, which always stay.
 
 Counts of vote patterns are all that the model needs from the corpus: at most kinds x votes x
 lengths rows. Texts are read once, span lists stay in their row, and nothing is joined.
@@ -15,7 +16,8 @@ lengths rows. Texts are read once, span lists stay in their row, and nothing is
 A span is ``kind:start:end`` in code points, end exclusive, by kind (email, ip, card, phone)
 and then start. Null and empty texts have no spans; an empty table or one without candidates
 gives the strict spans only; repeated rows are searched each by itself; a column of the input
-named like a result column is replaced.
+named like a result column is replaced. A text of very many spans is searched in blocks of
+them: a hundred thousand cost seconds.
 """
 
 from __future__ import annotations
@@ -32,7 +34,10 @@ from skyledger.session import persisted
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("strict", "shape", "gazetteer", "context", "against")
-ROUNDS, ACCEPT, NEAR = 12, 0.5, 32
+ROUNDS, ACCEPT, NEAR, BLOCK = 12, 0.5, 32, 64
+# Known rather than estimated: how often a true and a false card number fail the check digit,
+# and a true and a false address have a part that is out of range.
+FAILS_CHECK = {("card", "strict"): (0.002, 0.9), ("ip", "strict"): (0.002, 0.9)}
 
 # Possessive repeats and look-behinds give the leftmost non-overlapping matches of the plain
 # patterns in linear time: where a match fails at the start of a run, it fails inside it too.
@@ -48,6 +53,7 @@ LOOSE = {
     "email": rf"(?<!{_LOCAL}){_LOCAL}++\x20?[\[(]\x20?(?i:at)\x20?[\])]\x20?{_LABEL}++"
     rf"(?:\x20?(?:\.|[\[(]\x20?(?i:dot)\x20?[\])])\x20?{_LABEL}++)++",
     "ip": r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
+    "card": r"(?<![0-9A-Za-z./_-])[0-9]{4}(?:([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|([./_])[0-9]{6}\2[0-9]{5})(?![0-9A-Za-z]|[./_-][0-9])",
     "phone": r"(?<![0-9A-Za-z+.(-])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z]|[.-][0-9])",
 }
 # A text without this holds no match of the pattern.
@@ -68,23 +74,76 @@ CONTEXT = {
 AGAINST = r"version|release|order|invoice|isbn|article|serial|section|chapter|build|model"
 
 
-def _located(text: Column, pattern: str, needs: Column, accept) -> Column:
-    """Matches as (start, match), in order; ``accept`` drops failing ones without a retry."""
-    gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.zip_with(gaps, hits, lambda g, h: F.struct(F.length(g).alias("gap"), h.alias("hit")))
-    none = F.array().cast("array<struct<start:int,hit:string>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-
-    def step(acc, p):
-        here = acc["at"] + p["gap"]
-        one = F.array(F.struct(here.alias("start"), p["hit"].alias("hit")))
-        taken = p["hit"].isNotNull() & accept(p["hit"])
-        return F.struct(
-            (here + F.coalesce(F.length(p["hit"]), F.lit(0))).alias("at"),
-            F.when(taken, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"),
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(values: Column, join, zero: int) -> Column:
+    """For each place of an array of numbers, ``join`` over the values before it.
+
+    Blocks are joined first, so that a place looks at a block and the joined blocks only.
+    A state holding lists would be copied whole at each of its steps.
+    """
+    start = F.lit(zero)
+
+    def over(v):
+        last = F.greatest(F.ceil(F.size(v) / BLOCK).cast("int") - 1, F.lit(0))
+        blocks = F.transform(
+            F.sequence(F.lit(0), last),
+            lambda b: F.aggregate(F.slice(v, b * BLOCK + 1, F.lit(BLOCK)), start, join),
         )
 
-    return F.when(needs, F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(none)
+        def places(before):
+            block = lambda i: F.floor(i / BLOCK).cast("int")
+            return F.transform(v, lambda _, i: F.aggregate(
+                F.slice(v, block(i) * BLOCK + 1, i % BLOCK), F.get(before, block(i)), join
+            ))
+
+        upto = _bound(blocks, lambda t: F.transform(
+            t, lambda _, b: F.aggregate(F.slice(t, F.lit(1), b), start, join)
+        ))
+        return _bound(upto, places)
+
+    return _bound(values, over)
+
+
+def _located(text: Column, pattern: str, needs: Column, accept) -> Column:
+    """Matches in order: start, match, the characters before it and the one after it.
+
+    ``accept`` drops failing ones without a retry. Places and contexts come from the gaps
+    between the matches, so that no match is looked up from the start of the text.
+    """
+    found = F.struct(
+        F.split(text, pattern, -1).alias("gaps"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"),
+    )
+
+    def beside(p):
+        gap, after = lambda i: F.get(p["gaps"], i), lambda i: F.get(p["hits"], i + 1)
+        return F.transform(p["hits"], lambda hit, i: F.struct(
+            F.length(gap(i)).alias("gap"), hit.alias("hit"), F.right(gap(i), F.lit(NEAR)).alias("near"),
+            F.left(F.when(gap(i + 1) != "", gap(i + 1)).otherwise(F.coalesce(after(i), F.lit(""))), F.lit(1)).alias("after"),
+        ))
+
+    def spans(items):
+        def before(item, i):
+            # A match has two characters at least, so that many of them fill the context.
+            few = F.least(i, F.lit(NEAR // 2))
+            earlier = F.transform(F.slice(items, i - few + 1, few), lambda e: F.concat(e["near"], e["hit"]))
+            return F.right(F.concat(F.array_join(earlier, ""), item["near"]), F.lit(NEAR))
+
+        def described(starts):
+            return F.filter(F.transform(items, lambda item, i: F.when(accept(item["hit"]), F.struct(
+                (F.get(starts, i) + item["gap"]).alias("start"), item["hit"].alias("hit"),
+                before(item, i).alias("before"), item["after"].alias("after"),
+            ))), lambda span: span.isNotNull())
+
+        sizes = F.transform(items, lambda e: e["gap"] + F.length(e["hit"]))
+        return _bound(_running(sizes, lambda a, n: a + n, 0), described)
+
+    none = F.array().cast("array<struct<start:int,hit:string,before:string,after:string>>")
+    return F.when(needs, _bound(_bound(found, beside), spans)).otherwise(none)
 
 
 def _digits(hit: Column) -> Column:
@@ -130,7 +189,7 @@ def _votes(kind: str, form: str, hit: Column, before: Column, after: Column) ->
     shape = {
         "email": hit.rlike(r"(?i)(?:\.|dot\x20?[\])])\x20?[A-Za-z]{2,10}$"),
         "ip": hit.rlike(r"^(?:(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}|[0-9A-Fa-f:]+)$"),
-        "card": hit.rlike(r"^(?:[0-9]{13,19}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5})$"),
+        "card": hit.rlike(r"^(?:[0-9]{13,19}|[0-9]{4}([\x20./_-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([\x20./_-])[0-9]{6}\2[0-9]{5})$"),
         "phone": F.length(digits).between(10, 13),
     }[kind]
     known = {
@@ -139,7 +198,8 @@ def _votes(kind: str, form: str, hit: Column, before: Column, after: Column) ->
         "card": digits.rlike(rf"^(?:{CARD_PREFIXES})"),
         "phone": hit.rlike(rf"^(?:\+(?:{COUNTRY_CODES})|\()"),
     }[kind]
-    strict = yes_no(_strict(kind, hit)) if form == "strict" else F.lit(-1)
+    # The check digit speaks for every way of writing a card number; eight groups are in range.
+    strict = yes_no(_strict(kind, hit)) if form == "strict" or kind == "card" else F.lit(1 if kind == "ip" else -1)
     against = before.rlike(rf"(?i)(?:{AGAINST})[\W_]{{0,4}}$") | before.rlike("[0-9A-Za-z_]$") | after.rlike("^[0-9A-Za-z_]")
     return [
         strict, yes_no(shape), yes_no(known), yes(before.rlike(rf"(?i)(?:{CONTEXT[kind]})")),
@@ -158,16 +218,14 @@ def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
             if (kind, form) == ("email", "loose"):
                 needs = whole.rlike(r"(?i)[\[(]\x20?at\x20?[\])]")
             hits = _located(whole, pattern, needs, functools.partial(_candidate, kind, form))
-            found.append(F.transform(hits, functools.partial(_described, whole, kind, form)))
+            found.append(F.transform(hits, functools.partial(_described, kind, form)))
     return docs.withColumn("spans", F.concat(*found))
 
 
-def _described(whole: Column, kind: str, form: str, span: Column) -> Column:
+def _described(kind: str, form: str, span: Column) -> Column:
     start, hit = span["start"], span["hit"]
     end = start + F.length(hit)
-    low = F.greatest(start - NEAR, F.lit(0))
-    before, after = F.substring(whole, low + 1, start - low), F.substring(whole, end + 1, F.lit(4))
-    votes = _votes(kind, form, hit, before, after)
+    votes = _votes(kind, form, hit, span["before"], span["after"])
     strict = _strict(kind, hit) if form == "strict" else F.lit(False)
     return F.struct(
         F.lit(KINDS.index(kind)).alias("kind"), start.alias("start"), end.alias("end"),
@@ -197,8 +255,9 @@ def reliabilities(patterns: DataFrame, rounds: int = ROUNDS) -> Column:
     """Expectation-maximisation over counted vote patterns; the posterior it ends with.
 
     Starts from the balance of the votes. Each share is smoothed towards a labeler that
-    is right rather than wrong, which also keeps the two classes from changing names. Only sums
-    per kind, labeler and vote come to the driver.
+    is right rather than wrong, which also keeps the two classes from changing names; the
+    shares of the checks in ``FAILS_CHECK`` are known and stay fixed. Only sums per kind, labeler and vote
+    come to the driver.
     """
     chance = 1 / (1 + F.exp(-F.aggregate("votes", F.lit(0), lambda a, v: a + v).cast("double")))
     sums = [
@@ -222,17 +281,22 @@ def reliabilities(patterns: DataFrame, rounds: int = ROUNDS) -> Column:
                     smooth = [seen[v] + (2.0 if v == 2 * y else 1.0) for v in (0, 1, 2)]
                     for v in (0, 1, 2):
                         shares[kind, j, v - 1, y] = smooth[v] / sum(smooth)
+        for (kind, labeler), (of_true, of_false) in FAILS_CHECK.items():
+            at = KINDS.index(kind), LABELERS.index(labeler)
+            for y, fails in ((1, of_true), (0, of_false)):
+                shares[*at, -1, y], shares[*at, 0, y], shares[*at, 1, y] = fails, 1.0, 1 - fails
         chance = _posterior(prior, _log_ratios(shares))
     return chance
 
 
-def _features() -> list[Column]:
+def _features(span) -> list[Column]:
+    """Votes for and against of each labeler, kind by kind; the kind; the length class."""
     votes = [
-        (F.col("votes")[j] == v).cast("double").alias(f"f{j}_{v + 1}")
-        for j in range(len(LABELERS)) for v in (-1, 1)
+        ((span("kind") == k) & (span("votes")[j] == v)).cast("double")
+        for k in range(len(KINDS)) for j in range(len(LABELERS)) for v in (-1, 1)
     ]
-    kinds = [(F.col("kind") == k).cast("double").alias(f"k{k}") for k in range(len(KINDS))]
-    return [*votes, *kinds, F.col("size").cast("double").alias("length")]
+    kinds = [(span("kind") == k).cast("double") for k in range(len(KINDS))]
+    return [*votes, *kinds, span("size").cast("double")]
 
 
 def train(found: DataFrame):
@@ -245,7 +309,7 @@ def train(found: DataFrame):
         both = marked.select("*", F.explode(F.array(F.lit(1.0), F.lit(0.0))).alias("label")).withColumn(
             "weight", F.col("n") * F.when(F.col("label") == 1.0, F.col("p")).otherwise(1 - F.col("p"))
         )
-        columns = _features()
+        columns = [c.alias(f"f{i}") for i, c in enumerate(_features(F.col))]
         rows = both.select("label", "weight", *columns)
         names = rows.columns[2:]
         vectors = VectorAssembler(inputCols=names, outputCol="features").transform(rows).filter("weight > 0")
@@ -254,10 +318,7 @@ def train(found: DataFrame):
 
     def score(span: Column) -> Column:
         z = F.lit(bias)
-        parts = [
-            (span["votes"][j] == v).cast("double") for j in range(len(LABELERS)) for v in (-1, 1)
-        ] + [(span["kind"] == k).cast("double") for k in range(len(KINDS))] + [span["size"].cast("double")]
-        for weight, part in zip(weights, parts):
+        for weight, part in zip(weights, _features(lambda name: span[name])):
             z = z + part * weight
         return 1 / (1 + F.exp(-z))
 
@@ -273,6 +334,29 @@ def _spelled(spans: Column) -> Column:
     )
 
 
+_PLACED = "struct<start:int,miss:int,end:int,kind:int>"
+
+
+def _apart(base: Column, added: Column) -> Column:
+    """The added spans that overlap no base span, by the bounds of the base spans on either side."""
+    far = 2**31 - 1
+
+    def apart(spans):
+        is_base = lambda s: s["miss"] == 0
+        ends = F.transform(spans, lambda s: F.when(is_base(s), s["end"]).otherwise(0))
+        starts = F.transform(F.reverse(spans), lambda s: F.when(is_base(s), s["start"]).otherwise(far))
+        both = F.struct(
+            _running(ends, lambda a, e: F.greatest(a, e), 0).alias("reach"),
+            _running(starts, lambda a, e: F.least(a, e), far).alias("next"),
+        )
+        return _bound(both, lambda b: F.filter(spans, lambda s, i: (
+            (s["miss"] == 1) & (F.get(b["reach"], i) <= s["start"])
+            & (F.get(b["next"], F.size(spans) - 1 - i) >= s["end"])
+        )))
+
+    return _bound(F.array_sort(F.concat(base, added)), apart)
+
+
 def find(docs: DataFrame, text: str = "text", accept: float = ACCEPT) -> DataFrame:
     """Add counts of strict spans per kind, the strict spans and all spans, as text.
 
@@ -282,13 +366,17 @@ def find(docs: DataFrame, text: str = "text", accept: float = ACCEPT) -> DataFra
     kept = [c for c in docs.columns if c not in (text, "base_spans", "spans", *(f"n_{k}" for k in KINDS))]
     found = stored(candidates(docs, text).select(*kept, "spans"), "candidates")
     score = train(found)
-    base = F.filter("spans", lambda s: s["strict"])
-    more = F.array().cast(found.schema["spans"].dataType)
+    flat = lambda spans, miss: F.transform(spans, lambda s: F.struct(
+        s["start"], F.lit(miss).alias("miss"), s["end"], s["kind"]
+    ))
+    base = flat(F.filter("spans", lambda s: s["strict"]), 0)
+    more = F.array().cast(f"array<{_PLACED}>")
     if score is not None:
-        free = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
         # A near miss beside a word against it, or inside a longer word, is never added.
         clear = lambda s: s["votes"][LABELERS.index("against")] >= 0
-        more = F.filter("spans", lambda s: ~s["strict"] & clear(s) & (score(s) >= accept) & free(s))
+        added = flat(F.filter("spans", lambda s: ~s["strict"] & clear(s) & (score(s) >= accept)), 1)
+        more = F.when(F.size("added") > 0, _apart(F.col("base"), F.col("added"))).otherwise(more)
+        found = found.withColumn("added", added)
     of_kind = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long")
     counts = {f"n_{kind}": of_kind(i) for i, kind in enumerate(KINDS)}
     return (

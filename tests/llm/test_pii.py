@@ -1,7 +1,9 @@
 """Personal data: strict spans beside the plain patterns, and what the labelers add."""
 
+import math
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -76,6 +78,127 @@ def test_added_spans(docs_of):
             assert not extra, text
 
 
+def digits_of(rng, n, passing):
+    while True:
+        number = rng.choice("45") + "".join(rng.choices("0123456789", k=n - 1))
+        if luhn(number) == passing:
+            return number
+
+
+def in_fours(number, sign):
+    return sign.join(number[i : i + 4] for i in range(0, 16, 4))
+
+
+def planted(rng, i):
+    """(text, kind or None, value): a true span of the kind, or a decoy."""
+    good, bad = digits_of(rng, 16, True), digits_of(rng, 16, False)
+    groups = ":".join(f"{rng.randrange(4096, 65536):x}" for _ in range(8))
+    near = f"{rng.randrange(201, 999)}) 555-{rng.randrange(1000, 9999)}"
+    return rng.choice([
+        (f"write to u{i}@mail.example.com today", "email", f"u{i}@mail.example.com"),
+        (f"mail to u{i} [at] mail [dot] com please", "email", f"u{i} [at] mail [dot] com"),
+        (f"the server {groups} went down", "ip", groups),
+        (f"login from 10.0.{i % 256}.7 seen", "ip", f"10.0.{i % 256}.7"),
+        (f"paid by card {good} then", "card", good),
+        (f"paid by card {in_fours(good, '.')} then", "card", in_fours(good, ".")),
+        (f"number {in_fours(good, '/')} was given", "card", in_fours(good, "/")),
+        (f"call ({near} now", "phone", f"({near}"),
+        (f"call +1 ({near} now", "phone", f"+1 ({near}"),
+        (f"les {bad} en", None, ""), (f"paid by card {bad} then", None, ""),
+        (f"visa card {in_fours(bad, ' ')} then", None, ""), (f"card {in_fours(bad, '.')} then", None, ""),
+        (f"version 1.2.3.{rng.randrange(256, 999)} is out", None, ""), ("order 555 1234 5678x came", None, ""),
+        (f"address 999.{i}.1.2 is none", None, ""),
+    ])
+
+
+def test_precision_and_recall_of_planted_spans(docs_of):
+    rng = random.Random(12)
+    given = [planted(rng, i) for i in range(900)]
+    right, found, wanted = ({k: 0 for k in pii.KINDS} for _ in range(3))
+    for r in pii.find(docs_of([g[0] for g in given])).collect():
+        text, kind, value = given[r["doc_id"]]
+        true = {f"{kind}:{text.index(value)}:{text.index(value) + len(value)}"} if kind else set()
+        spans = set(filter(None, r["spans"].split(",")))
+        for s in spans:
+            found[s.split(":")[0]] += 1
+        if kind:
+            wanted[kind] += 1
+            right[kind] += len(true & spans)
+    for kind in pii.KINDS:
+        assert right[kind] >= 0.9 * found[kind], (kind, right, found)
+        assert right[kind] >= 0.9 * wanted[kind], (kind, right, wanted)
+
+
+def plain_em(patterns, rounds):
+    """Expectation-maximisation over (kind, votes, n), spelled out."""
+    labelers, kinds = range(len(pii.LABELERS)), range(len(pii.KINDS))
+    chance = [1 / (1 + math.exp(-sum(votes))) for _, votes, _ in patterns]
+    for _ in range(rounds):
+        prior, ratio = {}, {}
+        for k in kinds:
+            mine = [(votes, n, p) for (kind, votes, n), p in zip(patterns, chance) if kind == k]
+            true = sum(n * p for _, n, p in mine)
+            prior[k] = math.log((true + 1) / (sum(n for _, n, _ in mine) - true + 1))
+            for j in labelers:
+                share = {}
+                for y in (0, 1):
+                    seen = {v: (2.0 if v == 2 * y - 1 else 1.0) for v in (-1, 0, 1)}
+                    for votes, n, p in mine:
+                        seen[votes[j]] += n * (p if y else 1 - p)
+                    share[y] = {v: c / sum(seen.values()) for v, c in seen.items()}
+                for v in (-1, 0, 1):
+                    ratio[k, j, v] = math.log(share[1][v] / share[0][v])
+        for k in (pii.KINDS.index("ip"), pii.KINDS.index("card")):  # their checks are known
+            ratio[k, 0, -1], ratio[k, 0, 0], ratio[k, 0, 1] = math.log(0.002 / 0.9), 0.0, math.log(0.998 / 0.1)
+        chance = [
+            1 / (1 + math.exp(-prior[k] - sum(ratio[k, j, votes[j]] for j in labelers))) for k, votes, _ in patterns
+        ]
+    return chance
+
+
+def test_reliabilities_equal_plain_python(spark):
+    rng = random.Random(2)
+    votes = {(rng.randrange(3), tuple(rng.choice((-1, 0, 1)) for _ in pii.LABELERS)) for _ in range(80)}
+    patterns = [(k, list(v), float(rng.randint(1, 50))) for k, v in sorted(votes)]
+    frame = spark.createDataFrame(patterns, "kind int, votes array<int>, n double")
+    rows = frame.withColumn("p", pii.reliabilities(frame, rounds=6)).collect()
+    for want, r in zip(plain_em(patterns, 6), rows):
+        assert math.isclose(want, r["p"], rel_tol=1e-6, abs_tol=1e-9)
+
+
+def test_contexts_come_from_the_text(docs_of):
+    given = [t for t in texts() if t and len(t) < 400][:400]
+    patterns = [*pii.STRICT.values(), *pii.LOOSE.values()]
+    docs = docs_of(given)
+    for pattern in patterns:
+        found = pii._located(F.col("text"), pattern, F.lit(True), lambda hit: F.lit(True))
+        for r in docs.select("text", found.alias("hits")).collect():
+            for h in r["hits"]:
+                end = h["start"] + len(h["hit"])
+                assert r["text"][h["start"] : end] == h["hit"] and r["text"][end : end + 1] == h["after"]
+                assert r["text"][max(0, h["start"] - pii.NEAR) : h["start"]] == h["before"]
+
+
+def test_a_text_of_many_addresses_takes_linear_time(docs_of):
+    text = "".join(f"u{i}@b.example (938) 555-1{i % 1000:03d} " for i in range(30_000))
+    begun = time.monotonic()
+    row = pii.find(docs_of([text])).first()
+    assert row["n_email"] == 30_000 and time.monotonic() - begun < 60
+
+
+def test_added_spans_keep_apart_from_base(spark):
+    """The two passes against every pair of spans."""
+    rng = random.Random(3)
+    span = lambda miss: (a := rng.randrange(60), miss, a + rng.randint(1, 9), rng.randrange(4))
+    rows = [([span(0) for _ in range(rng.randrange(6))], [span(1) for _ in range(rng.randrange(6))]) for _ in range(200)]
+    rows.append(([span(0) for _ in range(700)], [(100, 1, 103, 0)] * 600))
+    kind = f"array<{pii._PLACED}>"
+    frame = spark.createDataFrame(rows, f"base {kind}, added {kind}")
+    for r in frame.select("*", pii._apart(F.col("base"), F.col("added")).alias("kept")).collect():
+        want = [s for s in r["added"] if not any(b["start"] < s["end"] and s["start"] < b["end"] for b in r["base"])]
+        assert sorted(r["kept"]) == sorted(want)
+
+
 def test_only_expressions_run(docs_of):
     """No Python in the plan of the candidates or of the result."""
     docs = docs_of(["a@b.org", "x"])
