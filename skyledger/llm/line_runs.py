@@ -3,22 +3,29 @@
 Lines become ids and a document a sequence of ids. Suffixes are ordered by prefix
 doubling: the rank of the first 2k lines of a suffix is the place of the pair (rank of the
 first k lines, rank of the k lines after them) among all such pairs, found by a
-distributed sort. Only lines that occur more than once take part, because any other line
-ends every common prefix. Suffixes are ordered to the depth at which they hold
-``least_chars`` characters; suffixes equal to that depth form one interval of the suffix
-array (its common prefix is at least that long), and the first of an interval is the
-earliest copy.
+distributed sort. Only lines that occur more than once take part; any other line, like the
+end of a document, ends every common prefix. The order reaches as deep as the longest run
+looked up below needs, which is no more than ``least_chars`` lines.
+
+Suffixes equal to that depth are one entry of the suffix array. Each entry gets the length
+of its longest common prefix (LCP) with the entry before it; an interval of depth m is a
+stretch of entries between LCPs below m, so its suffixes are those that begin with the same
+m lines. The earliest suffix of an interval is the copy that stays.
 
 A line is deleted if a run of consecutive lines of at least ``least_chars`` characters
 covers it and the same run starts at an earlier place (documents in order of their id,
 then line order). Any such run is the union of its shortest sufficient runs that start at
 each of its lines and of those that end at each of its lines, so these two kinds of runs,
-each looked up in its interval, find exactly the lines of all maximal repeated runs.
+each looked up in the interval of its depth, find exactly the lines of all maximal
+repeated runs.
 
 Lines are what stands between line feeds, compared byte by byte through a 128-bit hash.
 Lines of white space only are skipped: they neither break a run nor are deleted. Null and
-empty texts have no lines and stay as they are. Rows equal in id and text are one document.
-Null ids come first in the order. Other columns, whatever their names, pass through.
+empty texts have no lines and stay as they are; an empty table stays empty. A very long
+text is one sequence: its lines are one group of the window over its document, sorted with
+spilling. Rows equal in id and text are one document: they lose the same lines. Null ids
+come first in the order. Other columns, whatever their names, pass through, but that
+``mark_lines`` replaces a column named ``__deleted``.
 """
 
 from __future__ import annotations
@@ -103,55 +110,112 @@ def _sufficient(active: DataFrame, least_chars: int) -> DataFrame:
     return one.union(ahead).union(back).distinct()
 
 
+def suffix_ranks(active: DataFrame, depth: int) -> DataFrame:
+    """The rank of each suffix among all by its first ``depth`` lines or more; equal ones share it.
+
+    ``line`` is the rank of its first line. -1 stands for what lies beyond the end of a run.
+    """
+    doc = Window.partitionBy(*_KEY).orderBy("place")
+    level = active.select(*_KEY, "place", F.col("rank").alias("line"), "rank")
+    known = 1
+    while known < depth:
+        follows = F.lead("place", known).over(doc) == F.col("place") + known
+        pairs = level.select(
+            *_KEY, "place", "line", F.col("rank").alias("head"),
+            F.when(follows, F.lead("rank", known).over(doc)).otherwise(F.lit(-1)).alias("next"),
+        )
+        names = _ranked(pairs.select("head", "next").distinct(), ["head", "next"], "ranks")
+        level = stored(
+            pairs.join(names, ["head", "next"]).select(*_KEY, "place", "line", "rank"), "level"
+        )
+        known *= 2
+    return level
+
+
+def suffix_array(level: DataFrame, depth: int) -> DataFrame:
+    """One row per rank with its lines (``depth`` at most) and the LCP with the rank before it.
+
+    Rows lie in order over range partitions (``part``); the last entry of each partition, one
+    row per partition, is sent to the next.
+    """
+    doc = Window.partitionBy(*_KEY).orderBy("place").rowsBetween(0, depth - 1)
+    ahead = F.collect_list(F.struct("place", "line")).over(doc)
+    unbroken = F.filter("ahead", lambda e, i: e["place"] == F.col("place") + i)
+    entries = level.withColumn("ahead", ahead).select(
+        "rank", F.transform(unbroken, lambda e: e["line"]).alias("ids")
+    ).groupBy("rank").agg(F.first("ids").alias("ids"))
+    entries = stored(
+        entries.repartitionByRange("rank").sortWithinPartitions("rank")
+        .withColumn("part", F.spark_partition_id()), "entries",
+    )
+    ends = entries.groupBy("part").agg(F.max_by("ids", "rank").alias("end"))
+    ends = ends.select("part", F.lag("end").over(Window.orderBy("part")).alias("end"))
+    none = F.array().cast("array<bigint>")
+    before = F.lag("ids").over(Window.partitionBy("part").orderBy("rank"))
+    compared = entries.withColumn("before", before).join(F.broadcast(ends), "part").withColumn(
+        "same",
+        F.zip_with("ids", F.coalesce("before", "end", none), lambda a, b: a.eqNullSafe(b)),
+    )
+    differs = F.array_position("same", F.lit(False))
+    lcp = F.when(differs > 0, differs - 1).otherwise(F.size("same")).cast("int")
+    return stored(compared.select("part", "rank", "ids", lcp.alias("lcp")), "suffix-array")
+
+
+def interval_starts(array: DataFrame, depth: int) -> DataFrame:
+    """For each rank the first rank of its interval of depth 1, 2 .. ``depth``.
+
+    An interval of depth m starts where the LCP falls below m. Starts in earlier partitions
+    come from one row per partition.
+    """
+    names = [f"m{m}" for m in range(1, depth + 1)]
+    starts = {n: F.when(F.col("lcp") < m, F.col("rank")) for m, n in enumerate(names, 1)}
+    ends = array.groupBy("part").agg(*[F.max(c).alias(n) for n, c in starts.items()])
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(
+        "part", F.array(*[F.max(n).over(earlier) for n in names]).alias("carried")
+    )
+    upto = Window.partitionBy("part").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    own = array.select(
+        "part", "rank", F.array(*[F.max(c).over(upto) for c in starts.values()]).alias("own")
+    )
+    return own.join(F.broadcast(carried), "part").select(
+        "rank", F.zip_with("own", "carried", lambda a, b: F.coalesce(a, b)).alias("starts")
+    )
+
+
 def later_copies(
     docs: DataFrame, key: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS
 ) -> DataFrame:
     """(document, text hash, line numbers) of the lines to delete."""
     active = stored(repeated_lines(line_table(docs, key, text)), "lines")
     runs = stored(_sufficient(active, least_chars), "runs")
-    longest = runs.agg(F.max("lines")).first()[0] or 0
-    doc = Window.partitionBy(*_KEY).orderBy("place")
-    level = active.select(*_KEY, "place", "rank")
-    found, depth = None, 1
-    while depth <= longest:
-        # Suffixes compared to a depth of depth .. 2*depth-1 lines: two overlapping ranks.
-        here = runs.filter((F.col("lines") >= depth) & (F.col("lines") < 2 * depth))
-        first = level.select(*_KEY, F.col("place").alias("start"), F.col("rank").alias("head"))
-        tail = level.select(*_KEY, F.col("place").alias("last"), F.col("rank").alias("tail"))
-        if depth == 1:
-            ranked = _null_safe(here, first, ["start"]).withColumn("tail", F.col("head"))
-        else:
-            ranked = _null_safe(
-                _null_safe(here, first, ["start"]).withColumn("last", F.col("start") + F.col("lines") - depth),
-                tail, ["last"],
-            ).drop("last")
-        found = ranked if found is None else found.unionByName(ranked)
-        if 2 * depth <= longest:
-            next_ = level.withColumns({
-                "next": F.lead("rank", depth).over(doc), "at": F.lead("place", depth).over(doc),
-            }).filter(F.col("at") == F.col("place") + depth)
-            pairs = next_.select(*_KEY, "place", F.col("rank").alias("head"), "next")
-            names = _ranked(
-                pairs.groupBy("head", "next").count().filter("count > 1").select("head", "next"),
-                ["head", "next"], "ranks",
-            )
-            level = stored(
-                pairs.join(names, ["head", "next"]).select(*_KEY, "place", "rank"), "level"
-            )
-        depth *= 2
-    if found is None:
-        found = runs.withColumns({"head": F.lit(0), "tail": F.lit(0)})
-    found = stored(found, "intervals")
+    depth = runs.agg(F.max("lines")).first()[0] or 1
+    level = suffix_ranks(active, depth)
+    starts = interval_starts(suffix_array(level, depth), depth)
+    suffixes = level.select(*_KEY, F.col("place").alias("start"), "rank")
+    found = stored(_null_safe(runs, suffixes, ["start"]), "found")
     where = F.struct(F.col("__doc"), F.col("__text"), F.col("start"))
-    interval = ["lines", "head", "tail"]
-    # Stored, so that the join below stands on two shuffles and a hot interval can be split.
+    # Runs of one rank are counted first, so that a hot interval is a few rows from here on.
+    counted = found.groupBy("rank", "lines").agg(
+        F.min(where).alias("first"), F.count("*").alias("copies")
+    )
+    looked = stored(
+        counted.join(starts, "rank").select(
+            "rank", "lines", "first", "copies",
+            F.element_at("starts", F.col("lines")).alias("interval"),
+        ),
+        "looked",
+    )
+    repeated = looked.groupBy("lines", "interval").agg(
+        F.min("first").alias("first"), F.sum("copies").alias("copies")
+    ).filter("copies > 1").drop("copies")
+    # Stored, so that the join below stands on two shuffles and a hot rank can be split.
     earliest = stored(
-        found.groupBy(*interval).agg(
-            F.min(where).alias("first"), F.count("*").alias("copies")
-        ).filter("copies > 1"),
+        looked.select("rank", "lines", "interval").join(repeated, ["lines", "interval"])
+        .select("rank", "lines", "first"),
         "earliest",
     )
-    later = found.join(earliest, interval).filter(~where.eqNullSafe(F.col("first")))
+    later = found.join(earliest, ["rank", "lines"]).filter(~where.eqNullSafe(F.col("first")))
     places = later.select(
         *_KEY, F.explode(F.sequence("start", F.col("start") + F.col("lines") - 1)).alias("place")
     ).distinct()
@@ -168,25 +232,34 @@ def _null_safe(left: DataFrame, right: DataFrame, more: list[str]) -> DataFrame:
     return left.join(renamed, on).drop(*[f"{n}__r" for n in names])
 
 
+def _marked(docs: DataFrame, key: str, text: str, least_chars: int) -> DataFrame:
+    """Every row as a struct ``row``, with ``__deleted``: no name of its columns can clash."""
+    gone = later_copies(docs, key, text, least_chars).withColumnsRenamed(
+        {n: f"{n}__r" for n in _KEY}
+    )
+    keyed = docs.select(F.struct("*").alias("row"), *_keys(key, text))
+    on = [F.col(n).eqNullSafe(F.col(f"{n}__r")) for n in _KEY]
+    return keyed.join(gone, on, "left").select("row", "__deleted")
+
+
 def mark_lines(
     docs: DataFrame, key: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS
 ) -> DataFrame:
     """Add ``__deleted``, the numbers of the lines to delete (null: none)."""
-    gone = later_copies(docs, key, text, least_chars).withColumnsRenamed(
-        {n: f"{n}__r" for n in _KEY}
+    names = [n for n in docs.columns if n.lower() != "__deleted"]
+    return _marked(docs, key, text, least_chars).select(
+        *[F.col("row").getField(n).alias(n) for n in names], "__deleted"
     )
-    keyed = docs.withColumns(dict(zip(_KEY, [F.col(key), F.xxhash64(F.col(text))])))
-    on = [F.col(n).eqNullSafe(F.col(f"{n}__r")) for n in _KEY]
-    return keyed.join(gone, on, "left").drop(*_KEY, *[f"{n}__r" for n in _KEY])
 
 
-def remaining(text: str = "text") -> Column:
+def remaining(text: str | Column = "text") -> Column:
     """The text without its deleted lines."""
+    whole = F.col(text) if isinstance(text, str) else text
     lines = F.filter(
-        F.split(F.col(text), "\n"),
+        F.split(whole, "\n"),
         lambda _, number: ~F.array_contains(F.col("__deleted"), number),
     )
-    return F.when(F.col("__deleted").isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
+    return F.when(F.col("__deleted").isNull(), whole).otherwise(F.array_join(lines, "\n"))
 
 
 def without_later_copies(
@@ -196,15 +269,14 @@ def without_later_copies(
 
     A document that had lines deleted and has no word left goes altogether.
     """
-    marked = mark_lines(docs, key, text, least_chars)
-    made = marked.withColumn("__left", remaining(text))
-    emptied = F.col("__deleted").isNotNull() & (F.trim(F.col("__left"), F.lit(" \t\r\n\x0b\x0c")) == "")
-    columns = {text: F.col("__left")}
-    if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(
-            F.col("__deleted").isNull(), F.col("n_chars")
-        ).otherwise(F.length("__left").cast("long"))
-    return made.filter(~emptied).withColumns(columns).select(docs.columns)
+    old = {n: F.col("row").getField(n) for n in docs.columns}
+    made = _marked(docs, key, text, least_chars).withColumn("left", remaining(old[text]))
+    cut = F.col("__deleted").isNotNull()
+    emptied = cut & (F.trim(F.col("left"), F.lit(" \t\r\n\x0b\x0c")) == "")
+    new = {**old, text: F.col("left")}
+    if "n_chars" in new:
+        new["n_chars"] = F.when(cut, F.length("left").cast("long")).otherwise(old["n_chars"])
+    return made.filter(~emptied).select(*[c.alias(n) for n, c in new.items()])
 
 
 # The same lines found another way: every sufficient run as text, no ranks.

@@ -173,6 +173,54 @@ def test_equal_rows_are_one_document(spark):
     assert got == [("None", row[1])]
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_suffix_array_and_intervals_equal_brute_force(spark, docs_of, parts):
+    """Order, common prefixes and intervals beside sorted lists of line ids."""
+    texts, depth = line_texts(3), 7
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        active = line_runs.repeated_lines(line_runs.line_table(docs_of(texts)))
+        level = line_runs.suffix_ranks(active, depth)
+        array = line_runs.suffix_array(level, depth)
+        starts = {r["rank"]: r["starts"] for r in line_runs.interval_starts(array, depth).collect()}
+        suffixes, entries = level.collect(), sorted(array.collect(), key=lambda r: r["rank"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    line = {(r["__doc"], r["place"]): r["line"] for r in suffixes}
+
+    def whole(doc, place):
+        return tuple(itertools.takewhile(lambda x: x is not None, (line.get((doc, place + i)) for i in range(8))))
+
+    assert {r["rank"] for r in suffixes} == set(starts) == {r["rank"] for r in entries}
+    prefix = {r["rank"]: whole(r["__doc"], r["place"]) for r in suffixes}
+    assert all(prefix[r["rank"]] == whole(r["__doc"], r["place"]) for r in suffixes)
+    order = [prefix[r["rank"]] for r in entries]
+    assert order == sorted(set(order)) and len(order) > 50
+    assert len({r["part"] for r in entries}) == parts
+    for last, r in zip([()] + order, entries):
+        own = prefix[r["rank"]][:depth]
+        assert tuple(r["ids"]) == own
+        assert r["lcp"] == sum(1 for _ in itertools.takewhile(lambda p: p[0] == p[1], zip(own, last)))
+        for m in range(1, len(own) + 1):
+            assert starts[r["rank"]][m - 1] == min(k for k, p in prefix.items() if p[:m] == own[:m])
+
+
+def test_line_runs_columns_of_any_name(spark):
+    line = "one line that is long enough to be a run"
+    names = ["__deleted", "__doc", "__text", "left", "row", "rank", "place", "a.b"]
+    docs = spark.createDataFrame([(1, line), (2, line + "\nnew")], "doc_id long, text string")
+    docs = docs.withColumns({n: F.lit(n) for n in names})
+    got = line_runs.without_later_copies(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect())) == [(1, line, *names), (2, "new", *names)]
+    marked = line_runs.mark_lines(docs)
+    assert sorted(marked.columns) == sorted(docs.columns)
+    assert sorted((r["doc_id"], r["__deleted"]) for r in marked.collect() if r["__deleted"]) == [(2, [0])]
+
+
 # Embeddings
 
 
