@@ -206,10 +206,14 @@ def later_copies(
         ),
         "looked",
     )
-    repeated = looked.groupBy("lines", "interval").agg(
-        F.min("first").alias("first"), F.sum("copies").alias("copies")
-    ).filter("copies > 1").drop("copies")
-    # Stored, so that the join below stands on two shuffles and a hot rank can be split.
+    # Stored, both, so that each join below stands on two shuffles and a hot interval or rank
+    # can be split.
+    repeated = stored(
+        looked.groupBy("lines", "interval").agg(
+            F.min("first").alias("first"), F.sum("copies").alias("copies")
+        ).filter("copies > 1").drop("copies"),
+        "repeated",
+    )
     earliest = stored(
         looked.select("rank", "lines", "interval").join(repeated, ["lines", "interval"])
         .select("rank", "lines", "first"),
