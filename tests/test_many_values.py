@@ -75,3 +75,22 @@ def test_compaction_leaves_other_partitions(spark, tmp_path):
     assert ordered(spark.read.parquet(path).select("id", "k", "name")) == ordered(df)
     assert T.compact_touched(spark, path, ["k", "name"], most_small=2) == 0
     assert math.isclose(sum(os.path.getsize(f.removeprefix("file:")) > 0 for fs in after.values() for f in fs), sum(map(len, after.values())))
+
+
+@pytest.mark.parametrize("short", [True, False])
+def test_dictionary_vectors_need_no_name_per_slot(spark, monkeypatch, short):
+    monkeypatch.setattr(X, "COMMON_ROWS", 50)
+    monkeypatch.setattr(X, "SHORT_DICTIONARY", 1_000_000 if short else 0)
+    rows = [(i, f"v{i}") for i in range(400)] + [(i, "v7") for i in range(90)] + [(0, None), (1, "none")]
+    df = spark.createDataFrame(rows, "id long, c string").repartition(5)
+    names = X.dictionary(df.filter("c <> 'none'"), "c")
+    vectors = X.one_hot_by_dictionary(df, "c", names)
+    assert vectors.schema["c_vec"].metadata == {"ml_attr": {"num_attrs": 400}}
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    assert ("SortMergeJoin" in plan) != short
+    sums = {r["slot"]: r["total"] for r in X.slot_sums(vectors, "c_vec").collect()}
+    hot = names.filter("value = 'v7'").first()["number"]
+    assert sums == {i: 91.0 if i == hot else 1.0 for i in range(400)}
+    empty = [r["c_vec"] for r in vectors.filter("c is null or c = 'none'").collect()]
+    assert [(v.size, v.numNonzeros()) for v in empty] == [(400, 0)] * 2
+    assert vectors.count() == len(rows)
