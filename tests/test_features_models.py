@@ -4,12 +4,13 @@ import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from skyledger import schema as S
 from skyledger.operators import evaluate as E, features as X, models as M
 from skyledger.operators.sampling import keyed_split, validation_flag
+from skyledger.session import held_for_training
 from skyledger.sources.checks import require_inputs
 
 
@@ -225,3 +226,17 @@ def test_learning_curve(split):
         assert math.isclose(a["train_rmse"], b["train_rmse"], rel_tol=1e-9)
         assert math.isclose(a["val_rmse"], b["val_rmse"], rel_tol=1e-9)
     assert one[1]["train_rmse"] <= one[1]["val_rmse"] * 1.05
+
+
+def test_forest_rows_keep_their_nodes_and_trees_stay_the_same(clean):
+    columns, params = ["DEW_C", "hour", "month"], {"num_trees": 4, "max_depth": 5}
+    model = M.fit_forest(clean, columns, **params)
+    forest = model.stages[-1]
+    assert forest.getCacheNodeIds()  # no walk from the root for each row, tree and level
+    vectors = PipelineModel(model.stages[:2]).transform(M.model_columns(clean, "TMP_C", columns))
+    plain = RandomForestRegressor(
+        labelCol="TMP_C", numTrees=4, maxDepth=5, subsamplingRate=0.7, featureSubsetStrategy="sqrt", seed=42,
+    )
+    with held_for_training(vectors.select("TMP_C", "features")) as held:
+        walked = plain.fit(held)
+    assert walked.toDebugString.split("\n")[1:] == forest.toDebugString.split("\n")[1:]
