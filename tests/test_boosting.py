@@ -182,3 +182,25 @@ def test_missing_values_and_empty_tables(spark):
     constant = spark.createDataFrame([(1, 2.0, 7.5)] * 4, "id long, a double, y double")
     flat = B.fit(B.bin_features(constant, ["a"], "y"), {"n_estimators": 2})
     assert flat.transform(constant).first()["prediction"] == 7.5
+
+
+def test_binned_rows_are_spread_and_losses_do_not_follow_the_layout(spark, data):
+    _, _, df, _ = data
+    tasks = spark.sparkContext.defaultParallelism
+    seen = set()
+    for rows in (df.coalesce(1), df.orderBy("y").repartition(7)):
+        binned = B.bin_features(rows, ["a", "b"], "y", ["id"], keep=["id", "v"])
+        assert binned.rows.rdd.getNumPartitions() == tasks  # one file in, work for all cores out
+        for at in (1, 5):
+            laid = B.Binned(binned.rows.repartition(at), binned.features, binned.cuts)
+            seen.add(tuple(B.fit(laid, {"n_estimators": 4, "max_depth": 2}, "v", patience=4).losses))
+    assert len(seen) == 1
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_shallow_trees_as_cases_find_the_same_nodes(spark, data, monkeypatch, depth):
+    _, _, _, binned = data
+    tree = B.fit(binned, {**PLAIN, "n_estimators": 1, "max_depth": depth}).trees[0]
+    cases = B.node_of(tree)
+    monkeypatch.setattr(B, "_SHALLOW", 0)
+    assert binned.rows.filter(cases != B.node_of(tree)).isEmpty() and tree.depth() == depth
