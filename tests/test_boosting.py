@@ -6,8 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from skyledger.catalog import queries as Q
 from skyledger.operators import boosting as B, features as X, models as M
 from skyledger.plans.ingest import write_split
+from tests.conftest import SMALL
 
 
 def plain_tree(x, y, margin, use, p, allowed):
@@ -204,3 +206,64 @@ def test_shallow_trees_as_cases_find_the_same_nodes(spark, data, monkeypatch, de
     cases = B.node_of(tree)
     monkeypatch.setattr(B, "_SHALLOW", 0)
     assert binned.rows.filter(cases != B.node_of(tree)).isEmpty() and tree.depth() == depth
+
+
+def test_hash_is_that_of_spark(spark):
+    keys = [0, 1, -7, 2**59 + 12345, -(2**63)]
+    df = spark.createDataFrame([(k,) for k in keys], "key long")
+    for seed, round_ in ((42, 0), (-3, 1199), (2**40, 5)):
+        want = [r[0] for r in df.select(F.xxhash64("key", F.lit(seed), F.lit(round_))).collect()]
+        seeded = B._hashed(seed, B._hashed(np.array(keys), np.uint64(42), 8), 8 if seed > 2**31 else 4)
+        assert B._hashed(round_, seeded, 4).astype(np.int64).tolist() == want
+
+
+def test_draws_apart_and_side_by_side_grow_the_same_trees(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [
+        (i, float(rng.integers(0, 400)), None if i % 11 == 0 else float(rng.normal()), float(i % 2), float(i % 3 == 0),
+         None if i == 5 else float(rng.normal() + i % 7), i % 6 == 0)
+        for i in range(700)
+    ]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, d double, y double, v boolean")
+    binned = B.bin_features(df, ["a", "b", "c", "d"], "y", ["id"], keep=["v"], bins=64)
+    draws = [
+        {"n_estimators": 4, "max_depth": 7, "learning_rate": 0.6, "subsample": 0.7, "colsample_bytree": 0.5, "reg_lambda": 0.0},
+        {"n_estimators": 9, "max_depth": 5, "learning_rate": 0.4, "reg_alpha": 2.0, "gamma": 3.0, "min_child_weight": 7},
+        {"n_estimators": 3, "max_depth": 0}, {"n_estimators": 2, "max_depth": 2, "gamma": 1e9},
+        {"n_estimators": 5, "max_depth": 4, "learning_rate": 0.9, "subsample": 1.0, "colsample_bytree": 1.0},
+    ]
+    found = []
+    for most, together in ((1 << 28, 3), (1 << 28, 20), (0, 20)):  # all rows in one task, none
+        monkeypatch.setattr(B, "_ALONE", most)
+        some = B.search(binned, draws, "v", patience=2, together=together)
+        trials = [repr(r) for r in some.trials.orderBy("trial").collect()]
+        nodes = sorted(map(repr, some.model.node_table(spark).collect()))
+        found.append((some.best, trials, nodes, some.model.losses, some.model.rates[: some.model.kept]))
+    assert found[0] == found[1] == found[2] and len(found[0][2]) > 100
+
+
+def test_a_deep_tree_alone_is_the_plain_one(spark, data):
+    x, y, _, binned = data
+    p = {**PLAIN, "n_estimators": 3, "max_depth": 6, "reg_alpha": 1.0}
+    marked = np.arange(len(y)) % 4 == 0
+    want = plain_boost(x, y, p, ~marked, 3)
+    found = B.search(binned, [p], "v", patience=3)
+    losses = [math.sqrt(np.mean((w - y)[marked] ** 2)) for w in want]
+    assert np.allclose([math.sqrt(loss[B.STOP - 1]) for loss in found.model.losses], losses, rtol=1e-9)
+    assert math.isclose(found.trials.first()["rmse"], min(losses), rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("name", ["gbt_best_params"])
+def test_registered_searches_are_the_published_ones(spark, monkeypatch, name):
+    seen = []
+
+    def search(binned, draws, validation, patience=B.PATIENCE, seed=42):
+        seen.append((binned.features, [dict(d) for d in draws], patience, binned.rows.count()))
+        return B.Draws(lambda: None, dict(draws[0]), spark.createDataFrame([{**draws[0], "trial": 0, "trees": 1, "rmse": 1.0}]))
+
+    monkeypatch.setattr(Q.B, "search", search)
+    Q.QUERIES[name](spark, SMALL).collect()
+    features, draws, patience, n = seen[0]
+    assert draws == M.draw_params(20, 42) and patience == 50
+    assert min(d["n_estimators"] for d in draws) >= 200 and max(d["max_depth"] for d in draws) == 12
+    assert n == Q.parts(spark, SMALL)[0].count() and len(features) == 18 and "DEW_C" in features
