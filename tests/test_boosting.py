@@ -253,7 +253,7 @@ def test_a_deep_tree_alone_is_the_plain_one(spark, data):
     assert math.isclose(found.trials.first()["rmse"], min(losses), rel_tol=1e-9)
 
 
-@pytest.mark.parametrize("name", ["gbt_best_params"])
+@pytest.mark.parametrize("name", ["gbt_search", "gbt_best_params"])
 def test_registered_searches_are_the_published_ones(spark, monkeypatch, name):
     seen = []
 
